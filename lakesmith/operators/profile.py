@@ -109,6 +109,18 @@ def profile_tables(tables: dict[str, DataFrame], sample_size: int = 5,
     return out
 
 
+def schema_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """The schema part of the profile only (no data scan): enough for rule generation."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = []
+    for number, (name, df) in enumerate(tables.items()):
+        cols = [f for f in df.schema.fields if f.name != ROW_ORDER]
+        rows += [(name, number, len(cols), f.name, i, f.dataType.simpleString(), kind_of(f.dataType))
+                 for i, f in enumerate(cols)]
+    return spark.createDataFrame(rows, "dataset string, dataset_no int, columns int, column_name string, "
+                                       "ordinal int, dtype string, kind string")
+
+
 def semantic_label(name: Column, kind: Column) -> Column:
     """First matching name pattern, else numeric/text by kind."""
     low = F.lower(name)
