@@ -39,40 +39,36 @@ def _data_columns(df: DataFrame) -> list[str]:
 
 
 def _stats_one(name: str, number: int, df: DataFrame, approx_distinct: bool) -> DataFrame:
+    """One aggregate branch per column, unioned.
+
+    Each branch reads a single column (columnar pruning), so the branches
+    together read the table once, and each exact distinct count is a plain
+    two-level hash aggregate on that column instead of the row expansion
+    Spark uses when one aggregate holds many distinct counts.
+    """
     cols = _data_columns(df)
     fields = {f.name: f.dataType for f in df.schema.fields}
-    aggs = [F.count(F.lit(1)).alias("__rows")]
+    branches = []
     for i, c in enumerate(cols):
         col = F.col(f"`{c}`")
-        distinct = F.approx_count_distinct(col) if approx_distinct else F.count_distinct(col)
-        aggs += [F.count(col).alias(f"n{i}"), distinct.alias(f"u{i}")]
-        if kind_of(fields[c]) in ("integer", "float"):
-            d = col.cast("double")
-            aggs += [F.min(d).alias(f"lo{i}"), F.max(d).alias(f"hi{i}"), F.avg(d).alias(f"av{i}")]
-    one = df.agg(*aggs)
-    rows = F.col("__rows")
-    structs = []
-    for i, c in enumerate(cols):
         numeric = kind_of(fields[c]) in ("integer", "float")
-        nulls = rows - F.col(f"n{i}")
+        d = col.cast("double")
         none = F.lit(None).cast("double")
-        structs.append(F.struct(
-            F.lit(c).alias("column_name"),
-            F.lit(i).alias("ordinal"),
-            F.lit(fields[c].simpleString()).alias("dtype"),
-            F.lit(kind_of(fields[c])).alias("kind"),
+        distinct = F.approx_count_distinct(col) if approx_distinct else F.count_distinct(col)
+        rows = F.count(F.lit(1))
+        nulls = rows - F.count(col)
+        branches.append(df.select(col).agg(
+            F.lit(name).alias("dataset"), F.lit(number).alias("dataset_no"),
+            rows.alias("rows"), F.lit(len(cols)).alias("columns"),
+            F.lit(c).alias("column_name"), F.lit(i).alias("ordinal"),
+            F.lit(fields[c].simpleString()).alias("dtype"), F.lit(kind_of(fields[c])).alias("kind"),
             nulls.alias("null_count"),
             F.when(rows > 0, F.round(nulls * 100.0 / rows, 2)).alias("null_pct"),
-            F.col(f"u{i}").cast("long").alias("unique_count"),
-            (F.col(f"lo{i}") if numeric else none).alias("min_value"),
-            (F.col(f"hi{i}") if numeric else none).alias("max_value"),
-            (F.col(f"av{i}") if numeric else none).alias("mean_value"),
-        ))
-    return one.select(
-        F.lit(name).alias("dataset"), F.lit(number).alias("dataset_no"),
-        rows.alias("rows"), F.lit(len(cols)).alias("columns"),
-        F.inline(F.array(*structs)),
-    )
+            distinct.cast("long").alias("unique_count"),
+            (F.min(d) if numeric else none).alias("min_value"),
+            (F.max(d) if numeric else none).alias("max_value"),
+            (F.avg(d) if numeric else none).alias("mean_value")))
+    return reduce(DataFrame.unionByName, branches)
 
 
 def _samples_one(name: str, df: DataFrame, size: int) -> DataFrame | None:
