@@ -11,7 +11,7 @@ a bound known before the job) become start offsets that are broadcast back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakesmith.session import ensure_checkpoint_dir
@@ -19,13 +19,20 @@ from lakesmith.session import ensure_checkpoint_dir
 _P, _I, _OFF = "__part", "__local", "__offset"
 
 
-def number_rows(df: DataFrame, name: str, order: list[Column], partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 1..n following ``order`` (a list of sort expressions), as first column."""
+def number_rows(df: DataFrame, name: str, order: list[str], keep: list[str] | None = None,
+                partitions: int | None = None) -> DataFrame:
+    """Add ``name`` = 1..n following the columns ``order`` (ascending, nulls
+    last) as the first column, followed by ``keep`` (default: all columns).
+
+    Only ``keep`` and the order columns are carried into the checkpoint.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = df.columns
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    keep = list(df.columns if keep is None else keep)
+    carried = keep + [c for c in order if c not in keep]
+    sort = [F.col(f"`{c}`").asc_nulls_last() for c in order]
+    ranged = df.select(*[F.col(f"`{c}`") for c in carried]).repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     part = F.spark_partition_id().cast("long")
     tagged = (ranged.withColumn(_P, part)
               .withColumn(_I, F.monotonically_increasing_id() - F.shiftleft(part, 33))
@@ -33,4 +40,5 @@ def number_rows(df: DataFrame, name: str, order: list[Column], partitions: int |
     sizes = tagged.groupBy(_P).agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select(_P, (F.sum("__n").over(Window.orderBy(_P)) - F.col("__n")).alias(_OFF))
     numbered = tagged.join(F.broadcast(offsets), _P)  # at most `n` rows: bounded by the partition count
-    return numbered.select((F.col(_OFF) + F.col(_I) + 1).cast("long").alias(name), *[F.col(f"`{c}`") for c in cols])
+    return numbered.select((F.col(_OFF) + F.col(_I) + 1).cast("long").alias(name),
+                           *[F.col(f"`{c}`") for c in keep])

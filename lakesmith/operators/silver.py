@@ -126,12 +126,11 @@ def silver_table(df: DataFrame, name: str, rules: list[dict]) -> DataFrame:
                if r["target_column"].strip().startswith("pk_") and r["target_column"].strip() not in out.columns
                and not (r["source_column"].strip() and r["source_column"].strip() in out.columns)), None)
     pk = pk or f"pk_{name}_silver_id"
-    if pk not in out.columns:
-        out = number_rows(out, pk, [F.col(ROW_ORDER).asc()])
     approved = {r["target_column"].strip() for r in table_rules}
-    keep = [c for c in out.columns if c in approved or c.startswith("_") or c.startswith("pk_")]
-    keep = [pk] + [c for c in keep if c != pk] if pk in keep else keep
-    return out.select(*[F.col(f"`{c}`") for c in keep])
+    keep = [c for c in out.columns if c != pk and (c in approved or c.startswith("_") or c.startswith("pk_"))]
+    if pk not in out.columns:
+        return number_rows(out, pk, [ROW_ORDER], keep)
+    return out.select(*[F.col(f"`{c}`") for c in [pk] + keep])
 
 
 def execute_silver(bronze: Mapping[str, DataFrame], rules: DataFrame) -> dict[str, DataFrame]:

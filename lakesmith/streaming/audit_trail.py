@@ -1,0 +1,58 @@
+"""Live audit trail over the run log, as a Structured Streaming job.
+
+The run log is an append-only folder of JSON files (one folder per run).
+Watching it as a stream gives the live view of a run: every new event is
+classified (status class, reason, clock text) as it lands, and a streaming
+aggregate keeps the newest event of each run.  Progress is kept in a
+checkpoint under the shared ``spark.checkpoint.dir``, so a restarted job
+resumes where it stopped.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from lakesmith.operators import runlog
+from lakesmith.session import ensure_checkpoint_dir
+from lakesmith.sources.runlog import RUNLOG_SCHEMA
+
+
+def read_events(spark: SparkSession, log_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The run log as an unbounded table of classified events."""
+    reader = spark.readStream.schema(RUNLOG_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return runlog.annotate(reader.json(log_root))
+
+
+def latest_per_run(events: DataFrame) -> DataFrame:
+    """Streaming version of L3: newest event per run (update mode)."""
+    return runlog.latest_per_run(events.drop("details"))
+
+
+def _checkpoint(spark: SparkSession, name: str) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+
+
+def start_latest_per_run(spark: SparkSession, log_root: str, query_name: str = "latest_per_run",
+                         available_now: bool = True) -> StreamingQuery:
+    """Keep ``query_name`` (an in-memory table) up to date with each run's latest event."""
+    writer = (latest_per_run(read_events(spark, log_root)).writeStream
+              .outputMode("complete").format("memory").queryName(query_name)
+              .option("checkpointLocation", _checkpoint(spark, query_name)))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
+    return writer.start()
+
+
+def start_event_sink(spark: SparkSession, log_root: str, out_path: str, name: str = "audit_events",
+                     available_now: bool = True) -> StreamingQuery:
+    """Append classified events to a Parquet table partitioned by run."""
+    writer = (read_events(spark, log_root).withColumn("details", F.to_json("details")).writeStream
+              .outputMode("append").format("parquet").partitionBy("run_id")
+              .option("path", out_path).option("checkpointLocation", _checkpoint(spark, name)))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
+    return writer.start()

@@ -1,0 +1,32 @@
+"""Live audit trail as a Structured Streaming job."""
+
+from lakesmith.sources.runlog import RunLog
+from lakesmith.streaming import audit_trail
+
+
+def test_latest_event_per_run_streams(spark, tmp_path):
+    root = str(tmp_path / "log")
+    log = RunLog(spark, root, "run-a")
+    log.log("orchestrator", "pipeline_started", status="started")
+    log.log("bronze_agent", "completed", status="completed")
+    log.flush()
+    other = RunLog(spark, root, "run-b")
+    other.log("silver_agent", "phase2_failed", status="failed", detail="boom")
+    other.flush()
+
+    q = audit_trail.start_latest_per_run(spark, root, query_name="latest_test")
+    q.awaitTermination(120)
+    got = {r["run_id"]: (r["action"], r["status_class"]) for r in spark.table("latest_test").collect()}
+    assert got == {"run-a": ("completed", "is-success"), "run-b": ("phase2_failed", "is-failed")}
+
+
+def test_event_sink_appends(spark, tmp_path):
+    root = str(tmp_path / "log")
+    log = RunLog(spark, root, "run-c")
+    log.log("gold_agent", "table_written", status="success", rows="3")
+    log.flush()
+    out = str(tmp_path / "events")
+    q = audit_trail.start_event_sink(spark, root, out, name="sink_test")
+    q.awaitTermination(120)
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 1 and rows[0]["reason"] == "No rationale captured" and rows[0]["run_id"] == "run-c"
