@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesmith.functions.text import split_ws
+from lakesmith.functions.text import WS_CLASS
 from lakesmith.sources.tables import ROW_ORDER, with_row_order
 
 
@@ -39,7 +39,9 @@ def shared_word_count(document: Column, words: list[str]) -> Column:
     """Distinct lower-case whitespace words shared with the query."""
     if not words:
         return F.lit(0)
-    return F.size(F.array_intersect(split_ws(F.lower(document)), F.array(*[F.lit(w) for w in words])))
+    # empty edge tokens never equal a query word, so the raw split is enough
+    tokens = F.split(F.lower(document), f"{WS_CLASS}+")
+    return F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in words])))
 
 
 def search(store: DataFrame, text: str, n: int = 5) -> DataFrame:

@@ -88,21 +88,27 @@ def _samples_one(name: str, df: DataFrame, size: int) -> DataFrame | None:
                     F.transform("s", lambda x: x["v"]).alias("sample_values")))
 
 
+def first_values(tables: dict[str, DataFrame], size: int = 5) -> DataFrame | None:
+    """P6 alone: the first ``size`` non-null values (row order) of every
+    non-numeric column, as ``(dataset, column_name, sample_values)``."""
+    parts = [s for s in (_samples_one(n, df, size) for n, df in tables.items()) if s is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def profile_tables(tables: dict[str, DataFrame], sample_size: int = 5,
                    approx_distinct: bool = False) -> DataFrame:
     """Long profile: one row per (dataset, column) with P1-P6."""
-    stats, samples = [], []
-    for number, (name, df) in enumerate(tables.items()):
-        stats.append(_stats_one(name, number, df, approx_distinct))
-        s = _samples_one(name, df, sample_size)
-        if s is not None:
-            samples.append(s)
+    stats = [_stats_one(name, number, df, approx_distinct) for number, (name, df) in enumerate(tables.items())]
     out = reduce(DataFrame.unionByName, stats)
-    if samples:
-        out = out.join(reduce(DataFrame.unionByName, samples), ["dataset", "column_name"], "left")
-    else:
-        out = out.withColumn("sample_values", F.lit(None).cast("array<string>"))
-    return out
+    samples = first_values(tables, sample_size)
+    if samples is not None:
+        return out.join(samples, ["dataset", "column_name"], "left")
+    return out.withColumn("sample_values", F.lit(None).cast("array<string>"))
+
+
+def write_profile(profile: DataFrame, path: str) -> None:
+    """Profile sink (S5): one JSON document per column row, one file per run."""
+    profile.coalesce(1).write.mode("overwrite").json(path)
 
 
 def schema_profile(tables: dict[str, DataFrame]) -> DataFrame:

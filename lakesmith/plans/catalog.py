@@ -168,8 +168,8 @@ def _samples_sql(tables: list[str]) -> str:
 @register("p_sample_values", _samples_sql(["customer", "orders", "events"]))
 def p_sample_values(spark, sf):
     """First five non-null values (file order) of every non-numeric column."""
-    prof = profile.profile_tables({n: table(spark, sf, n) for n in ("customer", "orders", "events")})
-    return (prof.where(F.col("sample_values").isNotNull())
+    prof = profile.first_values({n: table(spark, sf, n) for n in ("customer", "orders", "events")})
+    return (prof
             .select("dataset", "column_name", F.posexplode("sample_values").alias("pos", "sample_value"))
             .select("dataset", "column_name", (F.col("pos") + 1).cast("long").alias("sample_rank"), "sample_value"))
 
