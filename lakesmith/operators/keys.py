@@ -4,13 +4,18 @@ A global ``row_number()`` window pulls every row into one partition.
 Instead the rows are range-partitioned on the full order (which always
 ends in a unique row-order column, so a hot key value can still be split
 across partitions), sorted inside each partition, and numbered locally.
-The partitioned result is checkpointed so the numbering is fixed even if
-an executor is lost; the per-partition row counts (one row per partition,
-a bound known before the job) become start offsets that are broadcast back.
+The partitioned, locally numbered rows are written as Parquet under the
+shared ``spark.checkpoint.dir`` and read back, which fixes the numbering
+(a lost executor cannot renumber) and cuts lineage; the per-partition row
+counts (one row per partition, a bound known before the job, read from a
+single column) become start offsets that are broadcast back.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,10 +39,12 @@ def number_rows(df: DataFrame, name: str, order: list[str], keep: list[str] | No
     sort = [F.col(f"`{c}`").asc_nulls_last() for c in order]
     ranged = df.select(*[F.col(f"`{c}`") for c in carried]).repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     part = F.spark_partition_id().cast("long")
-    tagged = (ranged.withColumn(_P, part)
-              .withColumn(_I, F.monotonically_increasing_id() - F.shiftleft(part, 33))
-              .checkpoint(eager=True))
-    sizes = tagged.groupBy(_P).agg(F.count(F.lit(1)).alias("__n"))
+    path = os.path.join(ensure_checkpoint_dir(spark), "lakesmith-keys", uuid.uuid4().hex)
+    (ranged.withColumn(_P, part)
+     .withColumn(_I, F.monotonically_increasing_id() - F.shiftleft(part, 33))
+     .write.parquet(path))
+    tagged = spark.read.parquet(path)  # fixed numbering, lineage cut
+    sizes = tagged.groupBy(_P).agg(F.count(F.lit(1)).alias("__n"))  # reads one column
     offsets = sizes.select(_P, (F.sum("__n").over(Window.orderBy(_P)) - F.col("__n")).alias(_OFF))
     numbered = tagged.join(F.broadcast(offsets), _P)  # at most `n` rows: bounded by the partition count
     return numbered.select((F.col(_OFF) + F.col(_I) + 1).cast("long").alias(name),

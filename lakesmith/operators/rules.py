@@ -78,7 +78,16 @@ def bronze_rules(profile: DataFrame) -> DataFrame:
         "source_schema", "source_table", "source_column", "target_schema", "target_table", "target_column",
         F.lit("Indirect").alias("transformation_type"), F.col("l").alias("transformation_logic"),
         (F.col("b") + F.col("k")).alias("rule_no"))
-    return columns.unionByName(lineage)
+    return small_table(columns.unionByName(lineage))
+
+
+def small_table(df: DataFrame) -> DataFrame:
+    """Materialise a schema-sized table (rules, profiles: one row per column).
+
+    Later steps read such tables several times (review, selection, execution);
+    without this each read would recompute the profile aggregates behind them.
+    """
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
 def _schema_of(df: DataFrame) -> list[tuple[str, T.DataType]]:
@@ -140,7 +149,7 @@ def approve(rules: DataFrame, decisions: DataFrame | None) -> DataFrame:
         for c in RULE_COLUMNS:
             edited = f"__d_{c}"
             cols.append(F.coalesce(F.col(edited), F.col(c)).alias(c) if c in decisions.columns else F.col(c))
-        out = joined.where(keep).select(*cols, "rule_no")
+        out = small_table(joined.where(keep).select(*cols, "rule_no"))
     if out.isEmpty():
         raise ValueError("no rule selected: approve at least one rule")
     return out

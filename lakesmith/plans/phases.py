@@ -74,7 +74,7 @@ def _materialise(spark, state: RunState, layer: str, tables: dict[str, DataFrame
 
 def phase_profile(spark: SparkSession, state: RunState) -> RunState:
     """Profile -> Bronze rules."""
-    state.profile = profile.profile_tables(state.sources)
+    state.profile = rules.small_table(profile.profile_tables(state.sources))  # one row per column
     state.bronze_rules = rules.bronze_rules(state.profile)
     return state
 
