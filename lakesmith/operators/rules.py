@@ -181,7 +181,8 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def write_rules(rules: DataFrame, path: str) -> None:
     """Rule-table sink (S4): one CSV file, header, in rule order."""
-    normalize(rules).orderBy("rule_no").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    (normalize(rules).orderBy("rule_no").coalesce(1).write.mode("overwrite")
+     .option("header", True).option("escape", '"').csv(path))
 
 
 def rules_from_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
