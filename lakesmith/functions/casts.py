@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 # Accepted numeric spellings.
 INT_TEXT = r"^\s*[+-]?\d+\s*$"
-NUM_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
+NUM_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+SPECIAL_NUMBERS = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan", "+nan", "-nan"]
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 INTEGRAL_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -33,11 +34,16 @@ def kind_of(dt: T.DataType) -> str:
     return "other"
 
 
+def is_number_text(c: Column) -> Column:
+    """Text that a plain numeric reader accepts (digits, or inf/nan spellings)."""
+    return c.rlike(NUM_TEXT) | F.lower(F.trim(c)).isin(SPECIAL_NUMBERS)
+
+
 def to_double(c: Column, dt: T.DataType) -> Column:
     """Numeric reading of any column; unparsable text and NaN become null."""
     k = kind_of(dt)
     if k == "text":
-        d = F.when(c.rlike(NUM_TEXT), F.trim(c).try_cast("double"))
+        d = F.when(is_number_text(c), F.trim(c).try_cast("double"))
     elif k in ("integer", "float", "boolean"):
         d = c.cast("double")
     elif k == "datetime":

@@ -14,6 +14,7 @@ names (``customer_id`` ...), exactly as a user would through rename rules.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from lakesmith.operators.rules import (BRONZE_DATE, BRONZE_FLOAT, BRONZE_INT, BR
                                        LOAD_TIME_TEXT, PK_TEXT, SILVER_DATE, SILVER_ID, SILVER_NUMERIC,
                                        SILVER_TEXT, SOURCE_FILE_TEXT)
 from lakesmith.plans import phases
+from lakesmith.sources.csv import read_csv_table
 from lakesmith.sources.tables import ROW_ORDER, read_table
 
 # Fixed values (our own choice): conventional column names per test table.
@@ -360,6 +362,27 @@ def g_gold_rules(spark, sf):
     return rules.gold_rules(spark, s).select(*RULE_OUT)
 
 
+# -- raw text files -----------------------------------------------------------
+
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    from lakesmith.session import ensure_checkpoint_dir
+    return os.path.join(ensure_checkpoint_dir(spark), "lakesmith-scratch", kind, uuid.uuid4().hex)
+
+
+@register("s_csv_ingest", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
+def s_csv_ingest(spark, sf):
+    """S1 + B10: a whole table exported as CSV text, read back with null tokens
+    and type inference, then loaded to Bronze with the generated rules."""
+    path = scratch_path(spark, "csv")
+    (table(spark, sf, "orders").drop(ROW_ORDER).write.option("header", True)
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    raw = {"orders": read_csv_table(spark, path)}
+    generated = rules.bronze_rules(profile.schema_profile(raw))
+    return public(bronze.execute_bronze(raw, generated)["orders_bronze"])
+
+
 # -- Bronze -----------------------------------------------------------------
 
 def as_text(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesmith.functions.casts import INT_TEXT, NUM_TEXT
+from lakesmith.functions.casts import INT_TEXT, is_number_text
 from lakesmith.sources.tables import ROW_ORDER, row_order_from_metadata
 
 # The text spellings a CSV reader treats as missing by default.
@@ -44,7 +44,7 @@ def infer_types(df: DataFrame) -> dict[str, str]:
         aggs += [
             F.count(col).alias(f"n{i}"),
             F.count_if(col.rlike(INT_TEXT)).alias(f"i{i}"),
-            F.count_if(col.rlike(NUM_TEXT)).alias(f"f{i}"),
+            F.count_if(is_number_text(col)).alias(f"f{i}"),
             F.count_if(col.isin(TRUE_TOKENS + FALSE_TOKENS)).alias(f"b{i}"),
         ]
     if not aggs:
