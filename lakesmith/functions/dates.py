@@ -49,8 +49,10 @@ DATE_SHAPES = [
 
 
 def parse_with(s: Column, i: int) -> Column:
-    """Parse text ``s`` with format ``i``; null when it does not fit."""
-    return F.when(s.rlike(DATE_SHAPES[i]), F.try_to_timestamp(s, F.lit(DATE_FORMATS[i][1])))
+    """Parse text ``s`` with format ``i`` to a wall-clock timestamp (no time
+    zone, like the parsed values of a plain date reader); null when it does not fit."""
+    parsed = F.try_to_timestamp(s, F.lit(DATE_FORMATS[i][1])).cast("timestamp_ntz")
+    return F.when(s.rlike(DATE_SHAPES[i]), parsed)
 
 
 def needs_format_choice(dt: T.DataType) -> bool:
@@ -73,8 +75,15 @@ def choose_format(stats: dict, prefix: str) -> int | None:
 def parse_dates(c: Column, dt: T.DataType, fmt_index: int | None) -> Column:
     """Apply the chosen format; an existing timestamp column is unchanged."""
     if kind_of(dt) == "datetime":
-        return c.cast("timestamp") if isinstance(dt, T.DateType) else c
+        return c.cast("timestamp_ntz") if isinstance(dt, T.DateType) else c
     s = c.cast("string")
     if fmt_index is None:
-        return s.try_cast("timestamp")
+        return s.try_cast("timestamp_ntz")
     return parse_with(s, fmt_index)
+
+
+def parsed_type(dt: T.DataType) -> T.DataType:
+    """Type of ``parse_dates`` output for an input of type ``dt``."""
+    if kind_of(dt) == "datetime" and not isinstance(dt, T.DateType):
+        return dt
+    return T.TimestampNTZType()

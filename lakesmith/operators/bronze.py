@@ -41,7 +41,7 @@ def integer_step(stage: Stage, name: str, on_input: bool = False) -> None:
 def date_step(stage: Stage, name: str, on_input: bool = False) -> None:
     """Column-wide date format choice, then parse."""
     if not dates.needs_format_choice(stage.dtype(name)):
-        stage.map(name, lambda c, dt, _: (dates.parse_dates(c, dt, None), T.TimestampType()))
+        stage.map(name, lambda c, dt, _: (dates.parse_dates(c, dt, None), dates.parsed_type(dt)))
         return
 
     def request(c, dt, key):
@@ -49,7 +49,7 @@ def date_step(stage: Stage, name: str, on_input: bool = False) -> None:
             stage.add_agg(agg)
 
     def step(c, dt, stats):
-        return dates.parse_dates(c, dt, dates.choose_format(stats, stats["key"])), T.TimestampType()
+        return dates.parse_dates(c, dt, dates.choose_format(stats, stats["key"])), dates.parsed_type(dt)
     stage.map_with_stats(name, request, step, on_input)
 
 

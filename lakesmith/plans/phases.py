@@ -72,10 +72,17 @@ def _materialise(spark, state: RunState, layer: str, tables: dict[str, DataFrame
     return back
 
 
-def phase_profile(spark: SparkSession, state: RunState) -> RunState:
-    """Profile -> Bronze rules."""
-    state.profile = rules.small_table(profile.profile_tables(state.sources))  # one row per column
-    state.bronze_rules = rules.bronze_rules(state.profile)
+def phase_profile(spark: SparkSession, state: RunState, root: str | None = None) -> RunState:
+    """Profile -> Bronze rules.
+
+    The rules depend on column names and types only, so they come from the
+    schema part of the profile; the statistics (a full pass over every
+    table) are computed when the profile is written (``root``) or read.
+    """
+    state.profile = profile.profile_tables(state.sources)
+    if root is not None:
+        profile.write_profile(state.profile, f"{root}/profiles/{state.run_id}")
+    state.bronze_rules = rules.bronze_rules(profile.schema_profile(state.sources))
     return state
 
 
@@ -113,7 +120,7 @@ def run(spark: SparkSession, sources, question_text: str, decisions: Mapping[str
     log = RunLog(spark, f"{root}/runlog", state.run_id) if root is not None else None
     if log is not None:
         log.log("orchestrator", "pipeline_started", status="started", phase="upload", intent=question_text)
-    phase_profile(spark, state)
+    phase_profile(spark, state, root)
     phase_bronze(spark, state, decisions.get("bronze"), root, log)
     phase_silver(spark, state, decisions.get("silver"), root, log)
     phase_gold(spark, state, decisions.get("gold"), root, log)

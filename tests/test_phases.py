@@ -29,6 +29,7 @@ def test_pipeline_from_csv(spark, tmp_path):
     assert got == [("Tools", 60.0), ("Toys", 5.0)]
     assert os.path.isdir(os.path.join(root, "gold", state.run_id, "gold_output"))
     assert os.path.isdir(os.path.join(root, "answers", state.run_id))
+    assert spark.read.json(os.path.join(root, "profiles", state.run_id)).count() == 6
     log = read_runlog(spark, os.path.join(root, "runlog"), state.run_id)
     assert log.where("action = 'pipeline_completed'").count() == 1
 
