@@ -1,10 +1,11 @@
 """Profiling.
 
-One aggregate per table computes every column statistic at once; the
-single result row is turned into one row per column with ``inline``, so the
-profile stays a (small, lazy) DataFrame.  Sample values use a per-column
-top-5 window on the row order, which Spark limits inside each task before
-the shuffle, so only five rows per column per task move.
+Statistics come from one value-count aggregation over all tables (every
+row becomes one narrow (column, value) pair per column, combined map-side),
+so exact distinct counts need no row expansion per distinct aggregate.
+Sample values use one per-column top-5 window on the row order, which Spark
+limits inside each task before the shuffle.  The result has one row per
+column.
 """
 
 from __future__ import annotations
@@ -38,72 +39,131 @@ def _data_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != ROW_ORDER]
 
 
-def _stats_one(name: str, number: int, df: DataFrame, approx_distinct: bool) -> DataFrame:
-    """One aggregate branch per column, unioned.
+def _missing(c: Column, dt) -> Column:
+    """Missing values: null, and NaN for floating columns (as a plain reader counts them)."""
+    return c.isNull() | F.isnan(c) if kind_of(dt) == "float" else c.isNull()
 
-    Each branch reads a single column (columnar pruning), so the branches
-    together read the table once, and each exact distinct count is a plain
-    two-level hash aggregate on that column instead of the row expansion
-    Spark uses when one aggregate holds many distinct counts.
+
+def _value_pairs(number: int, df: DataFrame) -> DataFrame:
+    """Every row as one narrow ``(table, column, value)`` pair per column, the
+    value in a typed slot (``l`` integers/times, ``d`` floats, ``s`` text)."""
+    fields = [f for f in df.schema.fields if f.name != ROW_ORDER]
+    none_l, none_d, none_s = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    pairs = []
+    for i, f in enumerate(fields):
+        col, k = F.col(f"`{f.name}`"), kind_of(f.dataType)
+        miss = _missing(col, f.dataType)
+        slot_l = (col.cast("long") if k in ("integer", "boolean")
+                  else F.unix_micros(col.cast("timestamp")) if k == "datetime" else none_l)
+        slot_d = F.when(~miss, col.cast("double")) if k == "float" else none_d
+        slot_s = col.cast("string") if k in ("text", "other") else none_s
+        pairs.append(F.struct(F.lit(i).alias("i"), F.lit(k in ("integer", "float")).alias("num"),
+                              miss.alias("m"), slot_l.alias("l"), slot_d.alias("d"), slot_s.alias("s")))
+    return df.select(F.lit(number).alias("t"), F.explode(F.array(*pairs)).alias("p")).select("t", "p.*")
+
+
+def _column_stats(tables: dict[str, DataFrame]) -> DataFrame:
+    """P1-P5 of every column of every table, keyed by ``(t, i)``.
+
+    All tables are counted by value in one aggregation: pairs are combined
+    map-side (a hot value shrinks to one pair per task before the shuffle)
+    and every statistic follows from the ``(value, count)`` pairs.
     """
-    cols = _data_columns(df)
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    branches = []
-    for i, c in enumerate(cols):
-        col = F.col(f"`{c}`")
-        numeric = kind_of(fields[c]) in ("integer", "float")
-        d = col.cast("double")
-        none = F.lit(None).cast("double")
-        distinct = F.approx_count_distinct(col) if approx_distinct else F.count_distinct(col)
-        rows = F.count(F.lit(1))
-        nulls = rows - F.count(col)
-        branches.append(df.select(col).agg(
-            F.lit(name).alias("dataset"), F.lit(number).alias("dataset_no"),
-            rows.alias("rows"), F.lit(len(cols)).alias("columns"),
-            F.lit(c).alias("column_name"), F.lit(i).alias("ordinal"),
-            F.lit(fields[c].simpleString()).alias("dtype"), F.lit(kind_of(fields[c])).alias("kind"),
-            nulls.alias("null_count"),
-            F.when(rows > 0, F.round(nulls * 100.0 / rows, 2)).alias("null_pct"),
-            distinct.cast("long").alias("unique_count"),
-            (F.min(d) if numeric else none).alias("min_value"),
-            (F.max(d) if numeric else none).alias("max_value"),
-            (F.avg(d) if numeric else none).alias("mean_value")))
-    return reduce(DataFrame.unionByName, branches)
-
-
-def _samples_one(name: str, df: DataFrame, size: int) -> DataFrame | None:
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    cols = [c for c in _data_columns(df) if kind_of(fields[c]) not in ("integer", "float")]
-    if not cols:
-        return None
-    df = with_row_order(df)
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("v")) for c in cols]
-    long = (df.select(F.col(ROW_ORDER), F.explode(F.array(*pairs)).alias("p"))
-            .select("p.column_name", "p.v", ROW_ORDER).where(F.col("v").isNotNull()))
-    w = Window.partitionBy("column_name").orderBy(ROW_ORDER)
-    first = long.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= size)
-    return (first.groupBy("column_name")
-            .agg(F.sort_array(F.collect_list(F.struct("rn", "v"))).alias("s"))
-            .select(F.lit(name).alias("dataset"), "column_name",
-                    F.transform("s", lambda x: x["v"]).alias("sample_values")))
+    parts = [_value_pairs(k, df) for k, df in enumerate(tables.values()) if _data_columns(df)]
+    counted = (reduce(DataFrame.unionByName, parts)
+               .groupBy("t", "i", "num", "m", "l", "d", "s").agg(F.count(F.lit(1)).alias("n")))
+    n = F.col("n")
+    x = F.when(F.col("num"), F.coalesce(F.col("d"), F.col("l").cast("double")))
+    return counted.groupBy("t", "i").agg(
+        F.sum(n).alias("rows"),
+        F.sum(F.when(F.col("m"), n).otherwise(0)).alias("null_count"),
+        F.count_if(~F.col("m")).alias("unique_count"),
+        F.min(x).alias("min_value"), F.max(x).alias("max_value"),
+        (F.sum(x * n) / F.sum(F.when(x.isNotNull(), n))).alias("mean_value"))
+
+
+def _column_sketches(tables: dict[str, DataFrame]) -> DataFrame:
+    """P1-P5 with approximate distinct counts: one aggregate per table, no shuffle of values."""
+    outs = []
+    for number, df in enumerate(tables.values()):
+        fields = [f for f in df.schema.fields if f.name != ROW_ORDER]
+        if not fields:
+            continue
+        aggs = [F.count(F.lit(1)).alias("__rows")]
+        structs = []
+        for i, f in enumerate(fields):
+            col = F.col(f"`{f.name}`")
+            miss = _missing(col, f.dataType)
+            numeric = kind_of(f.dataType) in ("integer", "float")
+            d = F.when(~miss, col.cast("double")) if numeric else F.lit(None).cast("double")
+            aggs += [F.count_if(miss).alias(f"m{i}"), F.approx_count_distinct(F.when(~miss, col)).alias(f"u{i}"),
+                     F.min(d).alias(f"lo{i}"), F.max(d).alias(f"hi{i}"), F.avg(d).alias(f"av{i}")]
+            structs.append(F.struct(F.lit(i).alias("i"), F.col("__rows").alias("rows"),
+                                    F.col(f"m{i}").alias("null_count"), F.col(f"u{i}").alias("unique_count"),
+                                    F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"),
+                                    F.col(f"av{i}").alias("mean_value")))
+        outs.append(df.agg(*aggs).select(F.lit(number).alias("t"), F.inline(F.array(*structs))))
+    return reduce(DataFrame.unionByName, outs)
 
 
 def first_values(tables: dict[str, DataFrame], size: int = 5) -> DataFrame | None:
-    """P6 alone: the first ``size`` non-null values (row order) of every
-    non-numeric column, as ``(dataset, column_name, sample_values)``."""
-    parts = [s for s in (_samples_one(n, df, size) for n, df in tables.items()) if s is not None]
-    return reduce(DataFrame.unionByName, parts) if parts else None
+    """The first ``size`` non-null values (row order) of every
+    non-numeric column, as ``(dataset, column_name, sample_values)``.
+
+    One window over all tables; Spark limits it to ``size`` rows per column
+    inside each task before the shuffle, so only that many rows per column
+    per task move.
+    """
+    parts, names = [], []
+    for number, (name, df) in enumerate(tables.items()):
+        fields = {f.name: f.dataType for f in df.schema.fields}
+        cols = [c for c in _data_columns(df) if kind_of(fields[c]) not in ("integer", "float")]
+        if not cols:
+            continue
+        names += [(name, c) for c in cols]
+        df = with_row_order(df)
+        pairs = [F.struct(F.lit(name).alias("dataset"), F.lit(c).alias("column_name"),
+                          F.col(f"`{c}`").cast("string").alias("v")) for c in cols]
+        parts.append(df.select(F.col(ROW_ORDER), F.explode(F.array(*pairs)).alias("p"))
+                     .select("p.*", ROW_ORDER))
+    if not parts:
+        return None
+    long = reduce(DataFrame.unionByName, parts).where(F.col("v").isNotNull())
+    w = Window.partitionBy("dataset", "column_name").orderBy(ROW_ORDER)
+    first = long.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= size)
+    return (first.groupBy("dataset", "column_name")
+            .agg(F.sort_array(F.collect_list(F.struct("rn", "v"))).alias("s"))
+            .select("dataset", "column_name", F.transform("s", lambda x: x["v"]).alias("sample_values")))
 
 
 def profile_tables(tables: dict[str, DataFrame], sample_size: int = 5,
-                   approx_distinct: bool = False) -> DataFrame:
-    """Long profile: one row per (dataset, column) with P1-P6."""
-    stats = [_stats_one(name, number, df, approx_distinct) for number, (name, df) in enumerate(tables.items())]
-    out = reduce(DataFrame.unionByName, stats)
+                   approx_distinct: bool = False, materialize: bool = True) -> DataFrame:
+    """Long profile: one row per (dataset, column) with P1-P6.
+
+    The profile has one row per column, so by default it is computed once
+    and kept as a small local table; labels, join keys, notes and rules
+    derived from it then cost nothing more.  ``materialize=False`` keeps it
+    lazy (computed when written or read).
+    """
+    stats = _column_sketches(tables) if approx_distinct else _column_stats(tables)
+    meta = schema_profile(tables).withColumnRenamed("dataset_no", "t").withColumn("i", F.col("ordinal"))
+    joined = meta.join(F.broadcast(stats), ["t", "i"], "left")  # stats: one row per column
+    rows = F.coalesce(F.max("rows").over(Window.partitionBy("t")), F.lit(0)).cast("long")
+    nulls = F.coalesce(F.col("null_count"), F.lit(0)).cast("long")
+    out = joined.select(
+        "dataset", F.col("t").alias("dataset_no"), rows.alias("rows"), "columns", "column_name", "ordinal",
+        "dtype", "kind", nulls.alias("null_count"),
+        F.when(rows > 0, F.round(nulls * 100.0 / rows, 2)).alias("null_pct"),
+        F.coalesce(F.col("unique_count"), F.lit(0)).cast("long").alias("unique_count"),
+        "min_value", "max_value", "mean_value")
     samples = first_values(tables, sample_size)
     if samples is not None:
-        return out.join(samples, ["dataset", "column_name"], "left")
-    return out.withColumn("sample_values", F.lit(None).cast("array<string>"))
+        out = out.join(F.broadcast(samples), ["dataset", "column_name"], "left")  # one row per column
+    else:
+        out = out.withColumn("sample_values", F.lit(None).cast("array<string>"))
+    if not materialize:
+        return out
+    return out.sparkSession.createDataFrame(out.collect(), out.schema)
 
 
 def write_profile(profile: DataFrame, path: str) -> None:

@@ -79,7 +79,7 @@ def phase_profile(spark: SparkSession, state: RunState, root: str | None = None)
     schema part of the profile; the statistics (a full pass over every
     table) are computed when the profile is written (``root``) or read.
     """
-    state.profile = profile.profile_tables(state.sources)
+    state.profile = profile.profile_tables(state.sources, materialize=False)
     if root is not None:
         profile.write_profile(state.profile, f"{root}/profiles/{state.run_id}")
     state.bronze_rules = rules.bronze_rules(profile.schema_profile(state.sources))

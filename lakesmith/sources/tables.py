@@ -36,9 +36,28 @@ def with_row_order(df: DataFrame) -> DataFrame:
                                              F.monotonically_increasing_id().alias("pos")))
 
 
+_SCHEMAS: dict[tuple[str, int], object] = {}
+
+
+def _known_schema(spark: SparkSession, path: str):
+    """Footer schema of a local Parquet path, remembered per modification time.
+
+    Inferring it means reading file footers on every call, which dominates
+    short queries; the file listing itself is still done per read.  Remote
+    paths are always inferred.
+    """
+    if not os.path.exists(path):
+        return None
+    key = (path, os.stat(path).st_mtime_ns)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return _SCHEMAS[key]
+
+
 def read_table(spark: SparkSession, path: str, keep_order: bool = True) -> DataFrame:
     """Parquet scan (S2) with ``_row_order`` from file path and row index."""
-    df = spark.read.parquet(path)
+    schema = _known_schema(spark, path)
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if keep_order:
         df = df.select("*", row_order_from_metadata("parquet").alias(ROW_ORDER))
     return df
