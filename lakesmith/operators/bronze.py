@@ -28,6 +28,10 @@ def rules_for_table(rules: list[dict], name: str) -> list[dict]:
 
 def integer_step(stage: Stage, name: str, on_input: bool = False) -> None:
     """Cast to integer unless the column holds a fraction (then unchanged, Q3)."""
+    if casts.kind_of(stage.dtype(name)) == "integer" and name not in stage.chains:
+        stage.map(name, lambda c, dt, _: (c.cast("long"), T.LongType()))  # whole numbers already
+        return
+
     def request(c, dt, key):
         stage.add_agg(casts.fraction_count(c, dt).alias(f"{key}_frac"))
 

@@ -70,6 +70,10 @@ def _column_stats(tables: dict[str, DataFrame]) -> DataFrame:
     and every statistic follows from the ``(value, count)`` pairs.
     """
     parts = [_value_pairs(k, df) for k, df in enumerate(tables.values()) if _data_columns(df)]
+    if not parts:
+        return next(iter(tables.values())).sparkSession.createDataFrame(
+            [], "t int, i int, rows long, null_count long, unique_count long, min_value double, "
+                "max_value double, mean_value double")
     counted = (reduce(DataFrame.unionByName, parts)
                .groupBy("t", "i", "num", "m", "l", "d", "s").agg(F.count(F.lit(1)).alias("n")))
     n = F.col("n")
@@ -103,6 +107,8 @@ def _column_sketches(tables: dict[str, DataFrame]) -> DataFrame:
                                     F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"),
                                     F.col(f"av{i}").alias("mean_value")))
         outs.append(df.agg(*aggs).select(F.lit(number).alias("t"), F.inline(F.array(*structs))))
+    if not outs:
+        return _column_stats(tables)  # no data columns anywhere: the empty statistics table
     return reduce(DataFrame.unionByName, outs)
 
 

@@ -65,3 +65,19 @@ def test_samples_are_first_five_in_file_order(spark, tmp_path):
     prof = profile.profile_tables({"t": read_table(spark, path)})
     s = [r for r in prof.collect() if r["column_name"] == "s"][0]
     assert s["sample_values"] == ["v0", "v1", "v2", "v3", "v4"]
+
+
+def test_empty_table_and_nan(spark):
+    empty = spark.createDataFrame([], "a long, b string")
+    nan = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
+    prof = {(r["dataset"], r["column_name"]): r for r in
+            profile.profile_tables({"e": empty, "n": nan}).collect()}
+    assert prof[("e", "a")]["rows"] == 0 and prof[("e", "a")]["null_pct"] is None
+    assert prof[("n", "x")]["null_count"] == 1 and prof[("n", "x")]["unique_count"] == 1
+    assert prof[("n", "x")]["mean_value"] == 1.0
+
+
+def test_approximate_distinct_option(spark):
+    df = spark.createDataFrame([(i % 7, "x") for i in range(100)], "k long, s string")
+    prof = {r["column_name"]: r for r in profile.profile_tables({"t": df}, approx_distinct=True).collect()}
+    assert prof["k"]["unique_count"] == 7 and prof["s"]["unique_count"] == 1 and prof["k"]["max_value"] == 6.0
