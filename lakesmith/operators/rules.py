@@ -49,45 +49,30 @@ def _rule(source_table="", source_column="", target_table="", target_column="",
     return ("", source_table, source_column, "", target_table, target_column, ttype, logic, rule_no)
 
 
+def bronze_logic(kind: str, column: str) -> str:
+    """G1: the Bronze cast rule for one column."""
+    if kind == "integer":
+        return BRONZE_INT
+    if kind == "float":
+        return BRONZE_FLOAT
+    return BRONZE_DATE if _DATE_RE.search(column.lower()) else BRONZE_TEXT
+
+
 def bronze_rules(profile: DataFrame) -> DataFrame:
-    """G1 + G2: one cast rule per profiled column, two lineage rules per dataset."""
-    low = F.lower("column_name")
-    logic = (F.when(F.col("kind") == "integer", BRONZE_INT)
-             .when(F.col("kind") == "float", BRONZE_FLOAT)
-             .when(low.rlike(DATE_PATTERN), BRONZE_DATE)
-             .otherwise(BRONZE_TEXT))
-    base = F.col("dataset_no").cast("long") * 100_000
-    columns = profile.select(
-        F.lit("").alias("source_schema"), F.col("dataset").alias("source_table"),
-        F.col("column_name").alias("source_column"), F.lit("").alias("target_schema"),
-        F.col("dataset").alias("target_table"), F.col("column_name").alias("target_column"),
-        F.lit("Indirect").alias("transformation_type"), logic.alias("transformation_logic"),
-        (base + F.col("ordinal")).alias("rule_no"))
-    datasets = profile.select("dataset", "dataset_no", "columns").distinct()
-    lineage = datasets.select(
-        F.lit("").alias("source_schema"), F.col("dataset").alias("source_table"),
-        F.lit("").alias("source_column"), F.lit("").alias("target_schema"),
-        F.col("dataset").alias("target_table"),
-        F.inline(F.array(
-            F.struct(F.lit("_load_timestamp").alias("target_column"), F.lit(LOAD_TIME_TEXT).alias("l"),
-                     F.lit(0).alias("k")),
-            F.struct(F.lit("_source_file").alias("target_column"), F.lit(SOURCE_FILE_TEXT).alias("l"),
-                     F.lit(1).alias("k")))),
-        (F.col("dataset_no").cast("long") * 100_000 + F.col("columns")).alias("b"))
-    lineage = lineage.select(
-        "source_schema", "source_table", "source_column", "target_schema", "target_table", "target_column",
-        F.lit("Indirect").alias("transformation_type"), F.col("l").alias("transformation_logic"),
-        (F.col("b") + F.col("k")).alias("rule_no"))
-    return small_table(columns.unionByName(lineage))
-
-
-def small_table(df: DataFrame) -> DataFrame:
-    """Materialise a schema-sized table (rules, profiles: one row per column).
-
-    Later steps read such tables several times (review, selection, execution);
-    without this each read would recompute the profile aggregates behind them.
+    """G1 + G2: one cast rule per profiled column, two lineage rules per dataset.
+
+    The profile has one row per column; the rules are built from its rows.
     """
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    rows, tables = [], {}
+    for p in profile.select("dataset", "dataset_no", "columns", "column_name", "ordinal", "kind").collect():
+        base = p["dataset_no"] * 100_000
+        rows.append(_rule(p["dataset"], p["column_name"], p["dataset"], p["column_name"],
+                          logic=bronze_logic(p["kind"], p["column_name"]), rule_no=base + p["ordinal"]))
+        tables[p["dataset"]] = base + p["columns"]
+    for name, first in tables.items():
+        rows.append(_rule(name, "", name, "_load_timestamp", logic=LOAD_TIME_TEXT, rule_no=first))
+        rows.append(_rule(name, "", name, "_source_file", logic=SOURCE_FILE_TEXT, rule_no=first + 1))
+    return profile.sparkSession.createDataFrame(sorted(rows, key=lambda r: r[-1]), RULE_SCHEMA)
 
 
 def _schema_of(df: DataFrame) -> list[tuple[str, T.DataType]]:
@@ -137,22 +122,24 @@ def approve(rules: DataFrame, decisions: DataFrame | None) -> DataFrame:
     """Keep selected rules (default: all) and apply edited cells.
 
     ``decisions`` has ``rule_no`` and optional ``selected`` (boolean) and
-    edited text columns named like the rule columns.  An empty result is an error.
+    edited text columns named like the rule columns (null: unchanged).
+    Both tables are rule-sized.  An empty result is an error.
     """
-    if decisions is None:
-        out = rules
-    else:
-        d = decisions.select([F.col(c).alias(f"__d_{c}") for c in decisions.columns])
-        joined = rules.join(d, rules["rule_no"] == d["__d_rule_no"], "left")
-        keep = F.coalesce(F.col("__d_selected"), F.lit(True)) if "selected" in decisions.columns else F.lit(True)
-        cols = []
-        for c in RULE_COLUMNS:
-            edited = f"__d_{c}"
-            cols.append(F.coalesce(F.col(edited), F.col(c)).alias(c) if c in decisions.columns else F.col(c))
-        out = small_table(joined.where(keep).select(*cols, "rule_no"))
-    if out.isEmpty():
+    current = collect_rules(rules)
+    if decisions is not None:
+        edits = {r["rule_no"]: r.asDict() for r in decisions.collect()}
+        kept = []
+        for rule in current:
+            d = edits.get(rule["rule_no"], {})
+            if d.get("selected") is False:
+                continue
+            kept.append({c: (d[c] if d.get(c) is not None else rule[c]) for c in RULE_COLUMNS}
+                        | {"rule_no": rule["rule_no"]})
+        current = kept
+    if not current:
         raise ValueError("no rule selected: approve at least one rule")
-    return out
+    return rules.sparkSession.createDataFrame(
+        [tuple(r[c] for c in RULE_COLUMNS) + (r["rule_no"],) for r in current], RULE_SCHEMA)
 
 
 def normalize(rules: DataFrame) -> DataFrame:
@@ -170,7 +157,7 @@ def normalize(rules: DataFrame) -> DataFrame:
 
 def collect_rules(rules: DataFrame) -> list[dict]:
     """Rule rows in execution order (rule tables are schema-sized)."""
-    return [r.asDict() for r in normalize(rules).orderBy("rule_no").collect()]
+    return sorted((r.asDict() for r in normalize(rules).collect()), key=lambda r: r["rule_no"])
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:

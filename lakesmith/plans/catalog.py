@@ -97,11 +97,10 @@ def sql_conventional(name: str) -> str:
 
 def rename_decisions(spark: SparkSession, bronze_rule_table: DataFrame, names: list[str]) -> DataFrame:
     """Edited target names for generated Bronze rules (a rule review, G8)."""
-    mapping = spark.createDataFrame(
-        [(t, old, new) for t in names for old, new in CONVENTIONAL[t].items()],
-        "source_table string, source_column string, new_name string")
-    return (bronze_rule_table.join(mapping, ["source_table", "source_column"])
-            .select("rule_no", F.col("new_name").alias("target_column")))
+    renames = {(t, old): new for t in names for old, new in CONVENTIONAL[t].items()}
+    edits = [(r["rule_no"], renames[(r["source_table"], r["source_column"])])
+             for r in rules.collect_rules(bronze_rule_table) if (r["source_table"], r["source_column"]) in renames]
+    return spark.createDataFrame(edits, "rule_no long, target_column string")
 
 
 def conventional_bronze(spark: SparkSession, sf: str, names: list[str]) -> dict[str, DataFrame]:
@@ -308,6 +307,7 @@ def g_approved(spark, sf):
     decisions = generated.select(
         "rule_no", (~F.col("source_column").endswith("priority")).alias("selected"),
         F.when(F.col("source_column") == "o_totalprice", F.lit(BRONZE_TEXT)).alias("transformation_logic"))
+    # (a review table computed from the rules themselves)
     return rules.approve(generated, decisions).select(*RULE_OUT)
 
 
