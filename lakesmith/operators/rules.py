@@ -9,6 +9,7 @@ are as small as the set of columns, so executors read them on the driver.
 from __future__ import annotations
 
 import re
+import weakref
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,6 +45,19 @@ _ID_RE = re.compile(ID_PATTERN)
 _DATE_RE = re.compile(DATE_PATTERN)
 
 
+# Rule tables built here keep their rows next to the DataFrame, so reading
+# them back (selection, review, execution) needs no Spark job.
+_ROWS: "weakref.WeakKeyDictionary[DataFrame, list[dict]]" = weakref.WeakKeyDictionary()
+
+
+def rule_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """A rule table from ``RULE_SCHEMA`` tuples."""
+    df = spark.createDataFrame(rows, RULE_SCHEMA)
+    names = RULE_COLUMNS + ["rule_no"]
+    _ROWS[df] = sorted((dict(zip(names, r)) for r in rows), key=lambda r: r["rule_no"])
+    return df
+
+
 def _rule(source_table="", source_column="", target_table="", target_column="",
           ttype="Indirect", logic="", rule_no=0) -> tuple:
     return ("", source_table, source_column, "", target_table, target_column, ttype, logic, rule_no)
@@ -72,7 +86,7 @@ def bronze_rules(profile: DataFrame) -> DataFrame:
     for name, first in tables.items():
         rows.append(_rule(name, "", name, "_load_timestamp", logic=LOAD_TIME_TEXT, rule_no=first))
         rows.append(_rule(name, "", name, "_source_file", logic=SOURCE_FILE_TEXT, rule_no=first + 1))
-    return profile.sparkSession.createDataFrame(sorted(rows, key=lambda r: r[-1]), RULE_SCHEMA)
+    return rule_table(profile.sparkSession, sorted(rows, key=lambda r: r[-1]))
 
 
 def _schema_of(df: DataFrame) -> list[tuple[str, T.DataType]]:
@@ -105,7 +119,7 @@ def silver_rules(spark: SparkSession, bronze: Mapping[str, DataFrame]) -> DataFr
         if key:
             rows.append(_rule(name, key, target, key, logic=DEDUP_TEXT.format(key), rule_no=n))
             n += 1
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    return rule_table(spark, rows)
 
 
 def gold_rules(spark: SparkSession, silver: Mapping[str, DataFrame]) -> DataFrame:
@@ -115,7 +129,7 @@ def gold_rules(spark: SparkSession, silver: Mapping[str, DataFrame]) -> DataFram
         stem = name[: -len("_silver")] if name.endswith("_silver") else name
         for col, _ in _schema_of(df):
             rows.append(_rule(stem, col, GOLD_TABLE, col, "Direct", "Passthrough", len(rows)))
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    return rule_table(spark, rows)
 
 
 def approve(rules: DataFrame, decisions: DataFrame | None) -> DataFrame:
@@ -138,8 +152,7 @@ def approve(rules: DataFrame, decisions: DataFrame | None) -> DataFrame:
         current = kept
     if not current:
         raise ValueError("no rule selected: approve at least one rule")
-    return rules.sparkSession.createDataFrame(
-        [tuple(r[c] for c in RULE_COLUMNS) + (r["rule_no"],) for r in current], RULE_SCHEMA)
+    return rule_table(rules.sparkSession, [tuple(r[c] for c in RULE_COLUMNS) + (r["rule_no"],) for r in current])
 
 
 def normalize(rules: DataFrame) -> DataFrame:
@@ -157,6 +170,9 @@ def normalize(rules: DataFrame) -> DataFrame:
 
 def collect_rules(rules: DataFrame) -> list[dict]:
     """Rule rows in execution order (rule tables are schema-sized)."""
+    known = _ROWS.get(rules)
+    if known is not None:
+        return [dict(r) for r in known]
     return sorted((r.asDict() for r in normalize(rules).collect()), key=lambda r: r["rule_no"])
 
 
@@ -175,4 +191,4 @@ def write_rules(rules: DataFrame, path: str) -> None:
 def rules_from_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """Rule table from plain dicts (tests, hand-written rules); order = list order."""
     data = [tuple(str(r.get(c, "") or "") for c in RULE_COLUMNS) + (i,) for i, r in enumerate(rows)]
-    return spark.createDataFrame(data, RULE_SCHEMA)
+    return rule_table(spark, data)

@@ -77,10 +77,11 @@ def phase_profile(spark: SparkSession, state: RunState, root: str | None = None)
 
     The rules depend on column names and types only, so they come from the
     schema part of the profile; the statistics (a full pass over every
-    table) are computed when the profile is written (``root``) or read.
+    table) are computed when the profile is written (``root``), or on
+    request with ``profile.profile_tables(state.sources)``.
     """
-    state.profile = profile.profile_tables(state.sources, materialize=False)
     if root is not None:
+        state.profile = profile.profile_tables(state.sources, materialize=False)
         profile.write_profile(state.profile, f"{root}/profiles/{state.run_id}")
     state.bronze_rules = rules.bronze_rules(profile.schema_profile(state.sources))
     return state
