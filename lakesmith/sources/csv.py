@@ -27,9 +27,15 @@ TRUE_TOKENS = ["True", "TRUE", "true"]
 FALSE_TOKENS = ["False", "FALSE", "false"]
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All-text scan with header; quoted fields may span lines."""
-    df = (spark.read.option("header", True).option("multiLine", True)
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All-text scan with header.
+
+    With ``multi_line`` (the default) quoted fields may span lines, which
+    makes every file one task; files known to hold one record per line can
+    pass ``multi_line=False`` so Spark splits them by
+    ``spark.sql.files.maxPartitionBytes``.
+    """
+    df = (spark.read.option("header", True).option("multiLine", multi_line)
           .option("escape", '"').option("inferSchema", False).csv(path))
     cols = [F.when(~F.col(f"`{c}`").isin(NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns]
     return df.select(*cols, row_order_from_metadata("csv").alias(ROW_ORDER))
@@ -81,7 +87,8 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select(*out)
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: dict[str, str] | None = None) -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, schema: dict[str, str] | None = None,
+                   multi_line: bool = True) -> DataFrame:
     """Typed CSV table: explicit ``schema`` wins, else one inference pass."""
-    raw = read_raw_csv(spark, path)
+    raw = read_raw_csv(spark, path, multi_line)
     return apply_types(raw, schema if schema is not None else infer_types(raw))
