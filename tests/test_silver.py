@@ -129,3 +129,48 @@ def test_generated_rules_cost_one_statistics_pass(spark):
     fill_nulls(st, "s", "blank")
     st.frame()
     assert st.jobs == 1
+
+
+def _hot_rows(n=3000):
+    """Key 7 holds a third of the rows, the null key another tenth."""
+    rows = []
+    for i in range(n):
+        k = 7 if i % 3 == 0 else (None if i % 10 == 1 else i % 97)
+        rows.append((i, k, f"t{i % 13}"))
+    return rows
+
+
+def test_keep_first_hot_key_matches_brute_force(spark):
+    import pandas as pd
+
+    from lakesmith.sources.tables import ROW_ORDER
+    rows = _hot_rows()
+    df = spark.createDataFrame(rows, "seq long, k long, tag string").repartition(6)
+    df = df.withColumn(ROW_ORDER, df["seq"])  # row order = original position
+    out = silver.keep_first(df, ["k"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min" in plan  # combined map-side, no per-key window
+    got = sorted(((r["k"], r["seq"], r["tag"]) for r in out.collect()), key=repr)
+    pdf = pd.DataFrame(rows, columns=["seq", "k", "tag"]).astype({"k": "Int64"})
+    want = sorted(((None if pd.isna(k) else int(k), int(s), t)
+                   for s, k, t in pdf.drop_duplicates(subset=["k"], keep="first").itertuples(index=False)),
+                  key=repr)
+    assert got == want
+
+
+def test_sequential_keys_hot_order_key_match_brute_force(spark):
+    from lakesmith.operators.keys import number_rows
+    rows = _hot_rows()
+    df = spark.createDataFrame(rows, "seq long, k long, tag string").repartition(6)
+    out = number_rows(df, "pk", ["k", "seq"], ["seq", "k", "tag"], partitions=8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the only single-partition step is the offsets window over one count row per partition
+    lines = plan.splitlines()
+    singles = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert singles and all("HashAggregate(keys=[__part" in lines[i + 1] for i in singles)
+    got = [(r["pk"], r["seq"]) for r in out.orderBy("pk").collect()]
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1] if r[1] is not None else 0, r[0]))
+    assert got == [(i + 1, r[0]) for i, r in enumerate(order)]
+    hot = sorted(r["pk"] for r in out.where("k = 7").select("pk").collect())
+    n_hot = sum(1 for r in rows if r[1] == 7)
+    assert n_hot >= len(rows) // 3 and hot == list(range(hot[0], hot[0] + n_hot))  # consecutive numbers
