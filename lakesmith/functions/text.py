@@ -9,11 +9,19 @@ from pyspark.sql import functions as F
 # treat as whitespace (ASCII controls, file/group/record/unit separators,
 # NEL and every Unicode space separator).
 WS_CLASS = r"[\t\n\x0b\x0c\r\x1c-\x1f\x85\p{Z}]"
+# Fixed value: the same characters listed one by one (Zs, Zl, Zp spelled out).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+            "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+            "\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip_ws(c: Column) -> Column:
-    """Trim all whitespace at both ends (``F.trim`` only removes spaces)."""
-    return F.regexp_replace(c, f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    """Trim all whitespace at both ends (``F.trim`` only removes spaces).
+
+    ``btrim`` with the character set looks at the ends only, where a regex
+    would scan the whole text for a trailing run.
+    """
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def split_ws(c: Column) -> Column:

@@ -174,3 +174,16 @@ def test_sequential_keys_hot_order_key_match_brute_force(spark):
     hot = sorted(r["pk"] for r in out.where("k = 7").select("pk").collect())
     n_hot = sum(1 for r in rows if r[1] == 7)
     assert n_hot >= len(rows) // 3 and hot == list(range(hot[0], hot[0] + n_hot))  # consecutive numbers
+
+
+def test_strip_characters_are_plain_whitespace(spark):
+    """The strip set is exactly what ``str.strip()`` removes, and stripping
+    keeps inner whitespace, empties blank text and keeps null."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.functions.text import WS_CHARS, strip_ws
+    assert set(WS_CHARS) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
+    samples = [" \t a  b 　\n", "\x1c\x85x ", "   ", "", "no-edges", None, "​zero-width​"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
+    got = [r["o"] for r in df.select(strip_ws(F.col("s")).alias("o")).orderBy(F.col("i")).collect()]
+    assert got == [None if s is None else s.strip() for s in samples]
