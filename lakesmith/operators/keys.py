@@ -33,11 +33,14 @@ def number_rows(df: DataFrame, name: str, order: list[str], keep: list[str] | No
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keep = list(df.columns if keep is None else keep)
     carried = keep + [c for c in order if c not in keep]
     sort = [F.col(f"`{c}`").asc_nulls_last() for c in order]
-    ranged = df.select(*[F.col(f"`{c}`") for c in carried]).repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+    # Without an explicit count the range shuffle starts from the session's
+    # partition count and adaptive execution may merge adjacent small ranges;
+    # merged ranges stay contiguous and in order, so the numbering is unchanged.
+    by = (partitions,) if partitions else ()
+    ranged = df.select(*[F.col(f"`{c}`") for c in carried]).repartitionByRange(*by, *sort).sortWithinPartitions(*sort)
     part = F.spark_partition_id().cast("long")
     path = os.path.join(ensure_checkpoint_dir(spark), "lakesmith-keys", uuid.uuid4().hex)
     (ranged.withColumn(_P, part)
