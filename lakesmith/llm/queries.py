@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesmith.llm import decontaminate, mixing, sharding, simhash, toxicity, url_filter
+from lakesmith.llm import decontaminate, mixing, secrets, sharding, simhash, toxicity, url_filter
 from lakesmith.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,19 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "o.item_id", "o.start", "o.end", "o.matched", "o.item_tokens"))
 
 
+# -- 4: secret scan ------------------------------------------------------------
+
+@register("op4_secrets")
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["rank"] < 3)
+    return found.select(
+        "doc_id", *[secrets.count_kind(F.col("spans"), k).alias(f"n_{k}") for k in secrets.KINDS[:3]],
+        F.sha2(secrets.span_text(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"))
+
+
 # -- 5: sharding ---------------------------------------------------------------
 
 SHARDS = 40
