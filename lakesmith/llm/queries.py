@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesmith.llm import decontaminate, mixing, secrets, sharding, simhash, toxicity, url_filter
+from lakesmith.llm import decontaminate, line_dedup, mixing, secrets, sharding, simhash, toxicity, url_filter
 from lakesmith.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,6 +130,38 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "score", "predicted")
 
 
+# -- 8: line deduplication -----------------------------------------------------
+
+OP8_SQL = """
+WITH doc AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+line AS (SELECT doc_id, generate_subscripts(lines, 1) AS no, unnest(lines) AS l FROM doc),
+full_line AS (
+  SELECT doc_id, no, l, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS p FROM line WHERE trim(l, ' ') <> ''),
+run AS (
+  SELECT doc_id, p, l AS l1, lead(l, 1) OVER w AS l2, lead(l, 2) OVER w AS l3
+  FROM full_line WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+judged AS (
+  SELECT doc_id, p, (doc_id, p) > min((doc_id, p)) OVER (PARTITION BY l1, l2, l3) AS later FROM run WHERE l3 IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest([p, p + 1, p + 2]) AS p FROM judged WHERE later),
+numbered AS (
+  SELECT f.doc_id, f.no, g.p, lag(g.p) OVER (PARTITION BY f.doc_id ORDER BY f.no) AS before
+  FROM full_line f LEFT JOIN gone g USING (doc_id, p)),
+kept AS (
+  SELECT line.doc_id, string_agg(line.l, chr(10) ORDER BY line.no) FILTER (n.p IS NULL) AS t, count(n.p) AS n_removed,
+         count(*) FILTER (n.p IS NOT NULL AND n.before IS NULL) AS runs, count(*) AS n_lines
+  FROM line LEFT JOIN numbered n USING (doc_id, no) GROUP BY line.doc_id)
+SELECT doc_id, n_lines, n_removed, runs, sha256(coalesce(t, '')) AS kept_sha256 FROM kept
+"""
+
+
+@register("op8_line_dedup", OP8_SQL)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated runs of three or more lines, later copies deleted."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", "runs",
+                      F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 # -- 10: URL filter ------------------------------------------------------------
 
 URL_RULES = [
