@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,11 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also inside other lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def document_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """A document's identity where rows must be joined back: id and text digest.
 

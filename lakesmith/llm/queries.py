@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesmith.llm import decontaminate, line_dedup, mixing, secrets, sharding, simhash, toxicity, url_filter
+from lakesmith.llm import decontaminate, fingerprint, line_dedup, mixing, secrets, sharding, simhash, toxicity, url_filter
 from lakesmith.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,6 +162,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+# -- 9: document fingerprints --------------------------------------------------
+
+@register("op9_fingerprint")
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    out = fingerprint.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 # -- 10: URL filter ------------------------------------------------------------
 
 URL_RULES = [

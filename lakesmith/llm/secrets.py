@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesmith.llm.common import col, kept_columns, text_of
+from lakesmith.llm.common import col, kept_columns, let, text_of
 
 # Base patterns, in the order of their kinds.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -94,12 +94,11 @@ def _class_of(value: Column) -> Column:
 def _hot_windows(value: Column, threshold: Column) -> Column:
     """Merged (start, end) of the windows of ``value`` whose entropy reaches ``threshold``."""
     logs = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
-    codes = F.transform(F.split(value, ""), lambda ch: F.instr(F.lit(ALPHABET), ch) - 1)
     none = F.array().cast("array<struct<start:int,end:int>>")
     zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("total"),
                     none.alias("spans"))
 
-    def step(acc: Column, i: Column) -> Column:
+    def step(codes: Column, acc: Column, i: Column) -> Column:
         enter, leave = codes[i], F.when(i >= WINDOW, codes[i - WINDOW]).otherwise(-1)
         had = acc["counts"][enter]
         left = F.when(i >= WINDOW, acc["counts"][F.greatest(leave, F.lit(0))] + (enter == leave).cast("int"))
@@ -116,7 +115,9 @@ def _hot_windows(value: Column, threshold: Column) -> Column:
                         F.concat(F.slice(spans, 1, F.size(spans) - 1), wider)).otherwise(F.concat(spans, own))
         return F.struct(counts.alias("counts"), total.alias("total"), F.when(hot, joined).otherwise(spans).alias("spans"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.char_length(value) - 1), zero, step, lambda acc: acc["spans"])
+    codes = F.transform(F.split(value, ""), lambda ch: F.instr(F.lit(ALPHABET), ch) - 1)
+    return let(codes, lambda known: F.aggregate(F.sequence(F.lit(0), F.char_length(value) - 1), zero,
+                                                lambda acc, i: step(known, acc, i), lambda acc: acc["spans"]))
 
 
 def entropy_spans(text: Column, allowed: tuple[str, ...] = ALLOWED) -> Column:
