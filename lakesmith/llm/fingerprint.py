@@ -1,21 +1,21 @@
 """Document fingerprints by invertible Bloom lookup sketches (operator 9),
-DataFrame expressions only.
+DataFrame operations only.
 
 A text is the set of digests of its paragraphs (lines; long ones are cut, see
-``pieces``).  The sketch hashes every digest into one cell of each of four
+``pieces``).  The sketch hashes every digest into one cell of each of three
 tables; a cell holds a count, the XOR of its digests and the XOR of their check
 sums.  Subtracting the cells of two versions cancels what they share.  Peeling
 then recovers the rest: a cell with count 1 or -1 whose check sum fits holds a
 single digest, which is taken out of its other cells, until all are empty.
 The recovered digests of either side give the likeness |A and B| / |A or B|.
-
-If cells remain, the pair is tried again with a larger sketch: digests are
-dealt by another hash to twice as many groups of cells.  Its size follows the
-two counts, so any difference is recovered; after ``RETRIES`` failures the
-digest sets themselves are compared.
-
-Sketches, subtraction and peeling happen inside the row.  The only shuffles
-are those that bring a document's text together with its successor's opening.
+Pairs that keep cells are tried again with a larger sketch, sized by their two
+counts and doubled on every further failure, until none is left.
+
+Cells are rows, and every step is a projection and a hash aggregation by
+(document, pair, cell).  The narrow table of digests is checkpointed and
+partitioned by document; all grouping keys begin with the document, so cells
+are never shuffled.  The other shuffles bring a document together with its
+successor's opening.
 """
 
 from __future__ import annotations
@@ -23,18 +23,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesmith.llm.common import col, let, text_of
+from lakesmith.llm.common import checkpointed, col, text_of
 from lakesmith.operators.keys import number_rows
 
-TABLES, WIDTH = 4, 8
-CELLS = TABLES * WIDTH
+TABLES = 3
+#: Cells of a table of the fingerprint itself, and the least of a retry.
+WIDTH, RETRY_WIDTH = 8, 16
 #: Passes over all tables while peeling.
 ROUNDS = 4
-#: Expected differing digests of one group of cells in a retry.
-LOAD = 8
-RETRIES = 6
 #: Piece lengths in code points: the opening of a text, then the rest.
-OPENING, SHORT, LONG = 128, 16, 96
+OPENING, SHORT, LONG = 128, 16, 192
+
+_DOC = ["k1", "k2"]
+_FOUND_PLUS, _FOUND_MINUS = -1, -2
 
 
 def pieces(text: Column) -> Column:
@@ -55,119 +56,122 @@ def _check(digest: Column) -> Column:
     return F.xxhash64(F.lit(99), digest).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _places(digest: Column, seed: int) -> Column:
-    """The digest's cell in each table."""
-    h = F.xxhash64(F.lit(seed), digest)
-    return F.array(*[(F.shiftright(h, 3 * t).bitwiseAND(F.lit(WIDTH - 1)) + t * WIDTH).cast("int") for t in range(TABLES)])
-
-
-def _signed(values: Column, sign: int, seed: int, groups: Column | None = None) -> Column:
-    def entry(d: Column) -> Column:
-        g = F.lit(0) if groups is None else F.pmod(F.xxhash64(F.lit(seed + 1000), d), groups)
-        return F.struct(F.lit(sign).alias("n"), d.alias("k"), _check(d).alias("c"), _places(d, seed).alias("at"),
-                        g.cast("int").alias("g"))
-    return F.transform(values, entry)
-
-
-def _cell(n: Column, k: Column, c: Column) -> Column:
-    return F.struct(n.alias("n"), k.alias("k"), c.alias("c"))
-
-
-def _sum(entries: Column) -> Column:
-    """Cells of the entries: signed counts, XOR of digests, XOR of check sums."""
-    zero = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
-    return let(entries, lambda all_entries: F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda q: F.aggregate(
-        F.filter(all_entries, lambda e: F.array_contains(e["at"], q)), zero,
-        lambda a, e: _cell(a["n"] + e["n"], a["k"].bitwiseXOR(e["k"]), a["c"].bitwiseXOR(e["c"])))))
-
-
-def _peel(cells: Column, seed: int) -> Column:
-    """(ok, plus, minus): recovered digests of either side; not ok if cells remain."""
-    zero = F.struct(cells.alias("cells"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
-
-    def step(state: Column, i: Column) -> Column:
-        table = F.slice(state["cells"], (i % TABLES) * WIDTH + 1, WIDTH)
-        single = F.filter(table, lambda x: (F.abs(x["n"]) == 1) & (_check(x["k"]) == x["c"]))
-        placed = F.transform(single, lambda x: F.struct(x["n"].alias("n"), x["k"].alias("k"), x["c"].alias("c"),
-                                                        _places(x["k"], seed).alias("at")))
-        return let(placed, lambda pure: F.when(F.size(pure) == 0, state).otherwise(without(state, pure)))
-
-    def without(state: Column, pure: Column) -> Column:
-        # a digest has one cell in the table at hand, so none is taken out twice
-        out = F.transform(state["cells"], lambda x, q: F.aggregate(
-            F.filter(pure, lambda p: F.array_contains(p["at"], q)), x,
-            lambda a, p: _cell(a["n"] - p["n"], a["k"].bitwiseXOR(p["k"]), a["c"].bitwiseXOR(p["c"]))))
-        return F.struct(out.alias("cells"),
-                        (state["plus"] + F.size(F.filter(pure, lambda p: p["n"] == 1))).alias("plus"),
-                        (state["minus"] + F.size(F.filter(pure, lambda p: p["n"] == -1))).alias("minus"))
-
-    def end(state: Column) -> Column:
-        clean = F.forall(state["cells"], lambda x: (x["n"] == 0) & (x["k"] == 0) & (x["c"] == 0))
-        return F.struct(clean.alias("ok"), state["plus"].alias("plus"), state["minus"].alias("minus"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.lit(TABLES * ROUNDS - 1)), zero, step, end)
-
-
-def sketch(values: Column) -> Column:
-    """The sketch of a digest set: an array of cells."""
-    return _sum(_signed(values, 1, 0))
-
-
-def sketch_text(cells: Column) -> Column:
-    """A sketch as text: 15 bytes a cell (count modulo 2^24, digests, check sums) in base64."""
-    digits = F.array_join(F.transform(cells, lambda x: F.concat(
-        F.lpad(F.hex(x["n"].bitwiseAND(F.lit(0xFFFFFF))), 6, "0"), F.lpad(F.hex(x["k"]), 16, "0"),
-        F.lpad(F.hex(x["c"]), 8, "0"))), "")
-    return F.regexp_replace(F.base64(F.unhex(digits)), "\\s", "")
-
-
-def _ratio(found: Column, a: Column, b: Column) -> Column:
-    union = F.size(a) + found["minus"]
-    return F.when(union == 0, 1.0).otherwise((F.size(a) - found["plus"]) / union)
-
-
-def _retry(a: Column, b: Column, attempt: int) -> Column:
-    """Likeness by a sketch of several groups of cells; null if one keeps cells."""
-    fits = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest((F.size(a) + F.size(b)) / LOAD, F.lit(1.0)))) + (attempt - 1))
-    groups = fits.cast("int")
-    entries = F.concat(_signed(a, 1, attempt, groups), _signed(b, -1, attempt, groups))
-    found = let(entries, lambda es: F.transform(F.sequence(F.lit(0), groups - 1), lambda g: _peel(
-        _sum(F.filter(es, lambda e: e["g"] == g)), attempt)))
-    total = F.aggregate(found, F.struct(F.lit(True).alias("ok"), F.lit(0).alias("plus"), F.lit(0).alias("minus")),
-                        lambda s, x: F.struct((s["ok"] & x["ok"]).alias("ok"), (s["plus"] + x["plus"]).alias("plus"),
-                                              (s["minus"] + x["minus"]).alias("minus")))
-    return let(total, lambda t: F.when(t["ok"], _ratio(t, a, b)))
-
-
-def likeness(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
-    """|A and B| / |A or B| of two digest sets from their sketches; 1.0 if both are empty.
-
-    ``a`` and ``b`` serve the retries only.  The steps are tried in order and
-    stop at the first that recovers the whole difference.
-    """
-    minus = F.zip_with(sketch_a, sketch_b, lambda x, y: _cell(
-        x["n"] - y["n"], x["k"].bitwiseXOR(y["k"]), x["c"].bitwiseXOR(y["c"])))
-    first = let(_peel(minus, 0), lambda t: F.when(t["ok"], _ratio(t, a, b)))
-    sets = F.struct(F.size(F.array_except(a, b)).alias("plus"), F.size(F.array_except(b, a)).alias("minus"))
-    return F.coalesce(first, *[_retry(a, b, t) for t in range(1, RETRIES + 1)], _ratio(sets, a, b))
-
-
-def _key(id_col: str, text_col: str) -> Column:
-    """Identity of a document: id and text digest in one value that is never null."""
-    return F.concat_ws(":", F.coalesce(col(id_col).cast("string"), F.lit("~")), F.hex(F.xxhash64(text_of(text_col))))
+def _place(digest: Column, table: Column, width: Column) -> Column:
+    """The digest's cell in a table; the widths are powers of two, and another
+    width gives other neighbours."""
+    h = F.xxhash64(width, table, digest)
+    return h.bitwiseAND(width - 1) * TABLES + table
+
+
+def _cells(entries: DataFrame, by: list[str]) -> DataFrame:
+    """Cells of the entries (by..., w, sign, k): signed counts and XORs."""
+    placed = F.array(*[_place(F.col("k"), F.lit(t), F.col("w")) for t in range(TABLES)])
+    return (entries.select(*by, "w", "sign", "k", _check(F.col("k")).alias("c"), F.explode(placed).alias("cell"))
+            .groupBy(*by, "w", "cell").agg(F.sum("sign").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c")))
+
+
+def peel(cells: DataFrame) -> DataFrame:
+    """(k1, k2, pair, w, cell, n, k, c) -> (k1, k2, pair, plus, minus, ok):
+    digests recovered on either side; not ok if cells remain.  A pair without
+    any cell has no row: its versions are equal."""
+    live = (F.col("cell") < 0) | (F.col("n") != 0) | (F.col("k") != 0) | (F.col("c") != 0)
+    state, by = cells.where(live), [*_DOC, "pair", "w", "cell"]
+
+    for step in range(TABLES * ROUNDS):
+        table = step % TABLES
+        others = [t for t in range(TABLES) if t != table]
+        # a digest has one cell in a table, so none is taken out twice
+        pure = ((F.col("cell") >= 0) & (F.col("cell") % TABLES == table) & (F.abs("n") == 1)
+                & (_check(F.col("k")) == F.col("c")))
+        # a pure cell becomes a recovered digest (0) and what leaves its other cells (1, 2)
+        parts = F.when(pure, F.array(*[F.lit(i) for i in range(TABLES)])).otherwise(F.array(F.lit(-1)))
+        i, zero = F.col("i"), F.lit(0).cast("long")
+        cell = F.when(i == -1, F.col("cell")).when(
+            i == 0, F.when(F.col("n") > 0, F.lit(_FOUND_PLUS)).otherwise(F.lit(_FOUND_MINUS)).cast("long")).otherwise(
+            _place(F.col("k"), F.when(i == 1, others[0]).otherwise(others[1]), F.col("w")))
+        state = (state.select(*by, "n", "k", "c", F.explode(parts).alias("i"))
+                 .select(*_DOC, "pair", "w", cell.alias("cell"),
+                         F.when(i == -1, F.col("n")).when(i == 0, F.lit(1).cast("long")).otherwise(-F.col("n")).alias("n"),
+                         F.when(i == 0, zero).otherwise(F.col("k")).alias("k"),
+                         F.when(i == 0, zero).otherwise(F.col("c")).alias("c"))
+                 .groupBy(*by).agg(F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c")).where(live))
+
+    def count(kind: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("cell") == kind, F.col("n"))), F.lit(0))
+
+    return state.groupBy(*_DOC, "pair").agg(count(_FOUND_PLUS).alias("plus"), count(_FOUND_MINUS).alias("minus"),
+                                            (F.max("cell") < 0).alias("ok"))
+
+
+def _labelled(values: Column, pair: Column, sign: int) -> Column:
+    return F.transform(values, lambda d: F.struct(pair.alias("pair"), F.lit(sign).cast("long").alias("sign"), d.alias("k")))
+
+
+def _entries(rows: DataFrame, lists: list[Column], width: Column) -> DataFrame:
+    """(k1, k2, pair, w, sign, k): labelled digest lists as rows."""
+    return rows.select(*_DOC, width.alias("w"), F.explode(F.concat(*lists)).alias("x")).select(*_DOC, "w", "x.*")
+
+
+def sketches(rows: DataFrame, versions: list[str]) -> DataFrame:
+    """Cells (k1, k2, pair: version, w, cell, n, k, c) of every version's digests."""
+    lists = [_labelled(F.col(v), F.lit(v), 1) for v in versions]
+    return _cells(_entries(rows, lists, F.lit(WIDTH).cast("long")), [*_DOC, "pair"])
+
+
+def sketch_texts(cells: DataFrame, names: dict[str, str]) -> DataFrame:
+    """(k1, k2, name...): sketches as base64 text, 16 bytes for each cell that
+    is not empty: number, count modulo 2^24, digests, check sums."""
+    digits = F.concat(F.lpad(F.hex("cell"), 2, "0"), F.lpad(F.hex(F.col("n").bitwiseAND(F.lit(0xFFFFFF))), 6, "0"),
+                      F.lpad(F.hex("k"), 16, "0"), F.lpad(F.hex("c"), 8, "0"))
+    rows = cells.where(F.col("pair").isin(*names)).select(*_DOC, "pair", digits.alias("d"))
+    lists = rows.groupBy(*_DOC).agg(*[F.array_join(F.sort_array(F.collect_list(F.when(F.col("pair") == v, F.col("d")))), "")
+                                      .alias(name) for v, name in names.items()])
+    return lists.select(*_DOC, *[F.regexp_replace(F.base64(F.unhex(name)), "\\s", "").alias(name) for name in names.values()])
+
+
+def differences(rows: DataFrame, base: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """(k1, k2, pair, plus, minus): how many digests the first and the second
+    side of every named pair of digest columns hold alone, recovered from the
+    sketches ``base`` and from larger ones where those fail.  Pairs of equal
+    sets have no row."""
+    uses = F.array(*[F.struct(F.lit(v).alias("v"), F.lit(p).alias("p"), F.lit(sign).cast("long").alias("s"))
+                     for p, (a, b) in pairs.items() for v, sign in ((a, 1), (b, -1))])
+    signed = base.withColumn("x", F.explode(uses)).where("pair = x.v")
+    minus = signed.groupBy(*_DOC, F.col("x.p").alias("pair"), "w", "cell").agg(
+        F.sum(F.col("n") * F.col("x.s")).alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
+    tried, growth = checkpointed(peel(minus)), 1
+    found = tried.where("ok")
+    while not (failed := tried.where("not ok").select(*_DOC, "pair")).isEmpty():
+        mine = rows.join(failed, _DOC)
+        a, b = (F.coalesce(*[F.when(F.col("pair") == p, F.col(sides[i])) for p, sides in pairs.items()]) for i in (0, 1))
+        mine = mine.select(*_DOC, "pair", a.alias("a"), b.alias("b"))
+        # a table for half the digests that can differ, rounded up to a power of two
+        need = F.greatest((F.size("a") + F.size("b")) / 2.0, F.lit(float(RETRY_WIDTH)))
+        width = (F.pow(F.lit(2.0), F.ceil(F.log2(need))) * growth).cast("long")
+        lists = [_labelled(F.col("a"), F.col("pair"), 1), _labelled(F.col("b"), F.col("pair"), -1)]
+        tried = checkpointed(peel(_cells(_entries(mine, lists, width), [*_DOC, "pair"])))
+        found, growth = found.unionByName(tried.where("ok")), growth * 2
+    return found.select(*_DOC, "pair", "plus", "minus")
+
+
+def document_keys(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """Identity of a document as two digests that are never null: of its id and of its text."""
+    return [F.xxhash64(F.coalesce(col(id_col).cast("string"), F.lit("~"))).alias("k1"),
+            F.xxhash64(text_of(text_col)).alias("k2")]
 
 
 def successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, before, taken): each distinct document, the one whose successor it
-    is in (id, key) order (nulls last, the first follows the last), and how many
-    of its opening code points that one takes, a quarter of its own length."""
-    narrow = docs.select(col(id_col).alias("id"), _key(id_col, text_col).alias("key"),
+    """(k1, k2, b1, b2, taken): each distinct document, the one (b1, b2) whose
+    successor it is in id order (ties by digest, nulls last, the first follows
+    the last), and how many of its opening code points that one takes: a quarter
+    of its own length."""
+    narrow = docs.select(col(id_col).alias("id"), *document_keys(id_col, text_col),
                          F.char_length(text_of(text_col)).alias("n")).distinct()
-    numbered = number_rows(narrow, "no", ["id", "key"], keep=["key", "n"])
+    numbered = number_rows(narrow, "no", ["id", "k2", "k1"], keep=["k1", "k2", "n"])
     last = numbered.agg(F.max("no")).scalar()
-    follows = numbered.select(F.col("key").alias("before"), F.floor(F.col("n") / 4).cast("int").alias("taken"),
-                              (F.col("no") % last + 1).alias("no"))
-    return numbered.select("key", "no").join(follows, "no").drop("no")
+    follows = numbered.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"),
+                              F.floor(F.col("n") / 4).cast("int").alias("taken"), (F.col("no") % last + 1).alias("no"))
+    return numbered.select("k1", "k2", "no").join(follows, "no").drop("no")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,34 +179,44 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``.
 
     The edited text has its last quarter (rounded down) replaced by as many
-    opening code points of the next document.  Null texts count as empty; two
-    empty texts have likeness 1.  Rows that repeat id and text are one document
-    and each get its result; a lone document is its own successor; an empty
-    table gives an empty result.
+    opening code points of the next document.  Null texts count as empty; an
+    empty text has an empty fingerprint, and two of them have likeness 1.  Rows
+    that repeat id and text are one document and each get its result; a lone
+    document is its own successor; an empty table gives an empty result.
     """
-    rows = docs.select(col(id_col).alias("id"), _key(id_col, text_col).alias("key"), text_of(text_col).alias("text"))
-    one = rows.groupBy("key").agg(F.first("id").alias("id"), F.first("text").alias("text"),
+    rows = docs.select(col(id_col).alias("id"), *document_keys(id_col, text_col), text_of(text_col).alias("text"))
+    one = rows.groupBy(*_DOC).agg(F.first("id").alias("id"), F.first("text").alias("text"),
                                   F.count(F.lit(1)).cast("int").alias("copies"))
-    linked = one.join(successors(docs, id_col, text_col), "key")
-    sent = linked.select(F.col("before").alias("key"), F.substring(F.col("text"), F.lit(1), F.col("taken")).alias("opening"),
-                         digests(F.col("text")).alias("c"))
-    met = linked.select("key", "id", "text", "copies").join(sent, "key")
+    linked = one.join(successors(docs, id_col, text_col), _DOC)
+    sent = linked.select(F.col("b1").alias("k1"), F.col("b2").alias("k2"), digests(F.col("text")).alias("c"),
+                         F.substring(F.col("text"), F.lit(1), F.col("taken")).alias("opening"))
+    met = linked.select(*_DOC, "id", "text", "copies").join(sent, _DOC)
     n = F.char_length("text")
-    quarter = F.floor(n / 4).cast("int")
-    met = met.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(
-        F.substring(F.col("text"), F.lit(1), n - quarter), "opening"))
-    met = met.select("id", "copies", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                     digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("b"), "c")
-    met = met.select("*", *[sketch(F.col(x)).alias(f"s{x}") for x in "abc"])
-    out = met.select("id", "copies", "n_chars", "edited_sha256", sketch_text(F.col("sa")).alias("fingerprint"),
-                     sketch_text(F.col("sb")).alias("edited_fingerprint"),
-                     likeness(F.col("a"), F.col("b"), F.col("sa"), F.col("sb")).alias("near_edited"),
-                     likeness(F.col("a"), F.col("c"), F.col("sa"), F.col("sc")).alias("near_next"))
-    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copy", "copies")
-
-
-def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``fingerprint``, the sketch of the text as base64; equal
-    texts have equal fingerprints.  An input column so named is replaced."""
-    keep = [c for c in docs.columns if c.lower() != "fingerprint"]
-    return docs.select(*[col(c) for c in keep], sketch_text(sketch(digests(text_of(text_col)))).alias("fingerprint"))
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 4).cast("int")), "opening")
+    met = met.withColumn("n_chars", n.cast("long")).withColumn("edited", edited)
+    met = checkpointed(met.select(
+        *_DOC, "id", "copies", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("b"), "c"))
+    met = met.repartition(*_DOC)  # narrow; all cells of a document stay in its partition from here on
+    cells = sketches(met, ["a", "b", "c"])
+    texts = sketch_texts(cells, {"a": "fingerprint", "b": "edited_fingerprint"})
+    sides = {"near_edited": ("a", "b"), "near_next": ("a", "c")}
+    counts = differences(met, cells, sides).groupBy(*_DOC).agg(*[
+        F.max(F.when(F.col("pair") == p, F.struct("plus", "minus"))).alias(p) for p in sides])
+    out = met.join(texts, _DOC, "left").join(counts, _DOC, "left")
+
+    def ratio(name: str) -> Column:
+        plus, minus = (F.coalesce(F.col(name)[x], F.lit(0)) for x in ("plus", "minus"))
+        union = F.size("a") + minus
+        return F.when(union == 0, 1.0).otherwise((F.size("a") - plus) / union).cast("double").alias(name)
+
+    return out.select("id", "n_chars", "edited_sha256",
+                      *[F.coalesce(x, F.lit("")).alias(x) for x in ("fingerprint", "edited_fingerprint")],
+                      *[ratio(p) for p in sides], F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(k1, k2, fingerprint) of every distinct document; equal texts have equal
+    fingerprints, a text without content has no row."""
+    rows = docs.select(*document_keys(id_col, text_col), digests(text_of(text_col)).alias("a")).dropDuplicates(_DOC)
+    return sketch_texts(sketches(rows, ["a"]), {"a": "fingerprint"})
