@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesmith.llm import decontaminate, fingerprint, line_dedup, mixing, secrets, sharding, simhash, toxicity, url_filter
+from lakesmith.llm import decontaminate, fingerprint, line_dedup, mixing, repeats, secrets, sharding, simhash, toxicity, url_filter
 from lakesmith.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,6 +130,16 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "score", "predicted")
 
 
+# -- 7: repeated strings -------------------------------------------------------
+
+@register("op7_repeats")
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document covered by a 50-byte string of a smaller doc_id."""
+    out = repeats.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.when(F.col("no") != repeats.LAST, F.col("no")).alias("doc_id"), "n_bytes", "n_removed",
+                      "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # -- 8: line deduplication -----------------------------------------------------
 
 OP8_SQL = """
