@@ -35,7 +35,7 @@ MIN_TOKENS = 6
 #: Most benchmark tokens sent to the tasks at once.
 BLOCK_TOKENS = 1_000_000
 #: Document bytes tokenised at a time inside a task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 HIT = "struct<item_id:bigint,start:int,end:int,matched:int,item_tokens:int>"
 

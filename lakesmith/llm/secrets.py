@@ -101,9 +101,9 @@ def _hot_windows(value: Column, threshold: Column) -> Column:
     def step(codes: Column, acc: Column, i: Column) -> Column:
         enter, leave = codes[i], F.when(i >= WINDOW, codes[i - WINDOW]).otherwise(-1)
         had = acc["counts"][enter]
-        left = F.when(i >= WINDOW, acc["counts"][F.greatest(leave, F.lit(0))] + (enter == leave).cast("int"))
-        total = (acc["total"] + logs[had + 1] - logs[had]
-                 + F.coalesce(logs[left - 1] - logs[left], F.lit(0.0)))
+        left = acc["counts"][F.greatest(leave, F.lit(0))] + (enter == leave).cast("int")
+        total = (acc["total"] + F.get(logs, had + 1) - F.get(logs, had)
+                 + F.when(i >= WINDOW, F.get(logs, left - 1) - F.get(logs, left)).otherwise(0.0))
         counts = F.transform(acc["counts"], lambda c, k: c + (k == enter).cast("int") - (k == leave).cast("int"))
         # entropy of the window = log2(W) - total / W
         hot = (i >= WINDOW - 1) & (math.log2(WINDOW) - total / WINDOW >= threshold - 1e-9)

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -37,6 +37,8 @@ TRAIN_ROWS = 20_000
 #: Bound of the lexicon, and how often an entry must occur in toxic texts (texts, share).
 LEXICON_ENTRIES, LEXICON_TEXTS, LEXICON_SHARE, LEXICON_ODDS = 400, 4, 0.01, 8.0
 FOLDS = 5
+#: Counts that a task holds before it passes them on.
+COUNTED_AT_ONCE = 50_000
 WINDOW, NEAR = 20, 5
 ADDED = ["score", "predicted"]
 
@@ -107,9 +109,9 @@ def text_features(text: str | None, lexicon: dict[str, float]) -> list[float]:
 
 
 def features(text: Column, lexicon: dict[str, float]) -> Column:
-    @F.pandas_udf("array<double>")
-    def compute(texts: pd.Series) -> pd.Series:
-        return pd.Series([text_features(t, lexicon) for t in texts])
+    @F.arrow_udf("array<double>")
+    def compute(texts: pa.Array) -> pa.Array:  # one text at a time becomes a Python string
+        return pa.array([text_features(t.as_py(), lexicon) for t in texts], pa.list_(pa.float64()))
     return compute(text)
 
 
@@ -125,11 +127,12 @@ class ToxicityModel:
         ``predicted`` (1 from 0.5).  Null texts count as empty; input columns
         so named are replaced; an empty table gives an empty result."""
         keep = kept_columns(docs, ADDED)
-        rows = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(keep)], text_of(text_col).alias("__text"))
+        rows = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(keep)])
+        text = F.col(f"c{keep.index(text_col)}")  # the text passes through once
         if self.trees is None:
             scored = rows.withColumn("__score", F.lit(self.constant))
         else:
-            scored = _raw_scores(self.trees, rows.withColumn("__f", features(F.col("__text"), self.lexicon)))
+            scored = _raw_scores(self.trees, rows.withColumn("__f", features(text, self.lexicon)))
             if self.calibration is not None:
                 # the steps of the isotonic fit are ties; a trace of the raw score orders inside them
                 scored = self.calibration.transform(scored).withColumn(
@@ -196,18 +199,27 @@ def learn_lexicons(train: DataFrame) -> list[dict[str, float]]:
     """
     folds = range(1, FOLDS)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
-            for label, fold_no, text in zip(batch["label"], batch["fold"], batch["text"]):
-                for u in {u for w in set(_WORD.findall(text.lower())) if w.isalpha() for u in units(w)}:
+            labels, fold_nos = batch.column("label").to_pylist(), batch.column("fold").to_pylist()
+            for label, fold_no, text in zip(labels, fold_nos, batch.column("text")):
+                for u in {u for w in set(_WORD.findall(text.as_py().lower())) if w.isalpha() for u in units(w)}:
                     seen[u, int(label), int(fold_no)] += 1
-        yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["unit", "toxic", "fold", "n"])
+                if len(seen) > COUNTED_AT_ONCE:
+                    yield packed(seen)
+                    seen.clear()
+        yield packed(seen)
+
+    def packed(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[i] for k in seen], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.int32()))]
+            + [pa.array(list(seen.values()), pa.int64())], ["unit", "toxic", "fold", "n"])
 
     sizes = {(int(r["label"]), r["fold"]): r["count"] for r in train.groupBy("label", "fold").count().collect()}
     cells = [F.sum(F.when((F.col("toxic") == t) & (F.col("fold") == k), F.col("n")).otherwise(0)).alias(f"n{t}{k}")
              for t in (0, 1) for k in folds]
-    counted = train.select("label", "fold", "text").mapInPandas(
+    counted = train.select("label", "fold", "text").mapInArrow(
         count, "unit string, toxic int, fold int, n long").groupBy("unit").agg(*cells)
     toxic_texts = reduce(lambda a, b: a + b, [F.col(f"n1{k}") for k in folds])
     # units that can enter any lexicon, strongest first: a fixed number of rows
