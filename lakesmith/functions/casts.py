@@ -54,9 +54,10 @@ def to_double(c: Column, dt: T.DataType) -> Column:
 
 
 def fraction_count(c: Column, dt: T.DataType) -> Column:
-    """Aggregate: values that are not whole numbers (integer-cast guard, Q3)."""
+    """Aggregate: values that are no whole numbers of 64 bits (integer-cast guard,
+    Q3); a column with any keeps its type, so no digit is lost."""
     d = to_double(c, dt)
-    return F.count_if(d.isNotNull() & ((d != F.floor(d)) | F.isnan(d - d)))
+    return F.count_if(d.isNotNull() & ((d != F.floor(d)) | F.isnan(d - d) | to_long(c, dt).isNull()))
 
 
 def to_long(c: Column, dt: T.DataType) -> Column:

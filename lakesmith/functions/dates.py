@@ -2,7 +2,7 @@
 
 The first of ten formats that parses at least one row is chosen for the
 whole column; rows in other formats become null.  If none parses, a
-generic cast is used.  The choice needs ten counts, computed in the same
+generic cast is used.  The choice is one minimum, computed in the same
 aggregate as every other statistic of the stage.
 """
 
@@ -59,17 +59,14 @@ def needs_format_choice(dt: T.DataType) -> bool:
     return kind_of(dt) != "datetime"
 
 
-def format_count_aggs(c: Column, prefix: str) -> list[Column]:
-    """Ten aggregates: rows each format parses."""
+def first_format_agg(c: Column, name: str) -> Column:
+    """The first format that parses any row: the least, over the rows, of the
+    first format that parses the row (tests stop at the first hit)."""
     s = c.cast("string")
-    return [F.count(parse_with(s, i)).alias(f"{prefix}_{i}") for i in range(len(DATE_FORMATS))]
-
-
-def choose_format(stats: dict, prefix: str) -> int | None:
+    fits = F.when(F.lit(False), -1)
     for i in range(len(DATE_FORMATS)):
-        if (stats.get(f"{prefix}_{i}") or 0) > 0:
-            return i
-    return None
+        fits = fits.when(parse_with(s, i).isNotNull(), i)
+    return F.min(fits).alias(name)
 
 
 def parse_dates(c: Column, dt: T.DataType, fmt_index: int | None) -> Column:

@@ -3,74 +3,87 @@
 Both are computed without gathering a column into one task:
 
 * median: rank selection.  Approximate quantiles (bounded-memory sketches,
-  merged map-side) give a value band that provably holds the middle rank(s);
-  the band is counted and narrowed again until it is small enough to read
-  its distinct values, which then gives the exact answer.
+  merged map-side) propose a value; exact counts below and at it either find
+  the wanted rank or narrow the band that holds it.
 * mode: one grouped count per (column, value), combined map-side, then a
   per-column minimum of ``(-count, value)``, so ties go to the smallest value.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesmith.functions.casts import kind_of
 
+#: Accuracy of the candidate ranks; any value gives exact answers, a higher one fewer passes.
 _ACCURACY = 10_000
-_SMALL_BAND = 100_000
+
+
+@dataclass
+class _Rank:
+    """One wanted rank: the open interval that holds its value, the number of
+    values up to its lower end, and the values inside."""
+    key: str
+    rank: int
+    inside: int
+    below: int = 0
+    low: float | None = None
+    high: float | None = None
+    value: float | None = None
+
+    def band(self) -> Column:
+        x = F.col(self.key)
+        bounds = [x.isNotNull()] + ([x > self.low] if self.low is not None else []) + (
+            [x < self.high] if self.high is not None else [])
+        return reduce(lambda a, b: a & b, bounds)
+
+    def candidate(self) -> Column:
+        share = (self.rank - self.below + 0.5) / self.inside
+        return F.percentile_approx(F.when(self.band(), F.col(self.key)), F.lit(share), F.lit(_ACCURACY))
+
+    def narrow(self, at: float, less: int, equal: int) -> None:
+        """``less`` and ``equal``: values of the band below and at ``at``."""
+        offset = self.rank - self.below
+        if offset < less:
+            self.high, self.inside = at, less
+        elif offset < less + equal:
+            self.value = at
+        else:
+            self.low, self.below, self.inside = at, self.below + less + equal, self.inside - less - equal
+
+
+def exact_medians(df: DataFrame, exprs: dict[str, Column]) -> dict[str, float | None]:
+    """Median of the non-null values of every expression (the mean of the two
+    middle values for an even count), exactly.
+
+    Each middle rank is selected on its own: an approximate quantile is always
+    a value that occurs, so counting the values below and at it either finds
+    the rank or leaves a band without that value.  All ranks of all columns
+    share the two aggregates of a round; only counts reach the driver.
+    """
+    if not exprs:
+        return {}
+    columns = df.select(*[F.nanvl(e.cast("double"), F.lit(None).cast("double")).alias(k) for k, e in exprs.items()])
+    sizes = columns.agg(*[F.count(F.col(k)).alias(k) for k in exprs]).first().asDict()
+    ranks = [_Rank(k, r, n) for k, n in sizes.items() for r in ((n - 1) // 2, n // 2) if n]
+    while open_ranks := [r for r in ranks if r.value is None]:
+        found = columns.agg(*[r.candidate().alias(f"c{i}") for i, r in enumerate(open_ranks)]).first()
+        counts = columns.agg(*[c for i, r in enumerate(open_ranks) for c in (
+            F.count_if(r.band() & (F.col(r.key) < found[i])).alias(f"l{i}"),
+            F.count_if(r.band() & (F.col(r.key) == found[i])).alias(f"e{i}"))]).first()
+        for i, r in enumerate(open_ranks):
+            r.narrow(found[i], counts[2 * i], counts[2 * i + 1])
+    middle = {k: [r.value for r in ranks if r.key == k] for k in exprs}
+    return {k: sum(v) / 2.0 if v else None for k, v in middle.items()}
 
 
 def exact_median(df: DataFrame, expr: Column) -> float | None:
-    """Median of the non-null numeric values of ``expr`` (mean of the two
-    middle values for an even count), exactly, in a few distributed passes."""
-    x = F.col("x")
-    band = df.select(expr.cast("double").alias("x")).where(x.isNotNull() & ~F.isnan(x))
-    n = band.count()
-    if n == 0:
-        return None
-    targets = sorted({(n - 1) // 2, n // 2})
-    below, band_n = 0, n
-    for _ in range(8):
-        if band_n <= _SMALL_BAND:
-            counts = band.groupBy("x").count().orderBy("x").collect()
-            return _pick(counts, targets, below)
-        lo_rank = (targets[0] - below) / band_n
-        hi_rank = (targets[-1] - below) / band_n
-        margin = 2.0 / _ACCURACY
-        qs = [max(0.0, lo_rank - margin), min(1.0, hi_rank + margin)]
-        a, b = band.agg(F.percentile_approx(x, qs, _ACCURACY)).first()[0]
-        if a == b:
-            lt, eq = band.agg(F.count_if(x < a), F.count_if(x == a)).first()
-            if below + lt <= targets[0] and below + lt + eq > targets[-1]:
-                return float(a)
-        lt, mid = band.agg(F.count_if(x < a), F.count_if((x >= a) & (x <= b))).first()
-        inside = below + lt <= targets[0] and below + lt + mid > targets[-1]
-        if not inside or mid >= band_n:
-            break
-        band = band.where((x >= a) & (x <= b))
-        below, band_n = below + lt, mid
-    # Degenerate spread (huge duplicate runs): exact percentile on what is left.
-    if band_n <= _SMALL_BAND:
-        return _pick(band.groupBy("x").count().orderBy("x").collect(), targets, below)
-    k0, k1 = targets[0] - below, targets[-1] - below
-    row = band.agg(F.percentile(x, F.lit(k0 / max(band_n - 1, 1))).alias("a"),
-                   F.percentile(x, F.lit(k1 / max(band_n - 1, 1))).alias("b")).first()
-    return (row["a"] + row["b"]) / 2.0
-
-
-def _pick(counts, targets, below) -> float:
-    found = {}
-    seen = below
-    for r in counts:
-        nxt = seen + r["count"]
-        for t in targets:
-            if seen <= t < nxt:
-                found[t] = r["x"]
-        seen = nxt
-    vals = [found[t] for t in targets]
-    return float(sum(vals) / len(vals))
+    return exact_medians(df, {"x": expr})["x"]
 
 
 def _sort_key(c: Column, dt: T.DataType) -> Column:

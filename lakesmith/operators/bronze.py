@@ -49,11 +49,10 @@ def date_step(stage: Stage, name: str, on_input: bool = False) -> None:
         return
 
     def request(c, dt, key):
-        for agg in dates.format_count_aggs(c, key):
-            stage.add_agg(agg)
+        stage.add_agg(dates.first_format_agg(c, f"{key}_format"))
 
     def step(c, dt, stats):
-        return dates.parse_dates(c, dt, dates.choose_format(stats, stats["key"])), dates.parsed_type(dt)
+        return dates.parse_dates(c, dt, stats.get(f"{stats['key']}_format")), dates.parsed_type(dt)
     stage.map_with_stats(name, request, step, on_input)
 
 

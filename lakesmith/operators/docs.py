@@ -26,9 +26,20 @@ def as_store(df: DataFrame, id_col: str, text_col: str, meta_cols: list[str] | N
 
 
 def upsert(store: DataFrame, new_docs: DataFrame) -> DataFrame:
-    """K1: documents with a new id replace the stored ones and go to the end."""
-    kept = store.join(new_docs.select("id"), "id", "left_anti")
-    return kept.unionByName(new_docs.select(*store.columns))
+    """K1: documents with a new id replace the stored ones and go to the end.
+
+    Of several new documents with one id the last in row order stays.  The new
+    batch is numbered after the store's largest, whatever it was given.
+    """
+    data = [c for c in store.columns if c != "id"]
+    # one struct per row, combined map-side; the row order is its first field
+    last = F.max(F.struct(F.col(ROW_ORDER).alias("__o"), F.struct(*[
+        F.map_entries(c).alias(c) if c == "metadata" else F.col(c) for c in data]).alias("d")))
+    latest = new_docs.groupBy("id").agg(last.alias("__l")).select("id", *[
+        (F.map_from_entries("__l.d.metadata") if c == "metadata" else F.col(f"__l.d.{c}")).alias(c) for c in data])
+    batch = F.coalesce(store.agg(F.max("stored_batch")).scalar(), F.lit(-1).cast("long")) + 1
+    kept = store.join(latest.select("id"), "id", "left_anti")
+    return kept.unionByName(latest.withColumn("stored_batch", batch).select(*store.columns))
 
 
 def query_words(text: str) -> list[str]:

@@ -13,13 +13,10 @@ single column) become start offsets that are broadcast back.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakesmith.session import ensure_checkpoint_dir
+from lakesmith.session import discard_at_exit, ensure_checkpoint_dir, scratch_path
 
 _P, _I, _OFF = "__part", "__local", "__offset"
 
@@ -42,10 +39,11 @@ def number_rows(df: DataFrame, name: str, order: list[str], keep: list[str] | No
     by = (partitions,) if partitions else ()
     ranged = df.select(*[F.col(f"`{c}`") for c in carried]).repartitionByRange(*by, *sort).sortWithinPartitions(*sort)
     part = F.spark_partition_id().cast("long")
-    path = os.path.join(ensure_checkpoint_dir(spark), "lakesmith-keys", uuid.uuid4().hex)
+    path = scratch_path(spark, "keys")
     (ranged.withColumn(_P, part)
      .withColumn(_I, F.monotonically_increasing_id() - F.shiftleft(part, 33))
      .write.parquet(path))
+    discard_at_exit(spark, path)
     tagged = spark.read.parquet(path)  # fixed numbering, lineage cut
     sizes = tagged.groupBy(_P).agg(F.count(F.lit(1)).alias("__n"))  # reads one column
     offsets = sizes.select(_P, (F.sum("__n").over(Window.orderBy(_P)) - F.col("__n")).alias(_OFF))

@@ -44,72 +44,58 @@ def _missing(c: Column, dt) -> Column:
     return c.isNull() | F.isnan(c) if kind_of(dt) == "float" else c.isNull()
 
 
-def _value_pairs(number: int, df: DataFrame) -> DataFrame:
-    """Every row as one narrow ``(table, column, value)`` pair per column, the
-    value in a typed slot (``l`` integers/times, ``d`` floats, ``s`` text)."""
-    fields = [f for f in df.schema.fields if f.name != ROW_ORDER]
-    none_l, none_d, none_s = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
-    pairs = []
-    for i, f in enumerate(fields):
-        col, k = F.col(f"`{f.name}`"), kind_of(f.dataType)
-        miss = _missing(col, f.dataType)
-        slot_l = (col.cast("long") if k in ("integer", "boolean")
-                  else F.unix_micros(col.cast("timestamp")) if k == "datetime" else none_l)
-        slot_d = F.when(~miss, col.cast("double")) if k == "float" else none_d
-        slot_s = col.cast("string") if k in ("text", "other") else none_s
-        pairs.append(F.struct(F.lit(i).alias("i"), F.lit(k in ("integer", "float")).alias("num"),
-                              miss.alias("m"), slot_l.alias("l"), slot_d.alias("d"), slot_s.alias("s")))
-    return df.select(F.lit(number).alias("t"), F.explode(F.array(*pairs)).alias("p")).select("t", "p.*")
-
-
-def _column_stats(tables: dict[str, DataFrame]) -> DataFrame:
-    """P1-P5 of every column of every table, keyed by ``(t, i)``.
-
-    All tables are counted by value in one aggregation: pairs are combined
-    map-side (a hot value shrinks to one pair per task before the shuffle)
-    and every statistic follows from the ``(value, count)`` pairs.
-    """
-    parts = [_value_pairs(k, df) for k, df in enumerate(tables.values()) if _data_columns(df)]
-    if not parts:
-        return next(iter(tables.values())).sparkSession.createDataFrame(
-            [], "t int, i int, rows long, null_count long, unique_count long, min_value double, "
-                "max_value double, mean_value double")
-    counted = (reduce(DataFrame.unionByName, parts)
-               .groupBy("t", "i", "num", "m", "l", "d", "s").agg(F.count(F.lit(1)).alias("n")))
-    n = F.col("n")
-    x = F.when(F.col("num"), F.coalesce(F.col("d"), F.col("l").cast("double")))
-    return counted.groupBy("t", "i").agg(
-        F.sum(n).alias("rows"),
-        F.sum(F.when(F.col("m"), n).otherwise(0)).alias("null_count"),
-        F.count_if(~F.col("m")).alias("unique_count"),
-        F.min(x).alias("min_value"), F.max(x).alias("max_value"),
-        (F.sum(x * n) / F.sum(F.when(x.isNotNull(), n))).alias("mean_value"))
-
-
-def _column_sketches(tables: dict[str, DataFrame]) -> DataFrame:
-    """P1-P5 with approximate distinct counts: one aggregate per table, no shuffle of values."""
+def _plain_stats(tables: dict[str, DataFrame], approx_distinct: bool) -> list[DataFrame]:
+    """P1-P5 per table in one aggregate (map-side combined, one row out), keyed
+    by ``(t, i)``; distinct counts only where they may be approximate."""
     outs = []
     for number, df in enumerate(tables.values()):
-        fields = [f for f in df.schema.fields if f.name != ROW_ORDER]
-        if not fields:
-            continue
-        aggs = [F.count(F.lit(1)).alias("__rows")]
-        structs = []
-        for i, f in enumerate(fields):
-            col = F.col(f"`{f.name}`")
-            miss = _missing(col, f.dataType)
-            numeric = kind_of(f.dataType) in ("integer", "float")
-            d = F.when(~miss, col.cast("double")) if numeric else F.lit(None).cast("double")
-            aggs += [F.count_if(miss).alias(f"m{i}"), F.approx_count_distinct(F.when(~miss, col)).alias(f"u{i}"),
-                     F.min(d).alias(f"lo{i}"), F.max(d).alias(f"hi{i}"), F.avg(d).alias(f"av{i}")]
-            structs.append(F.struct(F.lit(i).alias("i"), F.col("__rows").alias("rows"),
-                                    F.col(f"m{i}").alias("null_count"), F.col(f"u{i}").alias("unique_count"),
+        aggs, structs = [F.count(F.lit(1)).alias("__rows")], []
+        for i, f in enumerate(f for f in df.schema.fields if f.name != ROW_ORDER):
+            value = F.col(f"`{f.name}`")
+            miss = _missing(value, f.dataType)
+            d = F.when(~miss, value.cast("double")) if kind_of(f.dataType) in ("integer", "float") else F.lit(None).cast("double")
+            aggs += [F.count_if(miss).alias(f"m{i}"), F.min(d).alias(f"lo{i}"), F.max(d).alias(f"hi{i}"), F.avg(d).alias(f"av{i}")]
+            if approx_distinct:
+                aggs.append(F.approx_count_distinct(F.when(~miss, value)).alias(f"u{i}"))
+            structs.append(F.struct(F.lit(i).alias("i"), F.col("__rows").alias("rows"), F.col(f"m{i}").alias("null_count"),
+                                    *[F.col(f"u{i}").alias("unique_count")] * approx_distinct,
                                     F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"),
                                     F.col(f"av{i}").alias("mean_value")))
-        outs.append(df.agg(*aggs).select(F.lit(number).alias("t"), F.inline(F.array(*structs))))
-    if not outs:
-        return _column_stats(tables)  # no data columns anywhere: the empty statistics table
-    return reduce(DataFrame.unionByName, outs)
+        if structs:
+            outs.append(df.agg(*aggs).select(F.lit(number).alias("t"), F.inline(F.array(*structs))))
+    return outs
+
+
+def _distinct_counts(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """Exact distinct counts: only present values travel, long ones as a
+    256-bit digest, and equal ones meet map-side first."""
+    parts = []
+    for number, df in enumerate(tables.values()):
+        pairs = []
+        for i, f in enumerate(f for f in df.schema.fields if f.name != ROW_ORDER):
+            value = F.col(f"`{f.name}`")
+            text = value.cast("string")
+            short = F.when(F.length(text) <= 64, text).otherwise(F.sha2(text.cast("binary"), 256))
+            pairs.append(F.struct(F.lit(i).alias("i"), F.when(~_missing(value, f.dataType), short).alias("v")))
+        if pairs:
+            parts.append(df.select(F.lit(number).alias("t"), F.explode(F.array(*pairs)).alias("p"))
+                         .select("t", "p.*").where(F.col("v").isNotNull()))
+    return parts
+
+
+def _column_stats(tables: dict[str, DataFrame], approx_distinct: bool = False) -> DataFrame:
+    """P1-P5 of every column of every table, keyed by ``(t, i)``."""
+    plain = _plain_stats(tables, approx_distinct)
+    if not plain:
+        return next(iter(tables.values())).sparkSession.createDataFrame(
+            [], "t int, i int, rows long, null_count long, unique_count long, min_value double, "
+                "max_value double, mean_value double")
+    stats = reduce(DataFrame.unionByName, plain)
+    if approx_distinct:
+        return stats
+    counts = (reduce(DataFrame.unionByName, _distinct_counts(tables)).distinct()
+              .groupBy("t", "i").agg(F.count(F.lit(1)).alias("unique_count")))
+    return stats.join(F.broadcast(counts), ["t", "i"], "left")  # one row per column
 
 
 def first_values(tables: dict[str, DataFrame], size: int = 5) -> DataFrame | None:
@@ -151,7 +137,7 @@ def profile_tables(tables: dict[str, DataFrame], sample_size: int = 5,
     derived from it then cost nothing more.  ``materialize=False`` keeps it
     lazy (computed when written or read).
     """
-    stats = _column_sketches(tables) if approx_distinct else _column_stats(tables)
+    stats = _column_stats(tables, approx_distinct)
     meta = schema_profile(tables).withColumnRenamed("dataset_no", "t").withColumn("i", F.col("ordinal"))
     joined = meta.join(F.broadcast(stats), ["t", "i"], "left")  # stats: one row per column
     rows = F.coalesce(F.max("rows").over(Window.partitionBy("t")), F.lit(0)).cast("long")
@@ -216,10 +202,17 @@ def join_keys(profile: DataFrame) -> DataFrame:
 
 
 def num_text(c: Column) -> Column:
-    """Shortest decimal text of a double in plain notation (``-994.28``, ``100.0``)."""
-    plain = F.regexp_replace(F.regexp_replace(c.cast("decimal(38,10)").cast("string"), "0+$", ""), r"\.$", ".0")
+    """Shortest text of a double, plain from 1e-4 up to 1e16 (``-994.28``,
+    ``100.0``), with an exponent beyond (``1.5e-07``)."""
+    shortest = c.cast("string")
+    plain = F.regexp_replace(F.regexp_replace(shortest.cast("decimal(38,21)").cast("string"), "0+$", ""), r"\.$", ".0")
+    power = F.regexp_extract(shortest, r"E(-?)(\d+)$", 2)
+    exponent = F.concat(F.regexp_replace(F.substring_index(shortest, "E", 1), r"\.0$", ""), F.lit("e"),
+                        F.when(shortest.contains("E-"), "-").otherwise("+"),
+                        F.when(F.length(power) < 2, F.lpad(power, 2, "0")).otherwise(power))
     in_range = (F.abs(c) >= 1e-4) & (F.abs(c) < 1e16)
-    return F.when(c == 0, F.lit("0.0")).when(in_range, plain).otherwise(c.cast("string"))
+    return (F.when(c == 0, F.lit("0.0")).when(in_range, plain).when(shortest.contains("E"), exponent)
+            .otherwise(shortest))
 
 
 def quality_notes(profile: DataFrame) -> DataFrame:

@@ -77,16 +77,16 @@ def bronze_rules(profile: DataFrame) -> DataFrame:
 
     The profile has one row per column; the rules are built from its rows.
     """
-    rows, tables = [], {}
-    for p in profile.select("dataset", "dataset_no", "columns", "column_name", "ordinal", "kind").collect():
-        base = p["dataset_no"] * 100_000
-        rows.append(_rule(p["dataset"], p["column_name"], p["dataset"], p["column_name"],
-                          logic=bronze_logic(p["kind"], p["column_name"]), rule_no=base + p["ordinal"]))
-        tables[p["dataset"]] = base + p["columns"]
-    for name, first in tables.items():
-        rows.append(_rule(name, "", name, "_load_timestamp", logic=LOAD_TIME_TEXT, rule_no=first))
-        rows.append(_rule(name, "", name, "_source_file", logic=SOURCE_FILE_TEXT, rule_no=first + 1))
-    return rule_table(profile.sparkSession, sorted(rows, key=lambda r: r[-1]))
+    columns: dict[str, list] = {}
+    for p in profile.orderBy("dataset_no", "ordinal").collect():
+        columns.setdefault(p["dataset"], []).append(p)
+    rows: list[tuple] = []
+    for name, own in columns.items():  # numbered in order, whatever the number of columns
+        rows += [_rule(name, p["column_name"], name, p["column_name"], logic=bronze_logic(p["kind"], p["column_name"]),
+                       rule_no=len(rows) + i) for i, p in enumerate(own)]
+        rows += [_rule(name, "", name, target, logic=text, rule_no=len(rows) + i) for i, (target, text) in enumerate(
+            (("_load_timestamp", LOAD_TIME_TEXT), ("_source_file", SOURCE_FILE_TEXT)))]
+    return rule_table(profile.sparkSession, rows)
 
 
 def _schema_of(df: DataFrame) -> list[tuple[str, T.DataType]]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Status spellings per class, and the default reason.
 FAILED = ["failed", "error"]
@@ -47,11 +48,13 @@ def history(log: DataFrame) -> DataFrame:
 
 def latest_per_run(log: DataFrame) -> DataFrame:
     """L3: the newest event of each run, as a grouped max (combined map-side,
-    so one very long run does not end up whole in one task)."""
-    other = [c for c in log.columns if c not in ("run_id", "timestamp")]
-    best = F.max_by(F.struct(*[F.col(c) for c in other]), F.col("timestamp")).alias("__e")
-    return (log.groupBy("run_id").agg(F.max("timestamp").alias("timestamp"), best)
-            .select("run_id", "timestamp", "__e.*"))
+    so one very long run does not end up whole in one task).  Events of one
+    time are ordered by their other columns, so the choice is always the same."""
+    other = [f for f in log.schema.fields if f.name not in ("run_id", "timestamp")]
+    order = F.struct("timestamp", *[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name)
+                                    for f in other])
+    best = F.max_by(F.struct("timestamp", *[F.col(f.name) for f in other]), order).alias("__e")
+    return log.groupBy("run_id").agg(best).select("run_id", "__e.*")
 
 
 def step_durations(traces: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@
 Per rule the order is rename -> dedup (ends the rule) -> null handling ->
 type -> case -> strip.  Statistics are batched by ``Stage``; row removal
 (dedup, drop null) starts a new stage.  Keep-first dedup is a grouped
-minimum of ``(_row_order, row)``, which Spark combines map-side, so one very
-frequent key never lands whole in one task.
+minimum of ``_row_order`` over the key columns alone, which Spark combines
+map-side, so one very frequent key never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,13 +32,24 @@ def keep_first(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     Nulls compare equal, as in a plain drop-duplicates.
     """
     df = with_row_order(df)
-    data = [c for c in df.columns if c != ROW_ORDER]
-    keys = list(subset) if subset else data
-    rest = [c for c in data if c not in keys]
-    first = F.min(F.struct(F.col(ROW_ORDER).alias("__o"), *[F.col(f"`{c}`") for c in rest])).alias("__f")
-    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(first)
-    cols = [F.col(f"`{c}`") if c in keys else F.col(f"__f.`{c}`").alias(c) for c in data]
-    return grouped.select(*cols, F.col("__f.__o").alias(ROW_ORDER))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    keys = [_comparable(F.col(f"`{k}`"), types[k]).alias(f"k{i}")
+            for i, k in enumerate(subset or [c for c in df.columns if c != ROW_ORDER])]
+    # only keys and row orders are aggregated; the rows follow by their unique order
+    first = (df.select(*keys, F.col(ROW_ORDER).alias("o")).groupBy(*[f"k{i}" for i in range(len(keys))])
+             .agg(F.min("o").alias("first")).select("first"))
+    return df.join(first, F.col(ROW_ORDER) == F.col("first"), "left_semi")
+
+
+def _comparable(c: Column, dt: T.DataType) -> Column:
+    """A column as a grouping key; a map by its sorted entries."""
+    return F.array_sort(F.map_entries(c)) if isinstance(dt, T.MapType) else c
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN counts as missing, like null."""
+    return df.withColumns({f.name: F.nanvl(F.col(f"`{f.name}`"), F.lit(None).cast(f.dataType)) for f in df.schema.fields
+                           if isinstance(f.dataType, (T.DoubleType, T.FloatType))})
 
 
 def _fill_value_step(how: str):
@@ -86,7 +97,7 @@ def _not_missing(name: str, dt: T.DataType):
 
 def silver_table(df: DataFrame, name: str, rules: list[dict]) -> DataFrame:
     id_re = re.compile(ID_PATTERN)
-    stage = Stage(with_row_order(df))
+    stage = Stage(nan_to_null(with_row_order(df)))
     table_rules = rules_for_table(rules, name)
     for rule in table_rules:
         src, tgt = rule["source_column"].strip(), rule["target_column"].strip()

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakesmith.functions.stats import exact_median, modes
+from lakesmith.functions.stats import exact_medians, modes
 from lakesmith.sources.tables import ROW_ORDER
 
 Step = Callable[[Column, T.DataType, dict], tuple[Column, T.DataType]]
@@ -113,8 +113,8 @@ class Stage:
             row = self.base.agg(*self.aggs).first()
             stats.update(row.asDict())
             self.jobs += 1
-        for key, col in self.medians.items():
-            stats[key] = exact_median(self.base, col)
+        if self.medians:
+            stats.update(exact_medians(self.base, self.medians))
             self.jobs += 1
         if self.modes:
             stats.update(modes(self.base, self.modes))

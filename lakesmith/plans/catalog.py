@@ -14,7 +14,6 @@ names (``customer_id`` ...), exactly as a user would through rename rules.
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +24,7 @@ from lakesmith.operators.rules import (BRONZE_DATE, BRONZE_FLOAT, BRONZE_INT, BR
                                        LOAD_TIME_TEXT, PK_TEXT, SILVER_DATE, SILVER_ID, SILVER_NUMERIC,
                                        SILVER_TEXT, SOURCE_FILE_TEXT)
 from lakesmith.plans import phases
+from lakesmith.session import discard_at_exit, scratch_path
 from lakesmith.sources.csv import read_csv_table
 from lakesmith.sources.tables import ROW_ORDER, read_table
 
@@ -195,7 +195,7 @@ SELECT dataset, column_name, {_label_case('column_name', _NUMERIC_TYPE)} AS sema
 FROM ({_DESCRIBE})""")
 def p_semantic_labels(spark, sf):
     """Semantic label of every profiled column."""
-    prof = profile.profile_tables({n: table(spark, sf, n) for n in LABEL_TABLES})
+    prof = profile.schema_profile({n: table(spark, sf, n) for n in LABEL_TABLES})
     return profile.semantic_labels(prof).select("dataset", "column_name", "semantic_label")
 
 
@@ -212,7 +212,7 @@ SELECT l.dataset AS left_dataset, l.column_name AS left_column, r.dataset AS rig
 FROM cols l JOIN cols r ON l.column_name = r.column_name AND l.dataset_no < r.dataset_no""")
 def p_join_keys(spark, sf):
     """Candidate join keys between seven tables with conventional names."""
-    prof = profile.profile_tables({n: conventional(spark, sf, n) for n in JOIN_TABLES})
+    prof = profile.schema_profile({n: conventional(spark, sf, n) for n in JOIN_TABLES})
     return profile.join_keys(prof).drop("ln", "rn")
 
 
@@ -292,8 +292,8 @@ SELECT t AS source_table, c AS source_column, t AS target_table, c AS target_col
 UNION ALL SELECT t, '', t, '_load_timestamp', 'Indirect', '{LOAD_TIME_TEXT}' FROM (VALUES ('customer'), ('orders'), ('lineitem')) v(t)
 UNION ALL SELECT t, '', t, '_source_file', 'Indirect', '{SOURCE_FILE_TEXT}' FROM (VALUES ('customer'), ('orders'), ('lineitem')) v(t)""")
 def g_bronze_rules(spark, sf):
-    """Bronze rules from the full profile of three tables."""
-    prof = profile.profile_tables({n: table(spark, sf, n) for n in ("customer", "orders", "lineitem")})
+    """Bronze rules of three tables (names and types are enough)."""
+    prof = profile.schema_profile({n: table(spark, sf, n) for n in ("customer", "orders", "lineitem")})
     return rules.bronze_rules(prof).select(*RULE_OUT)
 
 
@@ -302,7 +302,7 @@ def g_bronze_rules(spark, sf):
     logic_override=f"CASE WHEN source_column = 'o_totalprice' THEN '{BRONZE_TEXT}' ELSE transformation_logic END"))
 def g_approved(spark, sf):
     """A review drops the priority rule and edits one rule's text."""
-    prof = profile.profile_tables({n: table(spark, sf, n) for n in ("customer", "orders")})
+    prof = profile.schema_profile({n: table(spark, sf, n) for n in ("customer", "orders")})
     generated = rules.bronze_rules(prof)
     decisions = generated.select(
         "rule_no", (~F.col("source_column").endswith("priority")).alias("selected"),
@@ -339,7 +339,7 @@ def _silver_rules_sql(tables: list[str]) -> str:
 @register("g_silver_rules", _silver_rules_sql(["customer", "orders"]))
 def g_silver_rules(spark, sf):
     """Silver rules from the Bronze schemas (after a rename review)."""
-    prof = profile.profile_tables({n: table(spark, sf, n) for n in ("customer", "orders")})
+    prof = profile.schema_profile({n: table(spark, sf, n) for n in ("customer", "orders")})
     generated = rules.bronze_rules(prof)
     approved = rules.approve(generated, rename_decisions(spark, generated, ["customer", "orders"]))
     b = bronze.execute_bronze({n: table(spark, sf, n) for n in ("customer", "orders")}, approved)
@@ -364,12 +364,6 @@ def g_gold_rules(spark, sf):
 
 # -- raw text files -----------------------------------------------------------
 
-def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    from lakesmith.session import ensure_checkpoint_dir
-    return os.path.join(ensure_checkpoint_dir(spark), "lakesmith-scratch", kind, uuid.uuid4().hex)
-
-
 @register("s_csv_ingest", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
 def s_csv_ingest(spark, sf):
@@ -378,6 +372,7 @@ def s_csv_ingest(spark, sf):
     path = scratch_path(spark, "csv")
     (table(spark, sf, "orders").drop(ROW_ORDER).write.option("header", True)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    discard_at_exit(spark, path)
     raw = {"orders": read_csv_table(spark, path)}
     generated = rules.bronze_rules(profile.schema_profile(raw))
     return public(bronze.execute_bronze(raw, generated)["orders_bronze"])

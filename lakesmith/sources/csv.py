@@ -26,6 +26,9 @@ NULL_TOKENS = [
 TRUE_TOKENS = ["True", "TRUE", "true"]
 FALSE_TOKENS = ["False", "FALSE", "false"]
 
+#: Type of whole numbers beyond 64 bits; longer ones stay text.
+WIDE_INTEGER = "decimal(38,0)"
+
 
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All-text scan with header.
@@ -42,7 +45,8 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
-    """One aggregate pass: column -> 'bigint' | 'double' | 'boolean' | 'string'."""
+    """One aggregate pass: column -> 'bigint' | 'decimal(38,0)' | 'double' |
+    'boolean' | 'string', by counting the values that each type can hold."""
     data_cols = [c for c in df.columns if c != ROW_ORDER]
     aggs = []
     for i, c in enumerate(data_cols):
@@ -50,6 +54,8 @@ def infer_types(df: DataFrame) -> dict[str, str]:
         aggs += [
             F.count(col).alias(f"n{i}"),
             F.count_if(col.rlike(INT_TEXT)).alias(f"i{i}"),
+            F.count_if(col.rlike(INT_TEXT) & F.trim(col).try_cast("bigint").isNotNull()).alias(f"l{i}"),
+            F.count_if(col.rlike(INT_TEXT) & F.trim(col).try_cast(WIDE_INTEGER).isNotNull()).alias(f"w{i}"),
             F.count_if(is_number_text(col)).alias(f"f{i}"),
             F.count_if(col.isin(TRUE_TOKENS + FALSE_TOKENS)).alias(f"b{i}"),
         ]
@@ -61,8 +67,8 @@ def infer_types(df: DataFrame) -> dict[str, str]:
         n = row[f"n{i}"]
         if n == 0:
             types[c] = "double"  # an all-missing column reads as float
-        elif row[f"i{i}"] == n:
-            types[c] = "bigint"
+        elif row[f"i{i}"] == n:  # the narrowest type that loses no digit
+            types[c] = "bigint" if row[f"l{i}"] == n else WIDE_INTEGER if row[f"w{i}"] == n else "string"
         elif row[f"f{i}"] == n:
             types[c] = "double"
         elif row[f"b{i}"] == n:
@@ -77,7 +83,7 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     for c in df.columns:
         col = F.col(f"`{c}`")
         t = types.get(c)
-        if t in ("bigint", "double"):
+        if t in ("bigint", "double", WIDE_INTEGER):
             out.append(F.expr(f"try_cast(trim(`{c}`) as {t})").alias(c))
         elif t == "boolean":
             out.append(F.when(col.isin(TRUE_TOKENS), F.lit(True))

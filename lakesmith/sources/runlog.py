@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,12 +64,20 @@ class RunLog:
         return read_runlog(self.spark, self.root, run_id or self.run_id)
 
 
+def _read_json(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """JSON rows below ``root``; a folder that does not exist holds none.  Any
+    other failure is raised: it is not the same as an empty log."""
+    try:
+        return spark.read.schema(schema).json(root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_runlog(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
     """Events of one run (or all); a missing log reads as empty."""
-    try:
-        df = spark.read.schema(RUNLOG_SCHEMA).json(root)
-    except Exception:  # no log written yet
-        return spark.createDataFrame([], RUNLOG_SCHEMA)
+    df = _read_json(spark, root, RUNLOG_SCHEMA)
     return df.where(F.col("run_id") == run_id) if run_id else df
 
 
@@ -113,7 +122,4 @@ def write_traces(spark: SparkSession, traces: list[dict], root: str) -> None:
 
 
 def read_traces(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(TRACE_SCHEMA).json(root)
-    except Exception:
-        return spark.createDataFrame([], TRACE_SCHEMA)
+    return _read_json(spark, root, TRACE_SCHEMA)

@@ -14,6 +14,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROW_ORDER = "_row_order"
 
@@ -36,27 +37,9 @@ def with_row_order(df: DataFrame) -> DataFrame:
                                              F.monotonically_increasing_id().alias("pos")))
 
 
-_SCHEMAS: dict[tuple[str, int], object] = {}
-
-
-def _known_schema(spark: SparkSession, path: str):
-    """Footer schema of a local Parquet path, remembered per modification time.
-
-    Inferring it means reading file footers on every call, which dominates
-    short queries; the file listing itself is still done per read.  Remote
-    paths are always inferred.
-    """
-    if not os.path.exists(path):
-        return None
-    key = (path, os.stat(path).st_mtime_ns)
-    if key not in _SCHEMAS:
-        _SCHEMAS[key] = spark.read.parquet(path).schema
-    return _SCHEMAS[key]
-
-
-def read_table(spark: SparkSession, path: str, keep_order: bool = True) -> DataFrame:
-    """Parquet scan (S2) with ``_row_order`` from file path and row index."""
-    schema = _known_schema(spark, path)
+def read_table(spark: SparkSession, path: str, keep_order: bool = True, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet scan (S2) with ``_row_order`` from file path and row index; a
+    known ``schema`` saves reading file footers."""
     df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if keep_order:
         df = df.select("*", row_order_from_metadata("parquet").alias(ROW_ORDER))
@@ -78,10 +61,6 @@ def read_tables(spark: SparkSession, paths: Iterable[str] | Mapping[str, str],
     return {name: read_table(spark, p, keep_order) for name, p in items}
 
 
-def tpch_tables(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    return {n: read_table(spark, os.path.join(sf_dir, f"{n}.parquet")) for n in names}
-
-
 def layer_path(root: str, run_id: str, layer: str, table: str) -> str:
     """Run-scoped location of a layer table (fixes shared, overwritten outputs)."""
     return os.path.join(root, layer, run_id, table)

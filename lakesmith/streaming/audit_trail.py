@@ -2,8 +2,8 @@
 
 The run log is an append-only folder of JSON files (one folder per run).
 Watching it as a stream gives the live view of a run: every new event is
-classified (status class, reason, clock text) as it lands, and a streaming
-aggregate keeps the newest event of each run.  Progress is kept in a
+classified (status class, reason, clock text) as it lands, and each batch
+updates a table of the newest event of every run.  Progress is kept in a
 checkpoint under the shared ``spark.checkpoint.dir``, so a restarted job
 resumes where it stopped.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,25 +30,43 @@ def read_events(spark: SparkSession, log_root: str, max_files_per_trigger: int |
     return runlog.annotate(reader.json(log_root))
 
 
-def latest_per_run(events: DataFrame) -> DataFrame:
-    """Streaming version of L3: newest event per run (update mode)."""
-    return runlog.latest_per_run(events.drop("details"))
-
-
 def _checkpoint(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
 
 
-def start_latest_per_run(spark: SparkSession, log_root: str, query_name: str = "latest_per_run",
+def start_latest_per_run(spark: SparkSession, log_root: str, table_root: str, name: str = "latest_per_run",
                          available_now: bool = True) -> StreamingQuery:
-    """Keep ``query_name`` (an in-memory table) up to date with each run's latest event."""
-    writer = (latest_per_run(read_events(spark, log_root)).writeStream
-              .outputMode("complete").format("memory").queryName(query_name)
-              .option("checkpointLocation", _checkpoint(spark, query_name)))
+    """Keep a table with each run's latest event below ``table_root``.
+
+    Every micro-batch merges its newest events into the previous version of the
+    table and writes the next one, named by the batch number: a repeated batch
+    rewrites the same version, and nothing is kept on the driver.
+    """
+    def merge(batch: DataFrame, number: int) -> None:
+        newest = runlog.latest_per_run(batch.drop("details"))
+        before = latest_table(batch.sparkSession, table_root, number)
+        merged = newest if before is None else runlog.latest_per_run(before.unionByName(newest))
+        merged.write.mode("overwrite").parquet(os.path.join(table_root, f"version={number}"))
+
+    writer = (read_events(spark, log_root).writeStream.queryName(name).foreachBatch(merge)
+              .option("checkpointLocation", _checkpoint(spark, name)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()
 
 
+def latest_table(spark: SparkSession, table_root: str, before: int | None = None) -> DataFrame | None:
+    """The table's newest version (older than ``before`` if given), if there is one."""
+    try:
+        every = spark.read.option("basePath", table_root).parquet(table_root)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    older = every if before is None else every.where(F.col("version") < before)
+    last = older.agg(F.max("version")).first()[0]  # answered from the folder names
+    return None if last is None else every.where(F.col("version") == last).drop("version")
+
+
 def start_event_sink(spark: SparkSession, log_root: str, out_path: str, name: str = "audit_events",
                      available_now: bool = True) -> StreamingQuery:
     """Append classified events to a Parquet table partitioned by run."""

@@ -3,7 +3,7 @@
 import os
 
 from lakesmith.plans import phases
-from lakesmith.sources.runlog import read_runlog
+from lakesmith.sources.runlog import read_runlog, read_traces
 
 
 def _write_csv(path, header, rows):
@@ -32,6 +32,52 @@ def test_pipeline_from_csv(spark, tmp_path):
     assert spark.read.json(os.path.join(root, "profiles", state.run_id)).count() == 6
     log = read_runlog(spark, os.path.join(root, "runlog"), state.run_id)
     assert log.where("action = 'pipeline_completed'").count() == 1
+    # Gold files hold no row order; analysis, shapes, rule reports, traces and documents are there
+    assert "_row_order" not in spark.read.parquet(state.paths["gold"]["gold_output"]).columns
+    labels = spark.read.json(os.path.join(root, "analysis", state.run_id, "semantic_labels"))
+    assert labels.count() == 6
+    keys = spark.read.json(os.path.join(root, "analysis", state.run_id, "join_keys")).collect()
+    assert [(r["left_column"], r["confidence"]) for r in keys] == [("product_id", "high")]
+    written = {r["details"]["table"]: r["details"] for r in log.where("action = 'table_written'").collect()}
+    assert (written["sales_silver"]["rows_in"], written["sales_silver"]["rows_removed"]) == ("4", "0")
+    assert (written["gold_output"]["rows_in"], written["gold_output"]["rows_out"]) == ("7", "4")
+    traces = read_traces(spark, os.path.join(root, "traces")).collect()
+    assert {(r["agent"], r["status"]) for r in traces} == {
+        (a, "success") for a in ("profiler", "bronze_agent", "silver_agent", "gold_agent")}
+    stored = spark.read.parquet(os.path.join(root, "documents", state.run_id)).collect()
+    assert {r["metadata"]["kind"] for r in stored} == {"intent", "report"}
+
+
+def test_unreadable_source_is_reported_and_skipped(spark, tmp_path):
+    good = str(tmp_path / "sales.csv")
+    _write_csv(good, "sale_id,category,total_amount", [("1", "a", 2), ("2", "b", 3)])
+    root = str(tmp_path / "out")
+    state = phases.run(spark, {"sales": phases.CsvSource(good, multi_line=False), "gone": str(tmp_path / "gone.csv")},
+                       "total amount by category", root=root)
+    assert list(state.sources) == ["sales"] and state.result.count() == 2
+    events = read_runlog(spark, os.path.join(root, "runlog"), state.run_id)
+    assert events.where("action = 'source_skipped'").first()["details"]["table"] == "gone"
+
+
+def test_unrecognised_rules_are_reported(spark, tmp_path):
+    from lakesmith.sources.runlog import RunLog
+    log = RunLog(spark, str(tmp_path / "log"), "r")
+    from lakesmith.operators import rules
+    table = rules.rules_from_rows(spark, [
+        {"source_table": "t", "source_column": "a", "target_column": "a", "transformation_logic": "polish it"},
+        {"source_table": "t", "source_column": "b", "target_column": "b", "transformation_logic": "Convert to integer"}])
+    assert [r["target_column"] for r in phases.report_rules("bronze", table, log)] == ["a"]
+    log.flush()
+    assert read_runlog(spark, str(tmp_path / "log")).where("action = 'rule_unrecognised' AND status = 'skipped'").count() == 1
+
+
+def test_csv_keeps_long_whole_numbers(spark, tmp_path):
+    from lakesmith.sources.csv import read_csv_table
+    p = str(tmp_path / "t.csv")
+    _write_csv(p, "a,b,c", [("12345678901234567890", 1, "1" * 45), ("12345678901234567891", 2, "7"), ("5", 3, "8")])
+    df = read_csv_table(spark, p)
+    assert [t for _, t in df.dtypes[:3]] == ["decimal(38,0)", "bigint", "string"]
+    assert [str(r["a"]) for r in df.orderBy("_row_order").collect()] == ["12345678901234567890", "12345678901234567891", "5"]
 
 
 def test_csv_null_tokens_and_types(spark, tmp_path):

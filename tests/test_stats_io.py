@@ -16,7 +16,7 @@ def _median_of(spark, values):
 
 
 def test_exact_median_matches_brute_force_with_narrowing(spark, monkeypatch):
-    monkeypatch.setattr(stats, "_SMALL_BAND", 40)  # force several narrowing passes
+    monkeypatch.setattr(stats, "_ACCURACY", 3)  # rough candidates: several narrowing passes
     rng = random.Random(7)
     for n in (1, 2, 501, 1000):
         values = [float(rng.randint(0, 300)) for _ in range(n)]
@@ -24,13 +24,27 @@ def test_exact_median_matches_brute_force_with_narrowing(spark, monkeypatch):
 
 
 def test_exact_median_hot_value_and_nulls(spark, monkeypatch):
-    monkeypatch.setattr(stats, "_SMALL_BAND", 10)
+    monkeypatch.setattr(stats, "_ACCURACY", 2)
     values = [5.0] * 400 + [float(i) for i in range(200)] + [None] * 50
     expected = statistics.median([v for v in values if v is not None])
     assert _median_of(spark, values) == expected
     assert _median_of(spark, [None, None]) is None
 
 
+def test_exact_median_between_two_long_runs(spark):
+    for n in (120_002, 1_555_554):
+        df = spark.range(n).select(F.when(F.col("id") % 2 == 0, 1.0).otherwise(2.0).alias("x"),
+                                   F.when(F.col("id") % 3 == 0, float("nan")).otherwise(F.col("id")).alias("y"))
+        kept = [i for i in range(n) if i % 3]
+        assert stats.exact_medians(df, {"x": F.col("x"), "y": F.col("y")}) == {"x": 1.5, "y": statistics.median(kept)}
+
+
+def test_number_text_is_the_doubles_own(spark):
+    values = [-0.000123456789012, -994.28, 100.0, 0.0, 1.5e-7, 1e16, 123456789.125, 9007199254740993.0, 0.1 + 0.2, 2e-5]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(profile.num_text(F.col("x"))).collect()] == [repr(v) for v in values]
+
+
 def test_modes_one_pass(spark):
     df = spark.createDataFrame([("b", 2, None), ("a", 2, None), ("b", 1, None), ("a", 1, None), (None, 3, None)],
                                "s string, n long, e string")

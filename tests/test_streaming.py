@@ -14,10 +14,17 @@ def test_latest_event_per_run_streams(spark, tmp_path):
     other.log("silver_agent", "phase2_failed", status="failed", detail="boom")
     other.flush()
 
-    q = audit_trail.start_latest_per_run(spark, root, query_name="latest_test")
-    q.awaitTermination(120)
-    got = {r["run_id"]: (r["action"], r["status_class"]) for r in spark.table("latest_test").collect()}
-    assert got == {"run-a": ("completed", "is-success"), "run-b": ("phase2_failed", "is-failed")}
+    table = str(tmp_path / "latest")
+
+    def update():
+        q = audit_trail.start_latest_per_run(spark, root, table, name="latest_test")
+        q.awaitTermination(120)
+        return {r["run_id"]: (r["action"], r["status_class"]) for r in audit_trail.latest_table(spark, table).collect()}
+
+    assert update() == {"run-a": ("completed", "is-success"), "run-b": ("phase2_failed", "is-failed")}
+    other.log("silver_agent", "retried", status="running")
+    other.flush()
+    assert update() == {"run-a": ("completed", "is-success"), "run-b": ("retried", "is-progress")}
 
 
 def test_event_sink_appends(spark, tmp_path):
