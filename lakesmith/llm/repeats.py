@@ -234,6 +234,12 @@ def _finish(length: int):
     return run
 
 
+def _present(rows: DataFrame) -> DataFrame:
+    """The same rows, stated to hold no null: joins and groupings then infer no
+    filters of their own, and all uses of an exchange of them have one plan."""
+    return rows.where(" and ".join(f"{c} is not null" for c in rows.columns))
+
+
 def order_number(id_col: str) -> Column:
     return F.coalesce(col(id_col).cast("long"), F.lit(LAST))
 
@@ -259,15 +265,15 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
         "no", "th", "bytes", F.coalesce("copied", F.lit(False)).alias("copy"))
 
     own = texts.where("not copy").select("no", "th", "bytes")
-    keyed = own.mapInArrow(_anchor_rows(length, gram), "h long, no long, th int").repartition("h")
+    keyed = _present(own.mapInArrow(_anchor_rows(length, gram), "h long, no long, th int")).repartition("h")
     # count("th") keeps this exchange equal to the one below, so it is made once
     shared = keyed.groupBy("h").agg(F.min("no").alias("a"), F.max("no").alias("b"), F.count("th").alias("n")).where("a < b")
     marked = keyed.join(shared.select("h", (F.col("n") > hot).alias("hot")), "h")
     lists = marked.groupBy("no", "th").agg(F.collect_set(F.when(~F.col("hot"), F.col("h"))).alias("cold"),
                                            F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot"))
 
-    segments = own.join(lists, ["no", "th"]).mapInArrow(
-        _segment_rows(length, gram), "key long, no long, th int, start int, seg binary").repartition("key")
+    segments = _present(own.join(lists, ["no", "th"]).mapInArrow(
+        _segment_rows(length, gram), "key long, no long, th int, start int, seg binary")).repartition("key")
     distinct = segments.groupBy("key", "seg").agg(F.min("no").alias("least"), F.max("no").alias("most"),
                                                   F.min("th").alias("t"), F.min("start").alias("s"))
     found = distinct.withColumn("sd", F.xxhash64("seg")).sortWithinPartitions("key").mapInArrow(
