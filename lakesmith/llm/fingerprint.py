@@ -139,19 +139,27 @@ def differences(rows: DataFrame, base: DataFrame, pairs: dict[str, tuple[str, st
     signed = base.withColumn("x", F.explode(uses)).where("pair = x.v")
     minus = signed.groupBy(*_DOC, F.col("x.p").alias("pair"), "w", "cell").agg(
         F.sum(F.col("n") * F.col("x.s")).alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
-    tried, growth = checkpointed(peel(minus)), 1
+    tried = checkpointed(peel(minus))
     found = tried.where("ok")
-    while not (failed := tried.where("not ok").select(*_DOC, "pair")).isEmpty():
-        mine = rows.join(failed, _DOC)
-        a, b = (F.coalesce(*[F.when(F.col("pair") == p, F.col(sides[i])) for p, sides in pairs.items()]) for i in (0, 1))
-        mine = mine.select(*_DOC, "pair", a.alias("a"), b.alias("b"))
+    both = rows.join(tried.where("not ok").select(*_DOC, "pair"), _DOC)
+    a, b = (F.coalesce(*[F.when(F.col("pair") == p, F.col(sides[i])) for p, sides in pairs.items()]) for i in (0, 1))
+    left, growth = both.select(*_DOC, "pair", a.alias("a"), b.alias("b")), 1
+    while True:
         # a table for half the digests that can differ, rounded up to a power of two
         need = F.greatest((F.size("a") + F.size("b")) / 2.0, F.lit(float(RETRY_WIDTH)))
         width = (F.pow(F.lit(2.0), F.ceil(F.log2(need))) * growth).cast("long")
         lists = [_labelled(F.col("a"), F.col("pair"), 1), _labelled(F.col("b"), F.col("pair"), -1)]
-        tried = checkpointed(peel(_cells(_entries(mine, lists, width), [*_DOC, "pair"])))
-        found, growth = found.unionByName(tried.where("ok")), growth * 2
-    return found.select(*_DOC, "pair", "plus", "minus")
+        peeled = peel(_cells(_entries(left, lists, width), [*_DOC, "pair"]))
+        # only pairs that failed again keep their digests
+        again = [F.when(~F.col("ok"), F.col(x)).alias(x) for x in "ab"]
+        # joined by document alone, as both sides are partitioned; a document has few pairs
+        same = (F.col("pair") <= F.col("p")) & (F.col("pair") >= F.col("p"))
+        tried = checkpointed(peeled.join(left.withColumnRenamed("pair", "p"), _DOC).where(same)
+                             .select(*_DOC, "pair", "plus", "minus", "ok", *again))
+        found, growth = found.unionByName(tried.where("ok").drop("a", "b")), growth * 2
+        left = tried.where("not ok").select(*_DOC, "pair", "a", "b").repartition(*_DOC)
+        if left.isEmpty():
+            return found.select(*_DOC, "pair", "plus", "minus")
 
 
 def document_keys(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
@@ -187,28 +195,31 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(col(id_col).alias("id"), *document_keys(id_col, text_col), text_of(text_col).alias("text"))
     one = rows.groupBy(*_DOC).agg(F.first("id").alias("id"), F.first("text").alias("text"),
                                   F.count(F.lit(1)).cast("int").alias("copies"))
-    linked = one.join(successors(docs, id_col, text_col), _DOC)
+    # naming every column keeps both uses of the grouped texts one plan, so they are shuffled once
+    linked = one.where("copies > 0 or id is not null").join(successors(docs, id_col, text_col), _DOC)
     sent = linked.select(F.col("b1").alias("k1"), F.col("b2").alias("k2"), digests(F.col("text")).alias("c"),
                          F.substring(F.col("text"), F.lit(1), F.col("taken")).alias("opening"))
-    met = linked.select(*_DOC, "id", "text", "copies").join(sent, _DOC)
+    met = one.join(sent, _DOC)
     n = F.char_length("text")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 4).cast("int")), "opening")
     met = met.withColumn("n_chars", n.cast("long")).withColumn("edited", edited)
     met = checkpointed(met.select(
         *_DOC, "id", "copies", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("b"), "c"))
-    met = met.repartition(*_DOC)  # narrow; all cells of a document stay in its partition from here on
-    cells = sketches(met, ["a", "b", "c"])
+    # narrow; all cells of a document stay in its partition from here on
+    lists = met.select(*_DOC, "a", "b", "c").repartition(*_DOC)
+    facts = met.select(*_DOC, "id", "copies", "n_chars", "edited_sha256", F.size("a").alias("size"))
+    cells = sketches(lists, ["a", "b", "c"])
     texts = sketch_texts(cells, {"a": "fingerprint", "b": "edited_fingerprint"})
     sides = {"near_edited": ("a", "b"), "near_next": ("a", "c")}
-    counts = differences(met, cells, sides).groupBy(*_DOC).agg(*[
+    counts = differences(lists, cells, sides).groupBy(*_DOC).agg(*[
         F.max(F.when(F.col("pair") == p, F.struct("plus", "minus"))).alias(p) for p in sides])
-    out = met.join(texts, _DOC, "left").join(counts, _DOC, "left")
+    out = facts.join(texts, _DOC, "left").join(counts, _DOC, "left")
 
     def ratio(name: str) -> Column:
         plus, minus = (F.coalesce(F.col(name)[x], F.lit(0)) for x in ("plus", "minus"))
-        union = F.size("a") + minus
-        return F.when(union == 0, 1.0).otherwise((F.size("a") - plus) / union).cast("double").alias(name)
+        union = F.col("size") + minus
+        return F.when(union == 0, 1.0).otherwise((F.col("size") - plus) / union).cast("double").alias(name)
 
     return out.select("id", "n_chars", "edited_sha256",
                       *[F.coalesce(x, F.lit("")).alias(x) for x in ("fingerprint", "edited_fingerprint")],
