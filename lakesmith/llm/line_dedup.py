@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakesmith.llm.common import col, document_key, kept_columns, staged, text_of
+from lakesmith.llm.common import col, document_key, kept_columns, let, staged, text_of
 from lakesmith.operators.keys import number_rows
 
 #: Shortest repeated run, in lines with content.
@@ -37,7 +37,8 @@ def _lines(text: Column) -> Column:
 
 def _with_content(lines: Column) -> Column:
     """Numbers of the lines that are not blank."""
-    return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(lines[i]) != "")
+    return let(lines, lambda all_lines: F.filter(
+        F.sequence(F.lit(0), F.size(all_lines) - 1), lambda i: F.trim(F.get(all_lines, i)) != ""))
 
 
 def _ranked(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -105,12 +106,12 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, text_col: str = "te
                        col(text_col).cast("string").alias("text"))
     joined = rows.join(gone, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__th") == F.col("th")), "left")
     lines = _lines(F.col("text"))
-    marked = joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"))
     # numbers among the lines with content become numbers among all lines
-    marked = marked.withColumn("full", F.when(F.col("removed").isNotNull(), _with_content(lines))).withColumn(
-        "gone", F.transform("removed", lambda p: F.get(F.col("full"), p)))
+    gone_of = let(_with_content(lines), lambda full: F.transform("removed", lambda p: F.get(full, p)))
+    marked = joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")).withColumn(
+        "gone", F.when(F.col("removed").isNotNull(), gone_of))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    clean = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    clean = let(lines, lambda all_lines: F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n"))
     # a run starts at a removed line whose predecessor with content stays
     starts = F.aggregate(F.array_sort("removed"), F.struct(F.lit(-2).alias("last"), F.lit(0).alias("n")),
                          lambda a, p: F.struct(p.alias("last"), (a["n"] + (p != a["last"] + 1).cast("int")).alias("n")),
