@@ -610,15 +610,16 @@ def o_full_outer(spark, sf):
 
 
 @register("o_left_wins", f"""
-SELECT row_number() OVER (ORDER BY COALESCE(c.nation_id, s.nation_id) NULLS LAST, c.customer_id, s.supplier_id) AS pk_gold_id,
-       c.customer_id, COALESCE(c.nation_id, s.nation_id) AS nation_id, c.account_balance, s.supplier_id
-FROM {sql_conventional('customer')} c FULL JOIN {sql_conventional('supplier')} s
-  ON c.nation_id IS NOT DISTINCT FROM s.nation_id""")
+SELECT row_number() OVER (ORDER BY COALESCE(c.customer_id, o.customer_id) NULLS LAST, o.order_id) AS pk_gold_id,
+       COALESCE(c.customer_id, o.customer_id) AS customer_id, c.account_balance, o.order_id
+FROM {sql_conventional('customer')} c FULL JOIN {sql_conventional('orders')} o
+  ON c.customer_id IS NOT DISTINCT FROM o.customer_id""")
 def o_left_wins(spark, sf):
-    """Many-to-many join; on the clashing column the left copy wins."""
-    src = {"customer": conventional(spark, sf, "customer"), "supplier": conventional(spark, sf, "supplier")}
-    return run_gold(spark, src, passthrough("customer", ["customer_id", "nation_id", "account_balance"])
-                    + passthrough("supplier", ["supplier_id", "account_balance"]))
+    """On the clashing column the left copy wins."""
+    orders = conventional(spark, sf, "orders").withColumn("account_balance", F.col("total_amount"))
+    src = {"customer": conventional(spark, sf, "customer"), "orders": orders}
+    return run_gold(spark, src, passthrough("customer", ["customer_id", "account_balance"])
+                    + passthrough("orders", ["order_id", "account_balance"]))
 
 
 @register("o_multi_pass", f"""

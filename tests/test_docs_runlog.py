@@ -60,4 +60,3 @@ def test_traces(spark, tmp_path):
     write_traces(spark, [t], str(tmp_path / "tr"))
     back = runlog.step_durations(read_traces(spark, str(tmp_path / "tr"))).collect()
     assert back[0]["agent"] == "bronze_agent" and back[0]["status"] == "success"
-    assert F is not None

@@ -38,7 +38,9 @@ def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
     sql = entry.oracle_sql().get(name)
-    if sql is None:
+    if sql is None:  # not expressible in SQL: tests/llm checks those by brute force
+        assert name.startswith("op") or name == "pipeline"
+        assert got[1]
         return
     rel = con.sql(sql)
     assert got == _canon(rel.columns, rel.fetchall())
@@ -46,4 +48,4 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_runs(spark):
     out = entry.entry(spark)
-    assert out.columns == ["segment", "total_amount"] and out.count() >= 0
+    assert out.columns == ["segment", "total_amount"] and out.count() == 5
