@@ -109,15 +109,20 @@ class Stage:
         if not self.chains:
             return
         stats: dict = {}
-        if self.aggs:
-            row = self.base.agg(*self.aggs).first()
+        # medians and modes only fill gaps, so columns without any need none
+        gaps = [F.count_if(c.isNull()).alias(f"{key}_gaps")
+                for key, c in [*self.medians.items(), *((k, c) for k, (c, _) in self.modes.items())]]
+        if self.aggs or gaps:
+            row = self.base.agg(*self.aggs, *gaps).first()
             stats.update(row.asDict())
             self.jobs += 1
-        if self.medians:
-            stats.update(exact_medians(self.base, self.medians))
+        wanted = {k: c for k, c in self.medians.items() if stats[f"{k}_gaps"]}
+        if wanted:
+            stats.update(exact_medians(self.base, wanted))
             self.jobs += 1
-        if self.modes:
-            stats.update(modes(self.base, self.modes))
+        asked = {k: v for k, v in self.modes.items() if stats[f"{k}_gaps"]}
+        if asked:
+            stats.update(modes(self.base, asked))
             self.jobs += 1
         for name, chain in self.chains.items():
             c, dt = self.cols[name]
