@@ -52,8 +52,8 @@ def test_equals_brute_force(make):
 
 def test_small_sketches_are_retried(make, monkeypatch):
     monkeypatch.setattr(fp, "WIDTH", 1)
-    monkeypatch.setattr(fp, "RETRY_WIDTH", 1)
-    monkeypatch.setattr(fp, "ROUNDS", 2)
+    monkeypatch.setattr(fp, "RETRY_WIDTH", 4)
+    monkeypatch.setattr(fp, "ROUNDS", 1)
     docs = random_docs(2, 14)
     check({r["id"]: r for r in fp.edited_fingerprints(make(docs)).collect()}, docs)
 
