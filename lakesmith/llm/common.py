@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesmith.session import ensure_checkpoint_dir
+from lakesmith.session import discard_at_exit, ensure_checkpoint_dir, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -23,11 +21,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
     Cuts lineage and fixes the rows: a lost executor rereads files instead of
     recomputing.  Parquet (compressed, column-pruned) is used where the rows are
-    wide; narrow loops use ``checkpoint()``.
+    wide; narrow loops use ``checkpoint()``.  The files go when the application
+    ends.
     """
     spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), "lakesmith-llm", f"{label}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"llm-{label}")
     df.write.parquet(path)
+    discard_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
