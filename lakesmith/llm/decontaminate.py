@@ -5,7 +5,7 @@ marked 0 are ignored.  Two token sequences that differ only there share the
 seed's hash.  Every benchmark window is hashed under every mask; every training
 window is hashed the same way and looked up.  Around a hit the two sequences
 are aligned and compared token by token, which tolerates substitutions, and
-the overlap counts only if the best aligned stretch is long and similar enough.
+every maximal stretch that is long and similar enough is an overlap.
 
 The benchmark is the query set: it goes to the tasks in blocks of at most
 ``BLOCK_TOKENS`` tokens, so what is sent at once has a fixed bound, and all
@@ -15,8 +15,10 @@ so hot documents, sources or passages cost no more than their own length.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -119,27 +121,33 @@ class SeedIndex:
                 for item, q in at[c]:
                     if (doc, item, p - q) not in tried:
                         tried.add((doc, item, p - q))
-                        overlap = self._verify(ids, int(first[doc]), int(first[doc + 1]), item, p - q)
-                        if overlap:
-                            out[doc].append(overlap)
-        return [sorted(h, key=lambda x: (x["item_id"], x["start"])) for h in out]
+                        out[doc] += self._verify(ids, int(first[doc]), int(first[doc + 1]), item, p - q)
+        return [sorted(h, key=lambda x: (x["item_id"], x["start"], x["end"])) for h in out]
 
-    def _verify(self, ids, start: int, stop: int, item: int, shift: int) -> dict | None:
-        """Best aligned stretch of a whole item at this shift, if long and similar enough."""
+    def _verify(self, ids, start: int, stop: int, item: int, shift: int) -> list[dict]:
+        """Every maximal aligned stretch of a whole item at this shift that is long and similar enough."""
         want = self.items[item]
         low, high = max(0, start - shift), min(len(want), stop - shift)
         same = ids[shift + low:shift + high] == want[low:high]
-        # stretch of the greatest sum with +1 for a match and -2 for a substitution
-        total = np.r_[0, np.cumsum(np.where(same, 1, -2))]
-        floor = np.minimum.accumulate(total)
-        end = int(np.argmax(total - floor))
-        begin = int(np.argmin(total[:end + 1]))
-        matched = int(same[begin:end].sum())
-        needed = min(self.min_overlap, int(np.ceil(self.min_share * len(want))))
-        if matched < needed or matched < self.min_share * (end - begin):
-            return None
-        return {"item_id": self.item_ids[item], "start": shift + low + begin - start,
-                "end": shift + low + end - start, "matched": matched, "item_tokens": len(want)}
+        share = Fraction(str(self.min_share))
+        needed = max(1, min(self.min_overlap, math.ceil(share * len(want))))
+        if int(same.sum()) < needed:
+            return []
+        # a stretch [i, j) is similar enough if above[j] >= above[i]; whole numbers, so ties are exact
+        equal = np.r_[0, np.cumsum(same)]
+        above = share.denominator * equal - share.numerator * np.arange(len(same) + 1)
+        ends = np.flatnonzero(same) + 1
+        floor = np.minimum.accumulate(above)
+        begins = np.searchsorted(-floor, -above[ends])  # earliest begin of each end
+        begins = (ends - 1)[np.searchsorted(ends - 1, begins)]  # moved on to its first match
+        matched = equal[ends] - equal[begins]
+        long = matched >= needed
+        ends, begins, matched = ends[long], begins[long], matched[long]
+        # a stretch within another one has a later end's begin at or before its own
+        later = np.r_[np.minimum.accumulate(begins[::-1])[::-1][1:], len(same)]
+        return [{"item_id": self.item_ids[item], "start": shift + low + i - start, "end": shift + low + j - start,
+                 "matched": m, "item_tokens": len(want)}
+                for i, j, m, outer in zip(begins.tolist(), ends.tolist(), matched.tolist(), later.tolist()) if i < outer]
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
@@ -186,7 +194,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     An overlap is an aligned stretch of at least ``min_overlap`` equal tokens
     (or ``min_share`` of the item, if that is less) with at most 1 -
-    ``min_share`` substitutions.  Null and empty texts are clean; items under
+    ``min_share`` substitutions.  It begins and ends with equal tokens and lies
+    in no longer one of the same alignment; two overlaps of an alignment may
+    share tokens.  Null and empty texts are clean; items under
     ``MIN_TOKENS`` tokens, null or empty ones never match; a repeated item text
     counts once, under its smallest id.  Repeated rows each get their result;
     an empty benchmark leaves all documents clean.  An input column named

@@ -75,6 +75,55 @@ def test_every_alignment_equals_brute_force():
             assert best >= h["matched"] >= min(d.MIN_OVERLAP, 0.8 * len(w))
 
 
+def all_overlaps(doc, item):
+    """The documented rule at every alignment, by trying every stretch."""
+    out, needed = set(), min(13, -(-8 * len(item) // 10))
+    for shift in range(1 - len(item), len(doc)):
+        same = [0 <= shift + k < len(doc) and doc[shift + k] == t for k, t in enumerate(item)]
+        inside = [0 <= shift + k < len(doc) for k in range(len(item))]
+        good = [(i, j) for i in range(len(item)) for j in range(i + 1, len(item) + 1)
+                if same[i] and same[j - 1] and all(inside[i:j]) and sum(same[i:j]) >= needed
+                and 10 * sum(same[i:j]) >= 8 * (j - i)]
+        out |= {(shift + i, shift + j, sum(same[i:j])) for i, j in good
+                if not any(a <= i and j <= b and (a, b) != (i, j) for a, b in good)}
+    return out
+
+
+def replaced(tokens, at):
+    return [f"x{j}" if j in at else t for j, t in enumerate(tokens)]
+
+
+#: Token numbers replaced in an item of the given length.
+CASES = [
+    (16, {1, 14}),  # matched ends count
+    (51, {*range(13, 19), *range(32, 38)}),  # exact runs of 13 between replaced stretches
+    (67, {*range(20, 29), *range(38, 47)}),  # 20 + 9 + 20, the middle run of 9 only
+    (40, {*range(0, 40, 7)}),
+]
+
+
+def test_every_stretch_that_meets_the_rule(make, spark):
+    items = [(n, " ".join(f"i{n}t{j}" for j in range(length))) for n, (length, _) in enumerate(CASES)]
+    docs = [(n, " ".join(["start", *replaced(t.split(), CASES[n][1]), "end"])) for n, t in items]
+    out = d.contamination(make(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    for r in out:
+        want = all_overlaps(r["text"].split(), items[r["doc_id"]][1].split())
+        assert want and {(o["start"], o["end"], o["matched"]) for o in r["overlaps"]} == want
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert d.decontaminate(make([*docs, (9, "clean")]), bench).select("doc_id").collect() == [(9,)]
+
+
+def test_random_substitutions_equal_brute_force():
+    import pyarrow as pa
+    rng = random.Random(8)
+    for trial in range(400):
+        item = [f"t{j}" for j in range(rng.randint(16, 50))]
+        share = rng.choice((0.1, 0.2, 0.3, 0.4))
+        doc = ["a", *replaced(item, {j for j in range(6, len(item)) if rng.random() < share}), "b"]
+        hits = d.SeedIndex([(1, " ".join(item))], d.MIN_OVERLAP, d.MIN_SHARE).hits(pa.array([" ".join(doc)]))[0]
+        assert [(h["start"], h["end"], h["matched"]) for h in hits] == sorted(all_overlaps(doc, item)), trial
+
+
 def test_edges_and_empty(spark, edge, empty):
     bench = spark.createDataFrame([(1, EDGE[0][1]), (2, ""), (3, None), (4, "a b")], "item_id long, text string")
     out = d.contamination(edge, bench)
