@@ -37,13 +37,14 @@ _KEY = "A-Za-z0-9+/_-"
 CANDIDATE = rf"(?<![{_KEY}])(?=[A-Za-z+/_-]*+[0-9])[{_KEY}]{{20,}}+={{0,2}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 
+_WORD, _SAMPLE = "(?:[A-Z]?[a-z]{1,14}|[A-Z]{1,15})", "(?:EXAMPLE|example|XXXX|xxxx|0123456789|abcdefghij)"
 #: Candidates that are no secrets (whole candidate).
 ALLOWED = (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",  # UUID
     r"[0-9/_+-]+=*",  # numbers, dates, phone numbers
     r"(?:[A-Za-z]+[/_+-]+)+[0-9]{1,6}",  # words with a number at the end
-    r"(?:[A-Za-z]*[/_+-]+)*[0-9]{1,4}(?:[/_+-]+[A-Za-z0-9]{1,15})*",  # dated paths and slugs
-    r".*(?:EXAMPLE|example|XXXX|xxxx|0123456789|abcdefghij).*",  # samples
+    rf"(?:[A-Za-z]*[/_+-]+)*[0-9]{{1,4}}(?:[/_+-]+(?:{_WORD}|[0-9]{{1,4}}))*",  # dated paths and slugs
+    rf"(?!(?:.*/)?(?![^/]*{_SAMPLE})[^/]{{{WINDOW}}}).*{_SAMPLE}.*",  # samples; no part without a mark holds a window
 )
 ADDED = ["spans"]
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"

@@ -79,6 +79,16 @@ def test_allow_list(make):
     assert {r["doc_id"]: len(r["spans"]) for r in s.find_secrets(docs, allowed=()).collect()}[3] >= 1
 
 
+def test_allow_list_clears_no_random_parts(make):
+    random_key = "q8Zr2LwX5vTn9KbY3mHc7PfJ1sGd6RaE4uWo0Nix"
+    keys = ["7-F3kQ9zLmX2vB8nT-Yc5RwP1sDh6JgKe", "4821-K7Q9ZL-X2VB8N-TYC5RW", f"example/keys/{random_key}"]
+    fine = ["2024/05/17/some-long-title-of-2-words", "archive/2024-05/Report_FINAL-12", f"path/to/EXAMPLE{random_key}",
+            "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY9"]
+    docs = make([(i, f"k {v} k") for i, v in enumerate(keys + fine)])
+    got = {r["doc_id"] for r in s.find_secrets(docs).collect() if r["spans"]}
+    assert got == set(range(len(keys)))
+
+
 def test_redaction(make):
     docs = make([(1, "é password=abcdefgh12 and " + "0123456789abcdef" * 2 + " end"), (2, None), (3, "clean")])
     got = {r["doc_id"]: r["text"] for r in s.redact(docs).collect()}
