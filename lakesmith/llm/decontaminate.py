@@ -1,8 +1,10 @@
-"""Benchmark decontamination by spaced-seed hashing (operator 3).
+"""Benchmark decontamination by seed hashing (operator 3).
 
-A spaced seed is a fixed mask over consecutive token positions; positions
-marked 0 are ignored.  Two token sequences that differ only there share the
-seed's hash.  Every benchmark window is hashed under every mask; every training
+A seed is a run of consecutive tokens.  A stretch with e equal tokens and at
+most m substitutions has m + 1 exact runs at most, so one of them holds at
+least e / (m + 1) tokens; the least such number over all stretches that the
+rule accepts for an item is the length of its seeds, so no stretch escapes
+them.  Every window of that length of every item is hashed; every training
 window is hashed the same way and looked up.  Around a hit the two sequences
 are aligned and compared token by token, which tolerates substitutions, and
 every maximal stretch that is long and similar enough is an overlap.
@@ -28,8 +30,6 @@ from pyspark.sql import functions as F
 
 from lakesmith.llm.common import col, kept_columns
 
-#: Weight 6 each; the first is contiguous, the others skip up to three of nine positions.
-MASKS = ("111111", "110110101", "101101011", "111001011")
 #: Matched tokens that make an overlap, and the least share of its stretch.
 MIN_OVERLAP, MIN_SHARE = 13, 0.8
 #: Items below this many tokens cannot be told from chance and never match.
@@ -56,20 +56,34 @@ def _flat(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return tokens.filter(real), owner.filter(real).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _codes(ids: np.ndarray, mask: str) -> np.ndarray:
+def _codes(ids: np.ndarray, length: int) -> np.ndarray:
     """Hash of every window of ``ids`` (uint64, wrapping); meaningful only where all tokens are known."""
-    n = len(ids) - len(mask) + 1
+    n = len(ids) - length + 1
     code = np.zeros(max(n, 0), np.uint64)
     if n > 0:
-        for i, bit in enumerate(mask):
-            if bit == "1":
-                code = (code ^ ids[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
-                code ^= code >> np.uint64(29)
+        for i in range(length):
+            code = (code ^ ids[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
+            code ^= code >> np.uint64(29)
     return code
 
 
+def _needed(n_tokens: int, min_overlap: int, share: Fraction) -> int:
+    """Equal tokens that an overlap with an item of ``n_tokens`` tokens must have."""
+    return max(1, min(min_overlap, math.ceil(share * n_tokens)))
+
+
+def seed_length(n_tokens: int, min_overlap: int = MIN_OVERLAP, min_share: float = MIN_SHARE) -> int:
+    """Length of the exact run that every accepted stretch of such an item holds."""
+    share = Fraction(str(min_share))
+    least = n_tokens
+    for equal in range(_needed(n_tokens, min_overlap, share), n_tokens + 1):
+        replaced = min(n_tokens - equal, math.floor(equal * (1 - share) / share)) if share else n_tokens - equal
+        least = min(least, -(-equal // (replaced + 1)))
+    return least
+
+
 class SeedIndex:
-    """Hashes of one benchmark block under every mask."""
+    """Hashes of one benchmark block by seed length."""
 
     def __init__(self, items: list[tuple[int, str]], min_overlap: int, min_share: float):
         self.item_ids = [i for i, _ in items]
@@ -79,16 +93,16 @@ class SeedIndex:
         ids = self._ids(tokens)
         first = np.searchsorted(owner, np.arange(len(items) + 1))
         self.items = [ids[a:b] for a, b in zip(first, first[1:])]
-        self.at: list[dict[int, list[tuple[int, int]]]] = []
-        self.sorted: list[np.ndarray] = []
-        for mask in MASKS:
-            at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-            for k, item in enumerate(self.items):
-                if len(item) >= MIN_TOKENS:
-                    for q, code in enumerate(_codes(item, mask).tolist()):
-                        at[code].append((k, q))
-            self.at.append(dict(at))
-            self.sorted.append(np.array(sorted(at), np.uint64))
+        lengths: dict[int, int] = {n: seed_length(n, min_overlap, min_share)
+                                   for n in {len(item) for item in self.items} if n >= MIN_TOKENS}
+        self.at: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        for k, item in enumerate(self.items):
+            if len(item) in lengths:
+                at = self.at[lengths[len(item)]]
+                for q, code in enumerate(_codes(item, lengths[len(item)]).tolist()):
+                    at[code].append((k, q))
+        self.at = {length: dict(at) for length, at in self.at.items()}
+        self.sorted = {length: np.array(sorted(at), np.uint64) for length, at in self.at.items()}
 
     def _ids(self, tokens: pa.Array) -> np.ndarray:
         found = pc.index_in(tokens, value_set=self.vocabulary)
@@ -103,18 +117,17 @@ class SeedIndex:
         first = np.searchsorted(owner, np.arange(len(texts) + 1))
         known = ids > 0
         tried: set[tuple[int, int, int]] = set()
-        for mask, at, codes in zip(MASKS, self.at, self.sorted):
-            n = len(ids) - len(mask) + 1
-            if n <= 0 or not len(codes):
+        for length, at in self.at.items():
+            n, codes = len(ids) - length + 1, self.sorted[length]
+            if n <= 0:
                 continue
-            ok = owner[:n] == owner[len(mask) - 1:]
-            for i, bit in enumerate(mask):
-                if bit == "1":
-                    ok &= known[i:i + n]
+            ok = owner[:n] == owner[length - 1:]
+            for i in range(length):
+                ok &= known[i:i + n]
             spots = np.flatnonzero(ok)
             if not len(spots):
                 continue
-            code = _codes(ids, mask)[spots]
+            code = _codes(ids, length)[spots]
             place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
             for p, c in zip(spots[codes[place] == code].tolist(), code[codes[place] == code].tolist()):
                 doc = int(owner[p])
@@ -130,7 +143,7 @@ class SeedIndex:
         low, high = max(0, start - shift), min(len(want), stop - shift)
         same = ids[shift + low:shift + high] == want[low:high]
         share = Fraction(str(self.min_share))
-        needed = max(1, min(self.min_overlap, math.ceil(share * len(want))))
+        needed = _needed(len(want), self.min_overlap, share)
         if int(same.sum()) < needed:
             return []
         # a stretch [i, j) is similar enough if above[j] >= above[i]; whole numbers, so ties are exact

@@ -124,6 +124,28 @@ def test_random_substitutions_equal_brute_force():
         assert [(h["start"], h["end"], h["matched"]) for h in hits] == sorted(all_overlaps(doc, item)), trial
 
 
+def test_every_accepted_substitution_has_a_seed():
+    import itertools
+    import pyarrow as pa
+    for n in range(6, 18):
+        item = [f"t{j}" for j in range(n)]
+        index = d.SeedIndex([(1, " ".join(item))], d.MIN_OVERLAP, d.MIN_SHARE)
+        docs = [replaced(item, set(at)) for k in range(5) for at in itertools.combinations(range(n), k)]
+        for doc, hits in zip(docs, index.hits(pa.array([" ".join(x) for x in docs]))):
+            assert {(h["start"], h["end"], h["matched"]) for h in hits} == all_overlaps(doc, item), doc
+
+
+def test_random_items_and_any_alignment_equal_brute_force():
+    import pyarrow as pa
+    rng = random.Random(12)
+    for trial in range(300):
+        words = [f"t{j}" for j in range(rng.choice((4, 12, 500)))]
+        item = rng.choices(words, k=rng.randint(6, 36))
+        doc = rng.choices(words, k=5) + [t if rng.random() > 0.2 else "x" for t in item] + rng.choices(words, k=5)
+        hits = d.SeedIndex([(1, " ".join(item))], d.MIN_OVERLAP, d.MIN_SHARE).hits(pa.array([" ".join(doc)]))[0]
+        assert {(h["start"], h["end"], h["matched"]) for h in hits} == all_overlaps(doc, item), trial
+
+
 def test_edges_and_empty(spark, edge, empty):
     bench = spark.createDataFrame([(1, EDGE[0][1]), (2, ""), (3, None), (4, "a b")], "item_id long, text string")
     out = d.contamination(edge, bench)
