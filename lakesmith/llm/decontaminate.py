@@ -9,9 +9,10 @@ window is hashed the same way and looked up.  Around a hit the two sequences
 are aligned and compared token by token, which tolerates substitutions, and
 every maximal stretch that is long and similar enough is an overlap.
 
-The benchmark is the query set: it goes to the tasks in blocks of at most
-``BLOCK_TOKENS`` tokens, so what is sent at once has a fixed bound, and all
-documents are read whole against every block.  Documents are never shuffled,
+The benchmark is the query set: it is indexed in blocks of ``BLOCK_TOKENS``
+tokens on the driver, and all blocks go to the tasks together, so the driver
+and each worker hold the whole benchmark.  All documents are read whole against
+every block.  Documents are never shuffled,
 so hot documents, sources or passages cost no more than their own length.
 """
 
@@ -34,7 +35,7 @@ from lakesmith.llm.common import col, kept_columns
 MIN_OVERLAP, MIN_SHARE = 13, 0.8
 #: Items below this many tokens cannot be told from chance and never match.
 MIN_TOKENS = 6
-#: Most benchmark tokens sent to the tasks at once.
+#: Benchmark tokens of one block.
 BLOCK_TOKENS = 1_000_000
 #: Document bytes tokenised at a time inside a task.
 SLICE_BYTES = 2 << 20
@@ -164,7 +165,7 @@ class SeedIndex:
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in blocks of bounded size, one partition at a time.  Equal
+    """The benchmark in blocks of about ``BLOCK_TOKENS``, one partition at a time.  Equal
     texts come once, under their smallest item id."""
     unique = benchmark.groupBy(col(text_col).alias("text")).agg(F.min(col(id_col).cast("long")).alias("id"))
     block, size = [], 0
