@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesmith.llm import decontaminate, fingerprint, line_dedup, mixing, repeats, secrets, sharding, simhash, toxicity, url_filter
+from lakesmith.llm import (alignment, decontaminate, fingerprint, line_dedup, mixing, phrases, quality, repeats, secrets,
+                           sharding, simhash, toxicity, url_filter)
 from lakesmith.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -231,3 +232,70 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page URL."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+# -- 11: phrase collocations ---------------------------------------------------
+
+OP11_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+split AS (SELECT lang, row_number() OVER () AS no, regexp_extract_all(p, '[^\x20\x09]+') AS words FROM piece),
+word AS (SELECT lang, no, generate_subscripts(words, 1) AS i, unnest(words) AS w FROM split),
+gram AS (
+  SELECT lang, w AS w1, lead(w) OVER s AS w2, lead(w, 2) OVER s AS w3 FROM word WINDOW s AS (PARTITION BY no ORDER BY i)),
+one AS (SELECT lang, w1, count(*) AS f FROM gram GROUP BY ALL),
+two AS (SELECT lang, w1, w2, count(*) AS f FROM gram WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+three AS (SELECT lang, w1, w2, w3, count(*) AS f FROM gram WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+around AS (
+  SELECT lang, w1, w2, max(f) AS most
+  FROM (SELECT lang, w1, w2, f FROM three UNION ALL SELECT lang, w2, w3, f FROM three) GROUP BY ALL),
+kept AS (
+  SELECT t.* FROM two t LEFT JOIN around USING (lang, w1, w2) WHERE most IS NULL OR 100 * most < 50 * t.f),
+cut AS (
+  SELECT k.lang, k.w1 || ' ' || k.w2 AS phrase, 1 AS k, k.f AS a, x.f AS l, y.f AS r
+  FROM kept k JOIN one x ON (k.lang, k.w1) = (x.lang, x.w1) JOIN one y ON (k.lang, k.w2) = (y.lang, y.w1)
+  UNION ALL
+  SELECT k.lang, k.w1 || ' ' || k.w2 || ' ' || k.w3, 1, k.f, x.f, y.f
+  FROM three k JOIN one x ON (k.lang, k.w1) = (x.lang, x.w1) JOIN two y ON (k.lang, k.w2, k.w3) = (y.lang, y.w1, y.w2)
+  UNION ALL
+  SELECT k.lang, k.w1 || ' ' || k.w2 || ' ' || k.w3, 2, k.f, x.f, y.f
+  FROM three k JOIN two x ON (k.lang, k.w1, k.w2) = (x.lang, x.w1, x.w2) JOIN one y ON (k.lang, k.w3) = (y.lang, y.w1)),
+scored AS (SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cut),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@register("op11_phrases", OP11_SQL)
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of two or three words of every language."""
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    return phrases.mine_phrases(docs, max_words=3, min_count=10, top=2000, subsumed_percent=50)
+
+
+# -- 12: quality ---------------------------------------------------------------
+
+@register("op12_quality")
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return model.score(docs).select("doc_id", F.coalesce(quality.fold() == 0, F.lit(False)).alias("held_out"),
+                                    "score", "predicted")
+
+
+# -- 13: cross-tokenizer alignment ---------------------------------------------
+
+TOKENIZERS = "/opt/tokenizers"
+
+
+@register("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of every document under both public tokenizers."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, alignment.Tokenizers.read(TOKENIZERS))
