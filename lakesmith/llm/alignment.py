@@ -7,6 +7,9 @@ Both tokenizers cut the same bytes, so tokens meet over bytes:
    Offsets where tokens of both end cut the text into groups; incidences of
    token ids with groups, multiplied likewise, count the links of every id pair.
    Groups are never expanded pair by pair: equal ids inside one count once.
+   A blank after a non-blank ends tokens of both sides, so no group crosses it:
+   texts of ordinary characters are cut there into units, and each task aligns
+   a unit once and adds up the units of its texts.  Other texts are aligned whole.
 2. The rows are written once, each text's id pairs packed into a few bytes a
    pair, so no text is tokenized twice.  Tasks count documents per id pair
    before the counts are shuffled.
@@ -20,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -33,14 +37,34 @@ from lakesmith.llm.sparse import Csr, add_equal, row_products, runs
 
 #: Text bytes tokenized and multiplied at a time.
 CHUNK_BYTES = 1 << 20
+#: Different units that a task remembers.
+UNITS_HELD = 1 << 18
 #: Id pairs that a task counts before it passes them on.
 COUNTED_AT_ONCE = 1 << 21
 #: Most id pairs known to all tasks.
 HEAD = 1 << 20
 ADDED = ["n_a", "n_b", "n_groups", "n_links", "n_overlaps", "n_best", "count_sum", "groups_sha256"]
 
-#: A tokenizer: token ids of many texts, and the bytes of every id.
-Encoder = tuple[Callable[[list[str]], list[list[int]]], list[bytes]]
+# Characters whose classes (letter, digit, blank) are the same to both tokenizers: ASCII text, Latin
+# letters, common punctuation.  Among them only the first three are blank (some pieces join a carriage return to what
+# stands before it).
+_ORDINARY = re.compile("[ \t\n!-~\u00a1-\u024f\u2010-\u2027]*")
+_UNIT = re.compile(r"[ \t\n]+[^ \t\n]*|[^ \t\n]+")
+
+
+@dataclass
+class Encoder:
+    """A tokenizer: token ids of many texts, the bytes of every id, and the ids
+    of units (see above) or None where it may join tokens across units."""
+    encode: Callable[[list[str]], list[list[int]]]
+    parts: list[bytes]
+    units: Callable[[list[str]], list[list[int]]] | None
+
+    def sizes(self) -> np.ndarray:
+        return np.array([len(p) for p in self.parts], np.int64)
+
+    def returns(self, ids: list[int], text: str) -> bool:
+        return b"".join(map(self.parts.__getitem__, ids)) == text.encode()
 
 
 @dataclass(frozen=True)
@@ -56,6 +80,7 @@ class Tokenizers:
             return Tokenizers(a.read(), b.read())
 
     def load(self) -> tuple[Encoder, Encoder]:
+        """Both encoders; they give the ids of a space and the text."""
         return byte_level_encoder(self.byte_level), piece_encoder(self.pieces)
 
 
@@ -72,26 +97,40 @@ def byte_level_encoder(spec: str) -> Encoder:
     from tokenizers import Tokenizer
     made = Tokenizer.from_str(spec)
     made.encode_special_tokens = True
+    plan = json.loads(spec)
     letters, vocabulary = byte_alphabet(), made.get_vocab()
-    added = {t["content"] for t in json.loads(spec).get("added_tokens") or ()}
+    added = {t["content"] for t in plan.get("added_tokens") or ()}
     parts = [b""] * (1 + max(vocabulary.values(), default=0))
     for token, i in vocabulary.items():
         parts[i] = token.encode() if token in added else bytes(letters[ch] for ch in token)
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in made.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-    return encode, parts
+    def units(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in made.encode_batch_fast(texts, add_special_tokens=False)]
+
+    # the byte-level pattern never joins a non-blank to a following blank, and no merge crosses its words
+    cut = plan.get("pre_tokenizer") or {}
+    apart = plan.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+    return Encoder(lambda texts: units([" " + t for t in texts]), parts, units if apart else None)
 
 
 def piece_encoder(spec: bytes) -> Encoder:
     import sentencepiece
     made = sentencepiece.SentencePieceProcessor(model_proto=spec)
-    parts = [bytes([int(p[3:5], 16)]) if made.is_byte(i) else p.replace("▁", " ").encode()
-             for i, p in enumerate(made.id_to_piece(list(range(made.vocab_size()))))]
+    pieces = made.id_to_piece(list(range(made.vocab_size())))
+    parts = [bytes([int(p[3:5], 16)]) if made.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+    space = made.piece_to_id("▁")
 
     def encode(texts: list[str]) -> list[list[int]]:
         return made.encode(texts, num_threads=1)
-    return encode, parts
+
+    def units(texts: list[str]) -> list[list[int]]:
+        # the model puts a space in front: the unit's own one, or one to take off again.  A first piece that is the
+        # space alone was merged with nothing, so the others are as they would be without it
+        found = encode([t[1:] if t[:1] == " " else t for t in texts])
+        return [ids if t[:1] == " " else ids[1:] if ids[:1] == [space] else [] for t, ids in zip(texts, found)]
+
+    across = any(re.search(r"[^ \t\n▁][ \t\n▁]", p) for i, p in enumerate(pieces) if not made.is_control(i) and not made.is_unknown(i))
+    return Encoder(encode, parts, None if across else units)
 
 
 @dataclass
@@ -217,20 +256,78 @@ def _chunks(texts: pa.Array) -> Iterator[list[str]]:
         yield held
 
 
+class _Aligner:
+    """Alignments of texts, and of the units met so far."""
+
+    def __init__(self, a: Encoder, b: Encoder) -> None:
+        self.a, self.b = a, b
+        self.sizes = a.sizes(), b.sizes()
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.good = np.zeros(0, bool)
+        self.known = Aligned(np.zeros((0, 5), np.int64), [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
+
+    def align(self, texts: list[str]) -> Aligned:
+        """Alignments of whole texts."""
+        out: list[tuple | None] = [None] * len(texts)
+        ordinary = [i for i, t in enumerate(texts) if t and _ORDINARY.fullmatch(t)] if self.a.units and self.b.units else []
+        if ordinary:
+            if len(self.numbers) > UNITS_HELD:
+                self.forget()
+            units = [_UNIT.findall(" " + texts[i]) for i in ordinary]
+            self._learn(units)
+            for i, mine in zip(ordinary, units):
+                at = np.fromiter(map(self.numbers.__getitem__, mine), np.int64, len(mine))
+                if self.good[at].all():
+                    out[i] = self._added_up(at)
+        rest = [i for i, found in enumerate(out) if found is None]
+        whole = self._whole([texts[i] for i in rest])
+        for k, i in enumerate(rest):
+            x, y = whole.bounds[k], whole.bounds[k + 1]
+            out[i] = whole.counts[k], whole.groups[k], whole.pairs[x:y], whole.links[x:y]
+        counts, groups, pairs, links = zip(*out)
+        return Aligned(np.stack(counts), list(groups), np.concatenate(pairs), np.concatenate(links),
+                       np.r_[0, np.cumsum([len(p) for p in pairs])])
+
+    def _whole(self, texts: list[str]) -> Aligned:
+        a, b = self.a.encode(texts), self.b.encode(texts)
+        for i, t in enumerate(texts):
+            if not t or not (self.a.returns(a[i], " " + t) and self.b.returns(b[i], " " + t)):
+                a[i], b[i] = [], []
+        return align_chunk(a, b, *self.sizes)
+
+    def _learn(self, units: list[list[str]]) -> None:
+        fresh = list(set().union(*units).difference(self.numbers))
+        if not fresh:
+            return
+        a, b = self.a.units(fresh), self.b.units(fresh)
+        good = np.array([self.a.returns(x, u) and self.b.returns(y, u) for x, y, u in zip(a, b, fresh)])
+        for i in np.flatnonzero(~good):
+            a[i], b[i] = [], []
+        made, old = align_chunk(a, b, *self.sizes), self.known
+        self.numbers.update(zip(fresh, range(len(old.groups), len(old.groups) + len(fresh))))
+        self.good = np.r_[self.good, good]
+        self.known = Aligned(np.concatenate([old.counts, made.counts]), old.groups + made.groups, np.r_[old.pairs, made.pairs],
+                             np.r_[old.links, made.links], np.r_[old.bounds, old.bounds[-1] + made.bounds[1:]])
+
+    def _added_up(self, at: np.ndarray) -> tuple[np.ndarray, str, np.ndarray, np.ndarray]:
+        known = self.known
+        unit, times = runs(np.sort(at))
+        low, many = known.bounds[unit], known.bounds[unit + 1] - known.bounds[unit]
+        where = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        pairs, links = add_equal(known.pairs[where], known.links[where] * np.repeat(times, many))
+        return known.counts[at].sum(axis=0), ";".join(map(known.groups.__getitem__, at.tolist())), pairs, links
+
+
 def _align_rows(files):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (encode_a, parts_a), (encode_b, parts_b) = files.value.load()
-        sizes_a, sizes_b = (np.array([len(p) for p in parts], np.int64) for parts in (parts_a, parts_b))
+        aligner = _Aligner(*files.value.load())
         for batch in batches:
             low = 0
             for texts in _chunks(batch.column("text")):
-                a, b = encode_a(texts), encode_b(texts)
-                for i, t in enumerate(texts):
-                    whole = (" " + t).encode()
-                    if not t or any(b"".join(map(parts.__getitem__, ids)) != whole
-                                    for parts, ids in ((parts_a, a[i]), (parts_b, b[i]))):
-                        a[i], b[i] = [], []
-                out = align_chunk(a, b, sizes_a, sizes_b)
+                out = aligner.align(texts)
                 packed = [pack_pairs(out.pairs[x:y], out.links[x:y]) for x, y in zip(out.bounds[:-1], out.bounds[1:])]
                 digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in out.groups]
                 yield pa.RecordBatch.from_arrays(
