@@ -26,6 +26,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ from lakesmith.llm.sparse import Csr, add_equal, row_products, runs
 
 #: Text bytes tokenized and multiplied at a time.
 CHUNK_BYTES = 1 << 20
-#: Different units that a task remembers.
-UNITS_HELD = 1 << 18
+#: Different units that a task remembers, and units tokenized at a time.
+UNITS_HELD, UNITS_AT_ONCE = 1 << 18, 1 << 13
 #: Id pairs that a task counts before it passes them on.
 COUNTED_AT_ONCE = 1 << 21
 #: Most id pairs known to all tasks.
@@ -54,11 +55,11 @@ _UNIT = re.compile(r"[ \t\n]+[^ \t\n]*|[^ \t\n]+")
 
 @dataclass
 class Encoder:
-    """A tokenizer: token ids of many texts, the bytes of every id, and the ids
-    of units (see above) or None where it may join tokens across units."""
+    """A tokenizer: ids of a space and the text for many texts, the bytes of
+    every id, and whether texts may be cut into units (see above)."""
     encode: Callable[[list[str]], list[list[int]]]
     parts: list[bytes]
-    units: Callable[[list[str]], list[list[int]]] | None
+    cuts_at_blanks: bool
 
     def sizes(self) -> np.ndarray:
         return np.array([len(p) for p in self.parts], np.int64)
@@ -104,13 +105,13 @@ def byte_level_encoder(spec: str) -> Encoder:
     for token, i in vocabulary.items():
         parts[i] = token.encode() if token in added else bytes(letters[ch] for ch in token)
 
-    def units(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in made.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in made.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
     # the byte-level pattern never joins a non-blank to a following blank, and no merge crosses its words
     cut = plan.get("pre_tokenizer") or {}
     apart = plan.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
-    return Encoder(lambda texts: units([" " + t for t in texts]), parts, units if apart else None)
+    return Encoder(encode, parts, bool(apart))
 
 
 def piece_encoder(spec: bytes) -> Encoder:
@@ -118,19 +119,12 @@ def piece_encoder(spec: bytes) -> Encoder:
     made = sentencepiece.SentencePieceProcessor(model_proto=spec)
     pieces = made.id_to_piece(list(range(made.vocab_size())))
     parts = [bytes([int(p[3:5], 16)]) if made.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-    space = made.piece_to_id("▁")
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    def encode(texts: list[str]) -> list[list[int]]:  # the model itself puts the space in front
         return made.encode(texts, num_threads=1)
 
-    def units(texts: list[str]) -> list[list[int]]:
-        # the model puts a space in front: the unit's own one, or one to take off again.  A first piece that is the
-        # space alone was merged with nothing, so the others are as they would be without it
-        found = encode([t[1:] if t[:1] == " " else t for t in texts])
-        return [ids if t[:1] == " " else ids[1:] if ids[:1] == [space] else [] for t, ids in zip(texts, found)]
-
     across = any(re.search(r"[^ \t\n▁][ \t\n▁]", p) for i, p in enumerate(pieces) if not made.is_control(i) and not made.is_unknown(i))
-    return Encoder(encode, parts, None if across else units)
+    return Encoder(encode, parts, not across)
 
 
 @dataclass
@@ -150,11 +144,27 @@ def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def align_chunk(a_ids: list[list[int]], b_ids: list[list[int]], a_sizes: np.ndarray, b_sizes: np.ndarray) -> Aligned:
     """Align texts whose tokens of both sides join to the same bytes; a text
-    without tokens has zeros.  All texts stand end to end in one byte space:
-    their ends are ends of both sides, so nothing crosses them."""
-    n = len(a_ids)
-    a, a_doc, a_end = _flat(a_ids, a_sizes)
-    b, b_doc, b_end = _flat(b_ids, b_sizes)
+    without tokens has zeros."""
+    flat = [np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids)]
+    docs = [np.repeat(np.arange(len(ids)), [len(x) for x in ids]) for ids in (a_ids, b_ids)]
+    return align_tokens(len(a_ids), *(Side(ids, doc, np.cumsum(sizes[ids]), len(sizes))
+                                      for ids, doc, sizes in zip(flat, docs, (a_sizes, b_sizes))))
+
+
+@dataclass(frozen=True)
+class Side:
+    """One tokenizer's tokens of many texts end to end: ids, their texts, the
+    bytes at which they end; number of ids."""
+    ids: np.ndarray
+    doc: np.ndarray
+    end: np.ndarray
+    width: int
+
+
+def align_tokens(n: int, left: Side, right: Side) -> Aligned:
+    """Align ``n`` texts that stand end to end in one byte space: their ends are
+    ends of both sides, so nothing crosses them."""
+    a, a_doc, a_end, b, b_doc, b_end = left.ids, left.doc, left.end, right.ids, right.doc, right.end
     size = int(a_end[-1]) if len(a_end) else 0
     ends_a, ends_b = np.zeros(size, bool), np.zeros(size, bool)
     ends_a[a_end - 1] = True
@@ -175,7 +185,7 @@ def align_chunk(a_ids: list[list[int]], b_ids: list[list[int]], a_sizes: np.ndar
     group_at = np.cumsum(shared) - shared
     n_groups = int(shared.sum())
     a_group, b_group = group_at[a_end - 1], group_at[b_end - 1]
-    width_a, width_b = max(1, len(a_sizes)), max(1, len(b_sizes))
+    width_a, width_b = max(1, left.width), max(1, right.width)
     doc_ids, row = np.unique(a_doc * width_a + a, return_inverse=True)
     in_a = Csr.of(row, a_group, (len(doc_ids), max(1, n_groups)))
     in_b = Csr.of(b_group, b, (max(1, n_groups), width_b))
@@ -194,12 +204,6 @@ def align_chunk(a_ids: list[list[int]], b_ids: list[list[int]], a_sizes: np.ndar
     return Aligned(counts, _group_texts(n, a, a_doc, a_group, b, b_group, n_groups, counts), pairs, links, bounds)
 
 
-def _flat(ids: list[list[int]], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lengths = np.array([len(x) for x in ids], np.int64)
-    flat = np.fromiter((i for x in ids for i in x), np.int64, int(lengths.sum()))
-    return flat, np.repeat(np.arange(len(ids)), lengths), np.cumsum(sizes[flat])
-
-
 def _group_texts(n, a, a_doc, a_group, b, b_group, n_groups, counts) -> list[str]:
     """``a1,a2|b1;a3|b2,b3`` of every text."""
     in_a, in_b = np.bincount(a_group, minlength=n_groups), np.bincount(b_group, minlength=n_groups)
@@ -262,20 +266,33 @@ class _Aligner:
     def __init__(self, a: Encoder, b: Encoder) -> None:
         self.a, self.b = a, b
         self.sizes = a.sizes(), b.sizes()
+        self.cuts = a.cuts_at_blanks and b.cuts_at_blanks
         self.forget()
 
     def forget(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.good = np.zeros(0, bool)
+        self.good, self.uses = np.zeros(0, bool), np.zeros(0, np.int64)
         self.known = Aligned(np.zeros((0, 5), np.int64), [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
 
+    def forget_rare(self) -> None:
+        """Keep the units used more than once, if they are not too many."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > UNITS_HELD // 2:
+            return self.forget()
+        units, known = list(self.numbers), self.known
+        where, many = _spans(known.bounds, keep)
+        self.numbers = {units[i]: k for k, i in enumerate(keep.tolist())}
+        self.good, self.uses = self.good[keep], np.ones(len(keep), np.int64)
+        self.known = Aligned(known.counts[keep], [known.groups[i] for i in keep.tolist()], known.pairs[where], known.links[where],
+                             np.r_[0, np.cumsum(many)])
+
     def align(self, texts: list[str]) -> Aligned:
         """Alignments of whole texts."""
         out: list[tuple | None] = [None] * len(texts)
-        ordinary = [i for i, t in enumerate(texts) if t and _ORDINARY.fullmatch(t)] if self.a.units and self.b.units else []
+        ordinary = [i for i, t in enumerate(texts) if t and _ORDINARY.fullmatch(t)] if self.cuts else []
         if ordinary:
             if len(self.numbers) > UNITS_HELD:
-                self.forget()
+                self.forget_rare()
             units = [_UNIT.findall(" " + texts[i]) for i in ordinary]
             self._learn(units)
             for i, mine in zip(ordinary, units):
@@ -302,25 +319,63 @@ class _Aligner:
         fresh = list(set().union(*units).difference(self.numbers))
         if not fresh:
             return
-        a, b = self.a.units(fresh), self.b.units(fresh)
-        good = np.array([self.a.returns(x, u) and self.b.returns(y, u) for x, y, u in zip(a, b, fresh)])
-        for i in np.flatnonzero(~good):
-            a[i], b[i] = [], []
-        made, old = align_chunk(a, b, *self.sizes), self.known
+        made, good = _joined([self._units(fresh[low:low + UNITS_AT_ONCE]) for low in range(0, len(fresh), UNITS_AT_ONCE)])
+        old = self.known
         self.numbers.update(zip(fresh, range(len(old.groups), len(old.groups) + len(fresh))))
-        self.good = np.r_[self.good, good]
+        self.good, self.uses = np.r_[self.good, good], np.r_[self.uses, np.zeros(len(fresh), np.int64)]
         self.known = Aligned(np.concatenate([old.counts, made.counts]), old.groups + made.groups, np.r_[old.pairs, made.pairs],
                              np.r_[old.links, made.links], np.r_[old.bounds, old.bounds[-1] + made.bounds[1:]])
 
+    def _units(self, units: list[str]) -> tuple[Aligned, np.ndarray]:
+        """Alignments of units, and which of them both sides return byte by byte.
+
+        Units begin with blanks and are tokenized as one text; a first one, left
+        out again, stands where the tokenizers put their space.
+        """
+        text = "x" + "".join(units)
+        ends = 2 + np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
+        sides = []
+        for encoder, sizes in zip((self.a, self.b), self.sizes):
+            ids = encoder.encode([text])[0]
+            if not encoder.returns(ids, " " + text):
+                break
+            ids = np.array(ids, np.int64)
+            end = np.cumsum(sizes[ids])
+            place = np.searchsorted(end, np.r_[2, ends])
+            if (end[place] != np.r_[2, ends]).any():
+                break
+            own = slice(int(place[0]) + 1, None)
+            sides.append(Side(ids[own], np.searchsorted(ends, end[own]), end[own] - 2, len(sizes)))
+        if len(sides) == 2:
+            return align_tokens(len(units), *sides), np.ones(len(units), bool)
+        if len(units) == 1:
+            return align_chunk([[]], [[]], *self.sizes), np.zeros(1, bool)
+        half = len(units) // 2  # some unit is at fault
+        return _joined([self._units(units[:half]), self._units(units[half:])])
+
     def _added_up(self, at: np.ndarray) -> tuple[np.ndarray, str, np.ndarray, np.ndarray]:
         known = self.known
         unit, times = runs(np.sort(at))
-        low, many = known.bounds[unit], known.bounds[unit + 1] - known.bounds[unit]
-        where = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        self.uses[unit] += times
+        where, many = _spans(known.bounds, unit)
         pairs, links = add_equal(known.pairs[where], known.links[where] * np.repeat(times, many))
         return known.counts[at].sum(axis=0), ";".join(map(known.groups.__getitem__, at.tolist())), pairs, links
 
 
+def _joined(parts: list[tuple[Aligned, np.ndarray]]) -> tuple[Aligned, np.ndarray]:
+    made = [m for m, _ in parts]
+    many = np.concatenate([np.diff(m.bounds) for m in made])
+    return Aligned(np.concatenate([m.counts for m in made]), list(chain.from_iterable(m.groups for m in made)),
+                   np.concatenate([m.pairs for m in made]), np.concatenate([m.links for m in made]),
+                   np.r_[0, np.cumsum(many)]), np.concatenate([good for _, good in parts])
+
+
+def _spans(bounds: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the entries of some rows, and how many each row has."""
+    low, many = bounds[rows], bounds[rows + 1] - bounds[rows]
+    return np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum())), many
+
+
 def _align_rows(files):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _Aligner(*files.value.load())
