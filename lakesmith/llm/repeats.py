@@ -7,19 +7,22 @@ routing sees to it that equal strings always meet in one shard:
 1. Every window of ``length`` bytes has an anchor, the smallest hash among its
    grams.  Equal windows have equal anchors, and neighbouring windows mostly
    share one, so a text is cut into segments of windows with one anchor.
-2. Anchors that occur in a single document cannot repeat; a grouped minimum
-   and maximum of the ids per anchor leaves the others (a fraction of the text).
-3. The segments of shared anchors are routed by anchor.  An anchor in more than
-   ``HOT`` documents routes each of its windows by the window's own hash, so
-   that a passage in a third of all documents spreads over the shards.
-4. Inside a task, equal segments come once with the least id that has them.
-   Shards of about ``SHARD_BYTES`` are sorted by induced sorting, and permuted
-   common prefixes of ``length`` bytes delimit groups of equal windows; the
-   least id of a group decides for all its windows.
+2. Anchors that occur once cannot repeat; a count per anchor leaves the others
+   (a fraction of the text).
+3. The segments of shared anchors are routed by anchor.  An anchor with more
+   than ``HOT`` occurrences routes each of its windows by the window's own hash,
+   so that a passage in a third of all documents spreads over the shards.
+4. Segments arrive sorted by bytes, then id.  A window routed by itself is
+   decided as it streams by: the first row of equal ones has the least id.  The
+   other segments are gathered in shards of about ``SHARD_BYTES``, sorted by
+   induced sorting, and permuted common prefixes of ``length`` bytes delimit
+   groups of equal windows; the least id of a group decides for all its windows.
 5. Decisions return to the documents as intervals, which remove the bytes.
 
 Documents with the text of a smaller id repeat as a whole and need no suffixes.
-Texts are shuffled once (both joins read the same exchange).
+Texts are shuffled once, by a 32-bit number of id and text (both joins read the
+same exchange); what the joins bring is told apart by id, 64-bit digest and
+size, so documents that share a number get none of each other's results.
 """
 
 from __future__ import annotations
@@ -28,19 +31,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesmith.llm.common import col, kept_columns, text_of
 from lakesmith.llm.suffix import common_prefixes, suffix_array
 
-LENGTH, GRAM = 50, 16
-#: Documents that share an anchor before its windows are routed one by one.
+#: Longer grams meet by chance less often, shorter ones make fewer anchors.
+LENGTH, GRAM = 50, 32
+#: Occurrences of an anchor before its windows are routed one by one.
 HOT = 20_000
 #: Bytes of distinct segments sorted at a time.
 SHARD_BYTES = 4 << 20
 #: Most windows of one segment.
-SEGMENT_WINDOWS = 1024
+SEGMENT_WINDOWS = 256
+#: Windows of a long text hashed at a time.
+HASHED_AT_ONCE = 1 << 20
 #: Order of a null id: after all others, which then never repeat one another.
 LAST = (1 << 63) - 1
 ADDED = ["n_bytes", "n_removed", "n_spans", "kept"]
@@ -77,63 +84,68 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def _blocks(data: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Parts of a long text that together hold each of its windows once."""
+    for low in range(0, max(0, len(data) - length + 1), HASHED_AT_ONCE):
+        yield low, data[low:low + HASHED_AT_ONCE + length - 1]
+
+
 def _anchor_rows(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, owners = [np.zeros(0, np.uint64)], []
             for text in batch.column("bytes"):
-                found = np.unique(window_anchors(np.frombuffer(text.as_py(), np.uint8), length, gram))
+                parts = [np.unique(window_anchors(part, length, gram))
+                         for _, part in _blocks(np.frombuffer(text.as_py(), np.uint8), length)]
+                found = np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0] if parts else hashes[0]
                 hashes.append(found)
                 owners.append(len(found))
             rows = pa.array(np.repeat(np.arange(batch.num_rows), owners))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_signed(np.concatenate(hashes))), batch.column("no").take(rows), batch.column("th").take(rows)],
-                ["h", "no", "th"])
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(hashes))), batch.column("d").take(rows)], ["h", "d"])
     return run
 
 
 def cut_segments(data: np.ndarray, shared: np.ndarray, hot: np.ndarray, length: int = LENGTH,
-                 gram: int = GRAM) -> list[tuple[int, int, int]]:
-    """(key, start, end) of the text's segments whose anchors are shared; windows of hot anchors one by one."""
-    anchors = _signed(window_anchors(data, length, gram))
-    if not len(anchors):
-        return []
-    starts = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
-    ends = np.r_[starts[1:], len(anchors)]
-    out = []
-    for k in np.flatnonzero(np.isin(anchors[starts], shared)):
-        for a in range(starts[k], ends[k], SEGMENT_WINDOWS):
-            out.append((int(anchors[a]), a, min(a + SEGMENT_WINDOWS, ends[k]) - 1 + length))
-    for k in np.flatnonzero(np.isin(anchors[starts], hot)) if len(hot) else ():
-        keys = _signed(window_hashes(data[starts[k]:ends[k] - 1 + length], length))
-        out += [(int(key), starts[k] + i, starts[k] + i + length) for i, key in enumerate(keys)]
-    return out
+                 gram: int = GRAM) -> Iterator[tuple[bool, int, int, int]]:
+    """(hot, key, start, end) of the text's segments whose anchors are shared;
+    windows of hot anchors one by one."""
+    for low, part in _blocks(data, length):
+        anchors = _signed(window_anchors(part, length, gram))
+        starts = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
+        ends = np.r_[starts[1:], len(anchors)]
+        for k in np.flatnonzero(np.isin(anchors[starts], shared)):
+            for a in range(starts[k], ends[k], SEGMENT_WINDOWS):
+                yield False, int(anchors[a]), low + a, low + min(a + SEGMENT_WINDOWS, ends[k]) - 1 + length
+        for k in np.flatnonzero(np.isin(anchors[starts], hot)) if len(hot) else ():
+            keys = _signed(window_hashes(part[starts[k]:ends[k] - 1 + length], length))
+            for i, key in enumerate(keys.tolist(), low + int(starts[k])):
+                yield True, key, i, i + length
 
 
 def _segment_rows(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rows, starts, parts, size = [], [], [], [], 0
+            found, rows, parts, size = [], [], [], 0
             columns = [batch.column(c) for c in ("bytes", "cold", "hot")]
             for i in range(batch.num_rows):
                 text, cold, hot = (c[i].as_py() for c in columns)
-                for key, a, b in cut_segments(np.frombuffer(text, np.uint8), np.array(cold, np.int64),
-                                              np.array(hot, np.int64), length, gram):
-                    keys.append(key)
+                for segment in cut_segments(np.frombuffer(text, np.uint8), np.array(cold, np.int64),
+                                            np.array(hot, np.int64), length, gram):
+                    found.append(segment[:3])
                     rows.append(i)
-                    starts.append(a)
-                    parts.append(text[a:b])
-                    size += b - a
-                if size > SHARD_BYTES:
-                    yield pack(batch, keys, rows, starts, parts)
-                    keys, rows, starts, parts, size = [], [], [], [], 0
-            yield pack(batch, keys, rows, starts, parts)
-
-    def pack(batch, keys, rows, starts, parts) -> pa.RecordBatch:
+                    parts.append(text[segment[2]:segment[3]])
+                    size += len(parts[-1]) + 100
+                    if size > SHARD_BYTES:
+                        yield pack(batch, found, rows, parts)
+                        found, rows, parts, size = [], [], [], 0
+            yield pack(batch, found, rows, parts)
+
+    def pack(batch, found, rows, parts) -> pa.RecordBatch:
         at = pa.array(rows, pa.int64())
+        hot, keys, starts = zip(*found) if found else ((), (), ())
         return pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), batch.column("no").take(at), batch.column("th").take(at),
-             pa.array(starts, pa.int32()), pa.array(parts, pa.binary())], ["key", "no", "th", "start", "seg"])
+            [pa.array(hot, pa.bool_()), pa.array(keys, pa.int64()), *[batch.column(c).take(at) for c in ("d", "no", "th", "nb")],
+             pa.array(starts, pa.int32()), pa.array(parts, pa.binary())], ["hot", "key", "d", "no", "th", "nb", "start", "seg"])
     return run
 
 
@@ -159,48 +171,108 @@ def shard_groups(segments: list[bytes], least: np.ndarray, length: int = LENGTH)
     return out
 
 
+class _Shard:
+    """Segments of whole keys: different bytes once, with the least id that has
+    them, and the rows that stand behind them."""
+
+    def __init__(self) -> None:
+        self.parts: list[bytes] = []
+        self.least: list[int] = []
+        self.owners: list[np.ndarray] = []
+        self.rows: list[pa.RecordBatch] = []
+        self.size = 0
+
+    def add(self, rows: pa.RecordBatch, runs: np.ndarray, fresh: bool) -> None:
+        """``runs``: first rows of runs of equal bytes; unless ``fresh``, the first run goes on with the last bytes."""
+        numbers = np.zeros(rows.num_rows, np.int64)
+        numbers[runs] = 1
+        if not fresh:
+            numbers[0] = 0
+        self.owners.append(np.cumsum(numbers) + len(self.parts) - 1)
+        taken = runs if fresh else runs[1:]
+        segs, least = rows.column("seg").take(pa.array(taken)).to_pylist(), rows.column("no").take(pa.array(taken)).to_pylist()
+        self.parts += segs
+        self.least += least
+        self.rows.append(rows.select(_ROW))
+        self.size += sum(map(len, segs))
+
+    def decided(self, length: int) -> Iterator[pa.RecordBatch]:
+        """(d, no, th, nb, a, b): bytes a to b of a document stand in one with a smaller id."""
+        groups = shard_groups(self.parts, np.array(self.least, np.int64), length)
+        sizes = np.array([len(x) + 1 for x in self.parts])
+        first = np.cumsum(sizes) - sizes
+        # runs of positions of a segment whose windows have one least id
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        edge = np.flatnonzero(np.r_[True, (groups[1:] != groups[:-1]) | (owner[1:] != owner[:-1])])
+        stop = np.r_[edge[1:], len(groups)]
+        whole = groups[edge] != LAST
+        edge, stop = edge[whole], stop[whole]
+        runs_of = np.searchsorted(owner[edge], np.arange(len(sizes) + 1))  # runs of each segment
+        for rows, owners in zip(self.rows, self.owners):
+            many = np.diff(runs_of)[owners]
+            at = np.repeat(np.arange(len(owners)), many)
+            run = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many) + runs_of[owners][at]
+            later = groups[edge[run]] < rows.column("no").to_numpy()[at]
+            at, run = at[later], run[later]
+            start = rows.column("start").to_numpy()[at] - first[owners[at]]
+            yield _cut_rows(rows, at, start + edge[run], start + stop[run] - 1 + length)
+
+
+_ROW = ["d", "no", "th", "nb", "start"]
+_CUT = ["d", "no", "th", "nb", "a", "b"]
+
+
+def _cut_rows(rows: pa.RecordBatch, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    where = pa.array(at)
+    return pa.RecordBatch.from_arrays([*[rows.column(c).take(where) for c in _ROW[:4]],
+                                       pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], _CUT)
+
+
 def _shard_rows(length: int):
-    names = ["key", "sd", "o1", "o2", "least"]
+    """Decisions about sorted (hot, key, seg, no) rows."""
+
+    def changes(rows: pa.RecordBatch, column: str) -> np.ndarray:
+        values = rows.column(column)
+        return np.r_[True, pc.not_equal(values.slice(1), values.slice(0, len(values) - 1)).to_numpy(zero_copy_only=False)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        shard, last, least = _Shard(), None, LAST
         for batch in batches:
-            held += zip(*(batch.column(c).to_pylist() for c in ("key", "sd", "seg", "least", "most")))
-            size += batch.column("seg").nbytes
-            if size > SHARD_BYTES:
-                cut = len(held)
-                while cut and held[cut - 1][0] == held[-1][0]:
-                    cut -= 1  # the last key may go on
-                if cut:
-                    yield from shards(held[:cut])
-                    held = held[cut:]
-                    size = sum(len(x[2]) for x in held)
-        yield from shards(held)
-
-    def shards(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        a, size = 0, 0
-        for b in range(len(rows)):
-            size += len(rows[b][2])
-            if b + 1 == len(rows) or size > SHARD_BYTES and rows[b + 1][0] != rows[b][0]:
-                yield one(rows[a:b + 1])
-                a, size = b + 1, 0
-
-    def one(rows: list[tuple]) -> pa.RecordBatch:
-        groups = shard_groups([x[2] for x in rows], np.array([x[3] for x in rows], np.int64), length)
-        sizes = np.array([len(x[2]) + 1 for x in rows])
-        first = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(len(rows)), sizes)
-        useful = groups < np.array([x[4] for x in rows], np.int64)[owner]  # some document of the segment is later
-        edge = np.r_[True, (groups[1:] != groups[:-1]) | (owner[1:] != owner[:-1])]
-        at = np.flatnonzero(edge)
-        stop = np.r_[at[1:], len(groups)]
-        keep = useful[at]
-        at, stop = at[keep], stop[keep]
-        who = owner[at]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.array([x[0] for x in rows], np.int64)[who]), pa.array(np.array([x[1] for x in rows], np.int64)[who]),
-             pa.array((at - first[who]).astype(np.int32)), pa.array((stop - first[who]).astype(np.int32)),
-             pa.array(groups[at])], names)
+            if not batch.num_rows:
+                continue
+            key, seg, hot = changes(batch, "key"), changes(batch, "seg"), changes(batch, "hot")
+            key |= hot
+            seg |= key
+            now = [batch.column(c)[0].as_py() for c in ("hot", "key", "seg")]
+            key[0] = last is None or now[:2] != last[:2]
+            seg[0] = key[0] or now[2] != last[2]
+            n_cold = batch.num_rows - int(np.count_nonzero(batch.column("hot").to_numpy(zero_copy_only=False)))  # these come first
+            sizes = pc.binary_length(batch.column("seg")).to_numpy(zero_copy_only=False)[:n_cold]
+            upto = np.r_[0, np.cumsum(np.where(seg[:n_cold], sizes, 0))]
+            low = 0
+            while low < n_cold:  # whole keys up to a full shard; the last key of the batch may go on
+                if key[low] and shard.size > SHARD_BYTES:
+                    yield from shard.decided(length)
+                    shard = _Shard()
+                ends = low + 1 + np.flatnonzero(key[low + 1:n_cold])
+                full = ends[shard.size + upto[ends] - upto[low] > SHARD_BYTES]
+                high = int(full[0]) if len(full) else n_cold
+                runs, fresh = np.flatnonzero(seg[low:high]), bool(seg[low])
+                shard.add(batch.slice(low, high - low), runs if fresh else np.r_[0, runs], fresh)
+                low = high
+            if n_cold < batch.num_rows:  # windows routed by themselves: ids ascend in a run
+                numbers = batch.column("no").to_numpy()[n_cold:]
+                fresh = seg[n_cold:]
+                starts = np.flatnonzero(fresh)
+                firsts = np.r_[least, numbers[starts]]
+                mine = firsts[np.cumsum(fresh)]
+                later = np.flatnonzero(mine < numbers)
+                least = int(mine[-1])
+                start = batch.column("start").to_numpy()[n_cold:][later]
+                yield _cut_rows(batch, later + n_cold, start, start + length)
+            last = [batch.column(c)[batch.num_rows - 1].as_py() for c in ("hot", "key", "seg")]
+        if shard.parts:
+            yield from shard.decided(length)
     return run
 
 
@@ -221,8 +293,10 @@ def _finish(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, gone, spans, kept = [], [], [], []
-            for text, copy, found in zip(*(batch.column(c).to_pylist() for c in ("bytes", "copy", "found"))):
-                cut = removed_spans(len(text), [(x["a"], x["b"]) for x in found or ()], copy, length)
+            for text, no, th, copy, found in zip(*(batch.column(c) for c in ("bytes", "no", "th", "copy", "found"))):
+                text, me = text.as_py(), (no.as_py(), th.as_py())
+                mine = [(x["a"], x["b"]) for x in found.as_py() or () if (x["no"], x["th"], x["nb"]) == (*me, len(text))]
+                cut = removed_spans(len(text), mine, copy.as_py(), length)
                 sizes.append(len(text))
                 gone.append(sum(b - a for a, b in cut))
                 spans.append(len(cut))
@@ -255,35 +329,33 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
     all others.  An empty table gives an empty result.
     """
     text = text_of(text_col)
-    rows = docs.select(order_number(id_col).alias("no"), F.hash(text).alias("th"), text.cast("binary").alias("bytes"))
+    who = [order_number(id_col).alias("no"), F.xxhash64(text).alias("th"), F.octet_length(text).alias("nb")]
+    number = F.hash("no", "th").alias("d")
     # texts that a smaller id has as well
-    narrow = docs.select(order_number(id_col).alias("no"), F.hash(text).alias("th"), F.xxhash64(text).alias("x"),
-                         F.xxhash64(F.lit(1), text).alias("y"))
-    least = narrow.groupBy("x", "y").agg(F.min("no").alias("first"))
-    copies = narrow.join(least, ["x", "y"]).where("no > first").select("no", "th").distinct().withColumn("copied", F.lit(True))
-    texts = rows.repartition("no", "th").join(copies, ["no", "th"], "left").select(
-        "no", "th", "bytes", F.coalesce("copied", F.lit(False)).alias("copy"))
-
-    own = texts.where("not copy").select("no", "th", "bytes")
-    keyed = _present(own.mapInArrow(_anchor_rows(length, gram), "h long, no long, th int")).repartition("h")
-    # count("th") keeps this exchange equal to the one below, so it is made once
-    shared = keyed.groupBy("h").agg(F.min("no").alias("a"), F.max("no").alias("b"), F.count("th").alias("n")).where("a < b")
+    narrow = docs.select(*who, F.xxhash64(F.lit(1), text).alias("y"))
+    least = narrow.groupBy("th", "nb", "y").agg(F.min("no").alias("first"))
+    copies = (narrow.join(least, ["th", "nb", "y"]).where("no > first").select(number, "no", "th", "nb").distinct()
+              .groupBy("d").agg(F.collect_list(F.struct("no", "th", "nb")).alias("copies")))
+    rows = docs.select(*who, text.cast("binary").alias("bytes")).select(number, "*")
+    known = F.exists("copies", lambda c: (c["no"] == F.col("no")) & (c["th"] == F.col("th")) & (c["nb"] == F.col("nb")))
+    texts = rows.repartition("d").join(copies, "d", "left").select(
+        "d", "no", "th", "nb", "bytes", F.coalesce(known, F.lit(False)).alias("copy"))
+
+    own = texts.where("not copy").select("d", "no", "th", "nb", "bytes")
+    keyed = _present(own.mapInArrow(_anchor_rows(length, gram), "h long, d int")).repartition("h")
+    # count("d") keeps this exchange equal to the one below, so it is made once
+    shared = keyed.groupBy("h").agg(F.count("d").alias("n")).where("n > 1")
     marked = keyed.join(shared.select("h", (F.col("n") > hot).alias("hot")), "h")
-    lists = marked.groupBy("no", "th").agg(F.collect_set(F.when(~F.col("hot"), F.col("h"))).alias("cold"),
-                                           F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot"))
-
-    segments = _present(own.join(lists, ["no", "th"]).mapInArrow(
-        _segment_rows(length, gram), "key long, no long, th int, start int, seg binary")).repartition("key")
-    distinct = segments.groupBy("key", "seg").agg(F.min("no").alias("least"), F.max("no").alias("most"),
-                                                  F.min("th").alias("t"), F.min("start").alias("s"))
-    found = distinct.withColumn("sd", F.xxhash64("seg")).sortWithinPartitions("key").mapInArrow(
-        _shard_rows(length), "key long, sd long, o1 int, o2 int, least long")
-    hits = segments.withColumn("sd", F.xxhash64("seg")).select("key", "sd", "no", "th", "start").join(
-        found, ["key", "sd"]).where("least < no")
-    cut = hits.groupBy("no", "th").agg(F.collect_set(F.struct(
-        (F.col("start") + F.col("o1")).alias("a"), (F.col("start") + F.col("o2") - 1 + length).alias("b"))).alias("found"))
-    return texts.join(cut, ["no", "th"], "left").mapInArrow(
-        _finish(length), "no long, th int, n_bytes long, n_removed long, n_spans long, kept binary")
+    lists = marked.groupBy("d").agg(F.collect_set(F.when(~F.col("hot"), F.col("h"))).alias("cold"),
+                                    F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot"))
+
+    segments = own.join(lists, "d").mapInArrow(
+        _segment_rows(length, gram), "hot boolean, key long, d int, no long, th long, nb int, start int, seg binary")
+    decided = segments.repartition("key").sortWithinPartitions("hot", "key", "seg", "no").mapInArrow(
+        _shard_rows(length), "d int, no long, th long, nb int, a int, b int")
+    cut = decided.groupBy("d").agg(F.collect_list(F.struct("no", "th", "nb", "a", "b")).alias("found"))
+    return texts.join(cut, "d", "left").mapInArrow(
+        _finish(length), "no long, th long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -292,6 +364,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     keep = kept_columns(docs, ADDED)
     found = cut_repeats(docs, length, gram).dropDuplicates(["no", "th", "n_bytes"])
     rows = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(keep)], order_number("doc_id").alias("no"),
-                       F.hash(text_of()).alias("th"), F.octet_length(text_of()).cast("long").alias("n_bytes"))
+                       F.xxhash64(text_of()).alias("th"), F.octet_length(text_of()).cast("long").alias("n_bytes"))
     return rows.join(found, ["no", "th", "n_bytes"]).select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], *ADDED)

@@ -2,18 +2,18 @@
 
 ``suffix_array`` classifies suffixes as smaller or larger than their right
 neighbour, sorts the leftmost-smaller substrings, names them, sorts the string
-of names (recursively while its alphabet is small, else by doubling their
-ranks) and induces the order of all suffixes from it in linear work.  The
-induction goes bucket by bucket; all entries of a bucket that are known at a
-time are handled at once.
+of names recursively and induces the order of all suffixes from it in linear
+work.  Over a small alphabet the induction goes bucket by bucket, and all
+entries of a bucket that are known at a time are handled at once; over a large
+one (names) buckets hold few entries, so it goes entry by entry.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Alphabets up to this size are sorted by induction, larger ones by doubling.
-INDUCED_ALPHABET = 1024
+#: Alphabets up to this size are induced bucket by bucket.
+BUCKETED_ALPHABET = 1024
 
 
 def suffix_array(s: np.ndarray, alphabet: int) -> np.ndarray:
@@ -32,29 +32,11 @@ def suffix_array(s: np.ndarray, alphabet: int) -> np.ndarray:
     if names[-1] + 1 < len(lms):  # equal substrings: their order comes from what follows
         place = np.empty(n, np.int64)
         place[by_substring] = names
-        order = _sort_names(place[lms], int(names[-1]) + 1)
+        order = suffix_array(place[lms], int(names[-1]) + 1)
         by_substring = lms[order]
     return _induce(s, small, by_substring, sizes)
 
 
-def _sort_names(reduced: np.ndarray, alphabet: int) -> np.ndarray:
-    """Suffix order of the string of names; its last name 0 (the end) is unique."""
-    if alphabet <= INDUCED_ALPHABET:
-        return suffix_array(reduced.astype(np.uint16), alphabet)
-    rank, k, n = reduced.astype(np.int64), 1, len(reduced)
-    while True:
-        ahead = np.zeros(n, np.int64)
-        ahead[:-k] = rank[k:] + 1
-        key = rank * (n + 1) + ahead
-        order = np.argsort(key, kind="stable")
-        steps = np.r_[0, np.cumsum(key[order][1:] != key[order][:-1])]
-        rank = np.empty(n, np.int64)
-        rank[order] = steps
-        k *= 2
-        if steps[-1] == n - 1 or k >= n:
-            return order
-
-
 def _smaller(s: np.ndarray) -> np.ndarray:
     """Suffixes smaller than their right neighbour; the last one is."""
     n = len(s)
@@ -92,6 +74,8 @@ def _spread(ch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Order of all suffixes from the order of the leftmost-smaller ones."""
+    if len(sizes) > BUCKETED_ALPHABET:
+        return _induce_one_by_one(s, small, lms, sizes)
     n, buckets = len(s), np.flatnonzero(sizes)
     ends = np.cumsum(sizes)
     starts = ends - sizes
@@ -130,6 +114,31 @@ def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarray
     return out
 
 
+def _induce_one_by_one(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    n, letters, is_small = len(s), s.tolist(), small.tolist()
+    ends = np.cumsum(sizes)
+    order, grouped, rank, (values, counts) = _spread(s[lms])
+    from_end = ends.copy()
+    from_end[values] -= counts
+    seeded = np.full(n, -1, np.int64)
+    seeded[from_end[grouped] + rank] = lms[order]
+    out, head, tail = seeded.tolist(), (ends - sizes).tolist(), ends.tolist()
+    for i in range(n):  # larger suffixes, from the left
+        j = out[i] - 1
+        if j >= 0 and not is_small[j]:
+            c = letters[j]
+            out[head[c]] = j
+            head[c] += 1
+    for i in range(n - 1, -1, -1):  # smaller suffixes, from the right, replacing the seeds
+        j = out[i] - 1
+        if j >= 0 and is_small[j]:
+            c = letters[j]
+            tail[c] -= 1
+            out[tail[c]] = j
+    out[0] = n - 1
+    return np.array(out, np.int64)
+
+
 def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """Permuted common prefixes: for each position, the length of the prefix it
     shares with its predecessor in ``order``, capped at ``most``; 0 for the

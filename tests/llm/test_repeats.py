@@ -36,10 +36,12 @@ def random_docs(seed, n):
     return docs + [(n + 5, "\0" * 90), (n + 6, "ab" * 1500), (n + 7, "x" + "ab" * 1400)]
 
 
-@pytest.mark.parametrize("length,gram,hot,shard", [(50, 16, 20_000, 1 << 22), (50, 16, 2, 300), (20, 8, 1, 1 << 22), (16, 16, 5, 1)])
+@pytest.mark.parametrize("length,gram,hot,shard", [(50, 16, 20_000, 1 << 22), (50, 32, 20_000, 1 << 22), (50, 16, 2, 300),
+                                                   (20, 8, 1, 1 << 22), (16, 16, 5, 1)])
 def test_equals_brute_force(make, monkeypatch, length, gram, hot, shard):
     monkeypatch.setattr(repeats, "SHARD_BYTES", shard)
     monkeypatch.setattr(repeats, "SEGMENT_WINDOWS", 100)
+    monkeypatch.setattr(repeats, "HASHED_AT_ONCE", 300 if shard == 300 else 1 << 20)
     docs = random_docs(length + hot, 60)
     want = plain([(i, t.encode()) for i, t in docs], length)
     rows = repeats.cut_repeats(make(docs), length, gram, hot=hot).collect()
@@ -51,7 +53,7 @@ def test_equals_brute_force(make, monkeypatch, length, gram, hot, shard):
 
 @pytest.mark.parametrize("small_alphabet", [3, 1024])
 def test_suffix_array(monkeypatch, small_alphabet):
-    monkeypatch.setattr(suffix, "INDUCED_ALPHABET", small_alphabet)
+    monkeypatch.setattr(suffix, "BUCKETED_ALPHABET", small_alphabet)
     rng = random.Random(small_alphabet)
     for _ in range(200):
         k = rng.choice([1, 2, 4, 250])
@@ -102,3 +104,31 @@ def test_null_ids_come_last(make):
     text = "a passage that is longer than fifty bytes and stands in several documents"
     rows = repeats.cut_repeats(make([(None, "u " + text), (7, "v " + text), (None, "w " + text)])).collect()
     assert sorted((r["no"] == repeats.LAST, r["n_removed"]) for r in rows) == [(False, 0), (True, len(text) + 1), (True, len(text) + 1)]
+
+
+def test_documents_that_share_a_number_keep_their_bytes(spark, make):
+    """Texts of null ids whose 32-bit document numbers collide get none of each other's cuts."""
+    from pyspark.sql import functions as F
+    passage = "a passage that is longer than fifty bytes and stands in several documents"
+    text = F.concat(F.lit("own words "), F.col("id").cast("string"), F.lit(" that nobody else has, over fifty bytes long "), F.col("id").cast("string"))
+    number = F.hash(F.lit(repeats.LAST), F.xxhash64(text))
+    pairs = (spark.range(200_000).select("id", text.alias("text"), number.alias("d")).groupBy("d").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+             .where("a < b").orderBy("a").limit(3).collect())
+    assert pairs
+    own = lambda i: f"own words {i} that nobody else has, over fifty bytes long {i}"
+    docs = [(None, own(r[k])) for r in pairs for k in ("a", "b")] + [(1, "x" * 10 + passage), (None, "y" * 12 + passage)]
+    docs += [(2, own(pairs[0]["a"])[:60])]
+    got = {bytes(r["kept"]).decode(): r["n_removed"] for r in repeats.cut_repeats(make(docs)).collect()}
+    for r in pairs:
+        assert got[own(r["b"])] == 0
+    assert got["y" * 12] == len(passage) and own(pairs[0]["a"]) not in got
+
+
+def test_large_alphabets_are_induced():
+    rng = random.Random(6)
+    for k in (5, 3000):
+        s = [rng.randint(1, k) for _ in range(4000)]
+        s = np.array(s + s[:2000] + [0], np.int64)
+        order = suffix.suffix_array(s, 5000)
+        values = s.tolist()
+        assert order.tolist() == sorted(range(len(s)), key=lambda i: values[i:i + 4100])
