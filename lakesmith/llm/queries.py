@@ -147,13 +147,19 @@ OP8_SQL = """
 WITH doc AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 line AS (SELECT doc_id, generate_subscripts(lines, 1) AS no, unnest(lines) AS l FROM doc),
 full_line AS (
-  SELECT doc_id, no, l, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS p FROM line WHERE trim(l, ' ') <> ''),
+  SELECT doc_id, no, l, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS p,
+         count(*) OVER (PARTITION BY doc_id) AS n, len(regexp_extract_all(l, '[^ \t\r]+')) AS w
+  FROM line WHERE trim(l, ' ') <> ''),
 run AS (
-  SELECT doc_id, p, l AS l1, lead(l, 1) OVER w AS l2, lead(l, 2) OVER w AS l3
-  FROM full_line WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+  SELECT doc_id, p, n, l AS l1, lead(l, 1) OVER d AS l2, lead(l, 2) OVER d AS l3, w AS w1, w + lead(w, 1) OVER d AS w2
+  FROM full_line WINDOW d AS (PARTITION BY doc_id ORDER BY p)),
 judged AS (
-  SELECT doc_id, p, (doc_id, p) > min((doc_id, p)) OVER (PARTITION BY l1, l2, l3) AS later FROM run WHERE l3 IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, unnest([p, p + 1, p + 2]) AS p FROM judged WHERE later),
+  SELECT doc_id, p, 1 AS k, (w1 >= 50 OR n = 1) AND (doc_id, p) > min((doc_id, p)) OVER (PARTITION BY l1) AS later FROM run
+  UNION ALL
+  SELECT doc_id, p, 2, (w2 >= 50 OR n = 2 AND p = 1) AND (doc_id, p) > min((doc_id, p)) OVER (PARTITION BY l1, l2) FROM run WHERE l2 IS NOT NULL
+  UNION ALL
+  SELECT doc_id, p, 3, (doc_id, p) > min((doc_id, p)) OVER (PARTITION BY l1, l2, l3) FROM run WHERE l3 IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + k)) AS p FROM judged WHERE later),
 numbered AS (
   SELECT f.doc_id, f.no, g.p, lag(g.p) OVER (PARTITION BY f.doc_id ORDER BY f.no) AS before
   FROM full_line f LEFT JOIN gone g USING (doc_id, p)),
@@ -167,7 +173,7 @@ SELECT doc_id, n_lines, n_removed, runs, sha256(coalesce(t, '')) AS kept_sha256
 
 @register("op8_line_dedup", OP8_SQL)
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated runs of three or more lines, later copies deleted."""
+    """Repeated runs of three lines, fifty words or a whole document, later copies deleted."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", "runs",
                       F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

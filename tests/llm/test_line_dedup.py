@@ -7,18 +7,21 @@ from lakesmith.llm import line_dedup as ld
 from .conftest import EDGE
 
 
-def plain(docs, m):
-    """docs: distinct (id, text) in order -> {(id, text): (removed lines, kept text)}."""
+def plain(docs, m, words=10**9, whole=True):
+    """docs: distinct (id, text) in order -> {(id, text): (removed lines, kept text)}: every run that
+    stands earlier, of any length, is looked at."""
     seen, out = set(), {}
     for i, text in docs:
         lines = (text or "").split("\n")
         full = [k for k, x in enumerate(lines) if x.strip(" ")]
         gone = set()
-        for p in range(len(full) - m + 1):
-            window = tuple(lines[k] for k in full[p:p + m])
-            if window in seen:
-                gone |= set(full[p:p + m])
-            seen.add(window)
+        for p in range(len(full)):
+            for n in range(1, len(full) - p + 1):
+                run = tuple(lines[k] for k in full[p:p + n])
+                counts = n >= m or sum(len(x.split()) for x in run) >= words or (whole and n == len(full))
+                if counts and run in seen:
+                    gone |= set(full[p:p + n])
+                seen.add(run)
         out[i, text] = (len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
     return out
 
@@ -29,24 +32,32 @@ def random_docs(seed, n):
     return [(i, "\n".join(rng.choices(lines, k=rng.randint(0, 25)))) for i in range(n)]
 
 
-@pytest.mark.parametrize("m", [1, 2, 3, 5])
-def test_equals_brute_force(make, m):
+@pytest.mark.parametrize("m,words", [(1, 99), (2, 99), (3, 99), (3, 4), (5, 6), (6, 7)])
+def test_equals_brute_force(make, m, words):
     docs = random_docs(m, 40)
-    want = plain(docs, m)
-    for r in ld.dedup_lines(make(docs), m).collect():
+    want = plain(docs, m, words)
+    for r in ld.dedup_lines(make(docs), m, words).collect():
         assert (r["n_removed"], r["kept_text"]) == want[r["doc_id"], r["text"]]
         assert r["n_lines"] == len(r["text"].split("\n"))
 
 
 def test_ranks_follow_the_suffix_classes(make):
     docs = [(1, "a\nb\nc\na\nb\nd"), (2, "x\na\nb\nc")]
-    rows = ld.repeated_windows(make(docs), 2).collect()
+    rows = ld.repeated_windows(make(docs), 2)[2].collect()
     by_rank = {}
     for r in rows:
         by_rank.setdefault(r["rank"], set()).add((r["id"], r["line"]))
     assert sorted(map(sorted, by_rank.values())) == [[(1, 0), (1, 3), (2, 1)], [(1, 1), (2, 2)]]
 
 
+def test_long_lines_and_whole_documents(make):
+    long = " ".join(f"w{i}" for i in range(50))
+    docs = [(1, f"{long}\nother\nshort line\nend"), (2, f"own\n{long}\nmore"), (3, "short line\nend"), (4, "short line\nown end"), (5, "end"),
+            (6, f"{long[:-4]}\nown")]
+    got = {r["doc_id"]: (r["n_removed"], r["kept_text"]) for r in ld.dedup_lines(make(docs)).collect()}
+    assert got == {1: (0, docs[0][1]), 2: (1, "own\nmore"), 3: (2, ""), 4: (0, docs[3][1]), 5: (1, ""), 6: (0, docs[5][1])}
+
+
 def test_maximal_runs(make):
     docs = [(1, "a\nb\nc\nd\ne"), (2, "a\nb\nc\nnew\nc\nd\ne\n\nold"), (3, "short")]
     got = {r["doc_id"]: (r["n_removed"], r["runs"], r["kept_text"]) for r in ld.dedup_lines(make(docs), 3).collect()}
