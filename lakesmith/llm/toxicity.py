@@ -219,30 +219,28 @@ def learn_lexicons(train: DataFrame) -> list[dict[str, float]]:
     sizes = {(int(r["label"]), r["fold"]): r["count"] for r in train.groupBy("label", "fold").count().collect()}
     cells = [F.sum(F.when((F.col("toxic") == t) & (F.col("fold") == k), F.col("n")).otherwise(0)).alias(f"n{t}{k}")
              for t in (0, 1) for k in folds]
-    counted = train.select("label", "fold", "text").mapInArrow(
-        count, "unit string, toxic int, fold int, n long").groupBy("unit").agg(*cells)
-    toxic_texts = reduce(lambda a, b: a + b, [F.col(f"n1{k}") for k in folds])
-    # units that can enter any lexicon, strongest first: a fixed number of rows
-    near = (counted.where((toxic_texts >= LEXICON_TEXTS) | F.col("unit").isin(SEED_WORDS))
-            .orderBy(_odds(counted, folds, sizes).desc(), toxic_texts.desc(), "unit").limit(20 * LEXICON_ENTRIES))
-    rows = near.collect()
+    counted = checkpointed(train.select("label", "fold", "text").mapInArrow(
+        count, "unit string, toxic int, fold int, n long").groupBy("unit").agg(*cells))
+    seed_rows = counted.where(F.col("unit").isin(SEED_WORDS)).collect()
     out = []
     for left_out in range(FOLDS):
         used = [k for k in folds if k != left_out]
-        toxic, clean = (sum(sizes.get((t, k), 0) for k in used) for t in (1, 0))
-        scored, seeds = [], dict.fromkeys(SEED_WORDS, SEED_WEIGHT)
-        for r in rows:
+        toxic = sum(sizes.get((1, k), 0) for k in used)
+        texts = reduce(lambda a, b: a + b, [F.col(f"n1{k}") for k in used])
+        odds = _odds(used, sizes)
+        strong = counted.where((texts >= max(LEXICON_TEXTS, LEXICON_SHARE * toxic)) & (odds >= math.log(LEXICON_ODDS)))
+        best = strong.orderBy((odds * F.sqrt(texts)).desc(), "unit").limit(LEXICON_ENTRIES).select("unit", odds.alias("odds")).collect()
+        seeds = dict.fromkeys(SEED_WORDS, SEED_WEIGHT)
+        for r in seed_rows:
             a, b = (sum(r[f"n{t}{k}"] for k in used) for t in (1, 0))
-            odds = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
-            if odds < 0:
+            clean = sum(sizes.get((0, k), 0) for k in used)
+            if math.log((a + 0.5) / (toxic + 1)) < math.log((b + 0.5) / (clean + 1)):
                 seeds.pop(r["unit"], None)
-            if a >= max(LEXICON_TEXTS, LEXICON_SHARE * toxic) and odds >= math.log(LEXICON_ODDS):
-                scored.append((-odds * math.sqrt(a), r["unit"], odds))
-        out.append(seeds | {unit: odds for _, unit, odds in sorted(scored)[:LEXICON_ENTRIES]})
+        out.append(seeds | {r["unit"]: r["odds"] for r in best})
     return out
 
 
-def _odds(counted: DataFrame, folds, sizes) -> Column:
-    a, b = (reduce(lambda x, y: x + y, [F.col(f"n{t}{k}") for k in folds]) for t in (1, 0))
-    toxic, clean = (sum(sizes.get((t, k), 0) for k in folds) for t in (1, 0))
+def _odds(used: list[int], sizes: dict[tuple[int, int], int]) -> Column:
+    a, b = (reduce(lambda x, y: x + y, [F.col(f"n{t}{k}") for k in used]) for t in (1, 0))
+    toxic, clean = (sum(sizes.get((t, k), 0) for k in used) for t in (1, 0))
     return F.log((a + 0.5) / (toxic + 1)) - F.log((b + 0.5) / (clean + 1))
