@@ -62,17 +62,35 @@ def _hypergeometric(rng: np.random.Generator, left: np.ndarray, n: int) -> np.nd
     return out
 
 
+#: Standard deviations around the mode that a large draw looks at; what lies outside has a mass below 1e-30.
+FAR = 12
+#: Urn size from which the generator's own draw is not available.
+GENERATOR_LIMIT = 1_000_000_000
+
+
 def _one_cell(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    if good + bad < 1_000_000_000:  # the generator's own limit
+    if good + bad < GENERATOR_LIMIT:
         return int(rng.hypergeometric(good, bad, n)) if good else 0
-    # Beyond it: split the draw into halves of the urn until the parts fit.
-    half_good, half_bad = good // 2, bad // 2
-    low, high = max(0, n - (good - half_good) - (bad - half_bad)), min(n, half_good + half_bad)
-    size = half_good + half_bad
-    mean = n * size / (good + bad)
-    sd = math.sqrt(max(mean * (1 - size / (good + bad)) * (good + bad - n) / max(1, good + bad - 1), 0.0))
-    first = int(min(high, max(low, round(rng.normal(mean, sd)))))  # normal limit, error below 1e-4 of a deviation
-    return _one_cell(rng, half_good, half_bad, first) + _one_cell(rng, good - half_good, bad - half_bad, n - first)
+    return _by_inversion(rng, good, bad, n)
+
+
+def _by_inversion(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """A hypergeometric draw from an urn of any size.
+
+    The ratio of neighbouring probabilities is a quotient of whole numbers, so
+    their running product gives the law up to a factor, which its sum removes:
+    no factorial is approximated, only rounded.
+    """
+    total, low, high = good + bad, max(0, n - bad), min(n, good)
+    mode = (n + 1) * (good + 1) // (total + 2)
+    spread = math.sqrt(n / total * good * (bad / total) * ((total - n) / max(1, total - 1)))
+    reach = int(FAR * spread) + 60
+    first, last = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(first, last, dtype=np.float64)
+    steps = np.log((good - k) / (k + 1)) + np.log((n - k) / (bad - n + k + 1))
+    law = np.cumsum(np.r_[0.0, steps], dtype=np.longdouble)
+    upto = np.cumsum(np.exp(law - law.max()))
+    return first + int(np.searchsorted(upto, rng.random() * upto[-1], side="right"))
 
 
 class Dealer:
@@ -137,7 +155,7 @@ def shuffle_into_shards(docs: DataFrame, shards: int = 40, seed: int = 20240501,
     key = F.xxhash64(F.lit(seed), "__rid")  # the row's random place: the second permutation
     binned = dealt.withColumn("__key", key).withColumn(
         "__bin", F.floor((F.shiftrightunsigned("__key", 32).cast("double") / 2.0 ** 32) * bins).cast("long"))
-    # rows of a bin come together anyway for the numbering; the counts reuse that exchange
+    # the counts deal the row numbers once more: cheaper than another copy of the rows
     placed = binned.repartition("__shard", "__bin")
     counts = placed.groupBy("__shard", "__bin").agg(F.count(F.lit(1)).alias("__n"))
     first = counts.withColumn("__first", F.coalesce(F.sum("__n").over(

@@ -26,6 +26,37 @@ def test_beyond_the_generators_limit():
     assert out.sum() == 4_000_000_000 and (out <= left).all() and abs(out[0] - 2_000_000_000) < 500_000
 
 
+def test_whole_law_of_a_small_matrix():
+    """Every matrix with these margins occurs as often as permutations give it."""
+    from itertools import product
+    from math import comb, factorial
+    rows, columns = [3, 1, 2], [2, 2, 2]
+    law = {}
+    for cells in product(range(3), repeat=9):
+        m = np.array(cells).reshape(3, 3)
+        if (m.sum(1) == rows).all() and (m.sum(0) == columns).all():
+            law[cells] = (np.prod([factorial(x) for x in rows]) * np.prod([factorial(x) for x in columns])
+                          / (factorial(6) * np.prod([factorial(x) for x in cells])))
+    assert abs(sum(law.values()) - 1) < 1e-12 and comb(6, 2)
+    rng, n = np.random.default_rng(5), 30_000
+    seen = dict.fromkeys(law, 0)
+    for _ in range(n):
+        seen[tuple(sharding.draw_matrix(rng, np.array(rows), np.array(columns)).ravel().tolist())] += 1
+    assert all(abs(seen[c] - n * p) < 5 * (n * p * (1 - p)) ** 0.5 for c, p in law.items())
+
+
+def test_draws_by_inversion_have_the_exact_law(monkeypatch):
+    from math import comb
+    rng, n = np.random.default_rng(7), 20_000
+    for good, bad, k in ((5, 9, 6), (1, 30, 4), (40, 3, 20), (7, 7, 14), (0, 4, 2)):
+        seen = np.bincount([sharding._by_inversion(rng, good, bad, k) for _ in range(n)], minlength=good + 1)
+        law = np.array([comb(good, x) * comb(bad, k - x) / comb(good + bad, k) if 0 <= k - x <= bad else 0 for x in range(good + 1)])
+        assert (np.abs(seen - n * law) <= 5 * np.sqrt(n * law * (1 - law)) + 1e-9).all()
+    # two draws from a huge urn: both good in a quarter of all cases, up to 1e-9
+    pairs = np.bincount([sharding._one_cell(rng, 10**11, 10**11, 2) for _ in range(n)], minlength=3)
+    assert (np.abs(pairs - n * np.array([.25, .5, .25])) < 5 * np.sqrt(n * .25)).all()
+
+
 def test_every_row_has_one_place(spark):
     docs = spark.range(0, 5003, 1, 7).select(F.col("id").alias("doc_id"))
     out = sharding.shuffle_into_shards(docs, 40, bin_rows=30)
