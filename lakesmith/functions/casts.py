@@ -15,6 +15,9 @@ INT_TEXT = r"^\s*[+-]?\d+\s*$"
 NUM_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 SPECIAL_NUMBERS = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan", "+nan", "-nan"]
 
+#: Whole numbers beyond 64 bits, digit by digit.
+WIDE = T.DecimalType(38, 0)
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 INTEGRAL_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -23,6 +26,8 @@ def kind_of(dt: T.DataType) -> str:
     """Coarse kind used by profiling and rule generation."""
     if isinstance(dt, INTEGRAL_TYPES):
         return "integer"
+    if isinstance(dt, T.DecimalType) and dt.scale == 0:
+        return "wide" if dt.precision > 18 else "integer"
     if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
         return "float"
     if isinstance(dt, T.BooleanType):
@@ -44,7 +49,7 @@ def to_double(c: Column, dt: T.DataType) -> Column:
     k = kind_of(dt)
     if k == "text":
         d = F.when(is_number_text(c), F.trim(c).try_cast("double"))
-    elif k in ("integer", "float", "boolean"):
+    elif k in ("integer", "wide", "float", "boolean"):
         d = c.cast("double")
     elif k == "datetime":
         d = (F.unix_micros(c.cast("timestamp")) * F.lit(1000)).cast("double")
@@ -56,6 +61,8 @@ def to_double(c: Column, dt: T.DataType) -> Column:
 def fraction_count(c: Column, dt: T.DataType) -> Column:
     """Aggregate: values that are no whole numbers of 64 bits (integer-cast guard,
     Q3); a column with any keeps its type, so no digit is lost."""
+    if kind_of(dt) == "wide":
+        return F.count_if(c.isNotNull() & to_long(c, dt).isNull())
     d = to_double(c, dt)
     return F.count_if(d.isNotNull() & ((d != F.floor(d)) | F.isnan(d - d) | to_long(c, dt).isNull()))
 
@@ -65,12 +72,35 @@ def to_long(c: Column, dt: T.DataType) -> Column:
     k = kind_of(dt)
     if k == "integer":
         return c.cast("long")
+    if k == "wide":
+        return c.try_cast("long")
     if k == "text":
         exact = F.when(c.rlike(INT_TEXT), F.trim(c).try_cast("long"))
         return F.coalesce(exact, to_double(c, dt).try_cast("long"))
     return to_double(c, dt).try_cast("long")
 
 
+def wide_misfits(c: Column, dt: T.DataType) -> Column:
+    """Aggregate: numbers that are no whole ones of up to 38 digits; a column
+    with any keeps its type."""
+    if kind_of(dt) in ("integer", "wide"):
+        return F.count_if(F.lit(False))
+    d = to_double(c, dt)
+    return F.count_if(d.isNotNull() & ((d != F.rint(d)) | F.isnan(d - d) | to_wide(c, dt).isNull()))
+
+
+def to_wide(c: Column, dt: T.DataType) -> Column:
+    """Whole numbers of up to 38 digits, every digit kept; only valid when the
+    column holds no fractions."""
+    k = kind_of(dt)
+    if k in ("integer", "wide"):
+        return c.cast(WIDE)
+    if k == "text":
+        exact = F.when(c.rlike(INT_TEXT), F.trim(c).try_cast(WIDE))
+        return F.coalesce(exact, to_double(c, dt).try_cast(WIDE))
+    return to_double(c, dt).try_cast(WIDE)
+
+
 def to_text(c: Column, dt: T.DataType, integral_as_int: bool = False) -> Column:
     """Text reading; null stays null.  Whole doubles may print without '.0' (Q10)."""
     k = kind_of(dt)

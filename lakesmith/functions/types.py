@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from lakesmith.functions.casts import INTEGRAL_TYPES, kind_of
 
+#: Digits of the longest exact number.
+MOST_DIGITS = 38
+
 
 def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     """The narrowest of the usual types that holds the values of both."""
@@ -20,13 +23,24 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     if isinstance(a, INTEGRAL_TYPES) and isinstance(b, INTEGRAL_TYPES):
         return T.LongType()
     kinds = {kind_of(a), kind_of(b)}
-    if kinds <= {"integer", "float"}:
-        return T.DoubleType()
+    if kinds <= {"integer", "wide", "float"}:
+        exact = [_exact(t) for t in (a, b)]
+        if None in exact:
+            return T.DoubleType()
+        whole, scale = (max(x) for x in zip(*exact))
+        return T.DecimalType(whole + scale, scale) if whole + scale <= MOST_DIGITS else T.DoubleType()
     if kinds == {"datetime"}:
         return T.TimestampNTZType() if T.TimestampNTZType() in (a, b) else T.TimestampType()
     return T.StringType()
 
 
+def _exact(dt: T.DataType) -> tuple[int, int] | None:
+    """Digits before and after the point of an exact number type."""
+    if isinstance(dt, INTEGRAL_TYPES):
+        return 19, 0
+    return (dt.precision - dt.scale, dt.scale) if isinstance(dt, T.DecimalType) else None
+
+
 def as_type(c: Column, have: T.DataType, want: T.DataType) -> Column:
     return c if have == want else c.cast(want)
 

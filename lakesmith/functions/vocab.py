@@ -20,6 +20,7 @@ CONVERT = re.compile(r"\bconvert\w*\b", _F)
 TEXT = re.compile(r"\btext\b", _F)
 INTEGER = re.compile(r"\bintegers?\b|\bwhole numbers?\b", _F)
 INTEGER_SILVER = re.compile(r"\bintegers?\b", _F)
+WIDE = re.compile(r"\bwide (integers?|whole numbers?)\b", _F)
 FLOAT = re.compile(r"\b(float|decimal|numeric)\b", _F)
 DATE = re.compile(r"\bdates?\b|\bdatetime\b", _F)
 DEDUP = re.compile(r"\bdeduplic\w*", _F)
@@ -45,9 +46,11 @@ SOURCE_FILE_TARGETS = {"_source_file", "source_file"}
 
 
 def bronze_cast(logic: str) -> str | None:
-    """'text' | 'integer' | 'float' | 'date' | None (first match)."""
+    """'text' | 'wide' | 'integer' | 'float' | 'date' | None (first match)."""
     if TEXT_FORMAT.search(logic) or (CONVERT.search(logic) and TEXT.search(logic)):
         return "text"
+    if WIDE.search(logic):
+        return "wide"
     if INTEGER.search(logic):
         return "integer"
     if FLOAT.search(logic):
@@ -62,7 +65,7 @@ class SilverOps:
     """What one Silver rule asks for, in execution order."""
     dedup: bool = False
     nulls: str | None = None      # drop | mean | median | mode | blank
-    cast: str | None = None       # date | integer | float | text
+    cast: str | None = None       # date | wide | integer | float | text
     case: str | None = None       # lower | upper | title
     strip: bool = False
     recognised: bool = field(default=False)
@@ -87,6 +90,8 @@ def silver_ops(logic: str) -> SilverOps:
         ops.nulls = "blank"
     if DATE.search(logic):
         ops.cast = "date"
+    elif WIDE.search(logic):
+        ops.cast = "wide"
     elif INTEGER_SILVER.search(logic):
         ops.cast = "integer"
     elif FLOAT.search(logic):

@@ -42,6 +42,22 @@ def integer_step(stage: Stage, name: str, on_input: bool = False) -> None:
     stage.map_with_stats(name, request, step, on_input)
 
 
+def wide_step(stage: Stage, name: str, on_input: bool = False) -> None:
+    """Cast to whole numbers of up to 38 digits unless the column holds others (then unchanged)."""
+    if casts.kind_of(stage.dtype(name)) in ("integer", "wide") and name not in stage.chains:
+        stage.map(name, lambda c, dt, _: (casts.to_wide(c, dt), casts.WIDE))
+        return
+
+    def request(c, dt, key):
+        stage.add_agg(casts.wide_misfits(c, dt).alias(f"{key}_misfits"))
+
+    def step(c, dt, stats):
+        if stats.get(f"{stats['key']}_misfits"):
+            return c, dt
+        return casts.to_wide(c, dt), casts.WIDE
+    stage.map_with_stats(name, request, step, on_input)
+
+
 def date_step(stage: Stage, name: str, on_input: bool = False) -> None:
     """Column-wide date format choice, then parse."""
     if not dates.needs_format_choice(stage.dtype(name)):
@@ -92,6 +108,8 @@ def bronze_table(df: DataFrame, name: str, rules: list[dict], load_time: str) ->
             text_step(stage, work)
         elif kind == "integer":
             integer_step(stage, work)
+        elif kind == "wide":
+            wide_step(stage, work)
         elif kind == "float":
             float_step(stage, work)
         elif kind == "date":

@@ -4,16 +4,24 @@ The store is a table of ``(id, document, metadata, stored_batch, _row_order)``.
 Upsert is an anti-join plus a union; search scores every whole document by
 the number of distinct lower-case words it shares with the query and keeps
 the top ``n`` with ``TakeOrderedAndProject`` (ties in stored order).
+
+A store that is searched often can be indexed: ``write_index`` writes, for every
+word, the documents that hold it, in folders by a hash of the word, so
+``search_index`` reads the few folders of the query's words and no text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesmith.functions.text import WS_CLASS
+from lakesmith.operators.keys import number_in_row_order
 from lakesmith.sources.tables import ROW_ORDER, with_row_order
 
+#: Folders of an index.
+BUCKETS = 64
+
 
 def as_store(df: DataFrame, id_col: str, text_col: str, meta_cols: list[str] | None = None,
              batch: int = 0) -> DataFrame:
@@ -52,10 +60,52 @@ def shared_word_count(document: Column, words: list[str]) -> Column:
         return F.lit(0)
     # empty edge tokens never equal a query word, so the raw split is enough
     tokens = F.split(F.lower(document), f"{WS_CLASS}+")
-    return F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in words])))
+    return F.coalesce(F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]))), F.lit(0))  # null: no words
 
 
 def search(store: DataFrame, text: str, n: int = 5) -> DataFrame:
     """K2: top ``n`` documents by shared words; zero scores are kept."""
     scored = store.withColumn("score", shared_word_count(F.col("document"), query_words(text)))
     return scored.orderBy(F.col("score").desc(), F.col("stored_batch").asc(), F.col(ROW_ORDER).asc()).limit(n)
+
+
+def _words(document: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(F.lower(document), f"{WS_CLASS}+"), lambda w: w != ""))
+
+
+def _bucket(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
+
+
+def write_index(store: DataFrame, path: str) -> None:
+    """Index of a store: ``docs`` numbers the ids in stored order, ``postings``
+    holds (word, number) for each different word of each document.
+
+    A word of most documents fills its folder from many tasks: postings are
+    dealt by word and a part of the number, never by the word alone.
+    """
+    ordered = store.withColumn(ROW_ORDER, F.struct(
+        F.concat_ws("/", F.format_string("%019d", F.col("stored_batch")), F.col(f"{ROW_ORDER}.file")).alias("file"),
+        F.col(f"{ROW_ORDER}.pos").alias("pos")))
+    numbered = number_in_row_order(ordered, "no", ["id", "document"])
+    numbered.select("no", "id").write.mode("overwrite").parquet(f"{path}/docs")
+    postings = numbered.select("no", F.explode(_words(F.col("document"))).alias("word")).withColumn("bucket", _bucket(F.col("word")))
+    (postings.repartition("bucket", F.shiftright("no", 20)).sortWithinPartitions("bucket", "word", "no")
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
+
+
+def search_index(spark: SparkSession, path: str, text: str, n: int = 5) -> DataFrame:
+    """(id, score) of the top ``n`` documents, as ``search`` finds them; documents
+    without any of the words fill up in stored order."""
+    words = query_words(text)
+    ids = spark.read.schema("no long, id string").parquet(f"{path}/docs")
+    postings = spark.read.schema("no long, word string, bucket int").parquet(f"{path}/postings")
+    buckets = {r[0] for r in spark.range(1).select(F.explode(F.array(*[_bucket(F.lit(w)) for w in words]))).collect()} if words else set()
+    scores = (postings.where(F.col("bucket").isin(*buckets) & F.col("word").isin(words) if words else F.lit(False))
+              .groupBy("no").agg(F.count(F.lit(1)).cast("int").alias("score")))
+    best = scores.orderBy(F.col("score").desc(), "no").limit(n)
+    # the first n documents hold enough without any word to fill up, or all they lack are among the best
+    first = ids.orderBy("no").limit(2 * n).join(best.select("no", "score"), "no", "left")
+    found = best.join(ids, "no").select("no", "id", "score").unionByName(
+        first.where("score is null").select("no", "id", F.lit(0).alias("score")))
+    return found.orderBy(F.col("score").desc(), "no").limit(n).select("id", "score")

@@ -1,11 +1,16 @@
 """Profiling.
 
-Statistics come from one value-count aggregation over all tables (every
-row becomes one narrow (column, value) pair per column, combined map-side),
-so exact distinct counts need no row expansion per distinct aggregate.
-Sample values use one per-column top-5 window on the row order, which Spark
-limits inside each task before the shuffle.  The result has one row per
-column.
+Counts, nulls, minimum, maximum and mean of a table come from one map-side
+aggregate.  Exact distinct counts read one typed column at a time (values of a
+column are compared as what they are, so 0.0 and -0.0 are one), combined
+map-side before their shuffle.  Sample values use one per-column top-5 window on
+the row order, which Spark limits inside each task before the shuffle.  The
+result has one row per column.
+
+A profile can also be kept as states that merge (``profile_state``,
+``merge_states``, ``profile_of_state``): counts, sums, extremes, first samples
+and a distinct-value sketch of each column, so the profile of new files joins
+that of the old ones without reading those again.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakesmith.functions.casts import kind_of
 from lakesmith.sources.tables import ROW_ORDER, with_row_order
@@ -66,21 +72,21 @@ def _plain_stats(tables: dict[str, DataFrame], approx_distinct: bool) -> list[Da
     return outs
 
 
+def _groupable(c: Column, dt: T.DataType) -> Column:
+    """A column as a grouping key; a map by its sorted entries."""
+    return F.array_sort(F.map_entries(c)) if isinstance(dt, T.MapType) else c
+
+
 def _distinct_counts(tables: dict[str, DataFrame]) -> list[DataFrame]:
-    """Exact distinct counts: only present values travel, long ones as a
-    256-bit digest, and equal ones meet map-side first."""
-    parts = []
+    """Exact distinct counts: one branch per column, which reads that column only."""
+    out = []
     for number, df in enumerate(tables.values()):
-        pairs = []
         for i, f in enumerate(f for f in df.schema.fields if f.name != ROW_ORDER):
             value = F.col(f"`{f.name}`")
-            text = value.cast("string")
-            short = F.when(F.length(text) <= 64, text).otherwise(F.sha2(text.cast("binary"), 256))
-            pairs.append(F.struct(F.lit(i).alias("i"), F.when(~_missing(value, f.dataType), short).alias("v")))
-        if pairs:
-            parts.append(df.select(F.lit(number).alias("t"), F.explode(F.array(*pairs)).alias("p"))
-                         .select("t", "p.*").where(F.col("v").isNotNull()))
-    return parts
+            present = df.select(F.when(~_missing(value, f.dataType), _groupable(value, f.dataType)).alias("v"))
+            out.append(present.where("v is not null").agg(F.count_distinct("v").alias("unique_count"))
+                       .select(F.lit(number).alias("t"), F.lit(i).alias("i"), "unique_count"))
+    return out
 
 
 def _column_stats(tables: dict[str, DataFrame], approx_distinct: bool = False) -> DataFrame:
@@ -93,8 +99,7 @@ def _column_stats(tables: dict[str, DataFrame], approx_distinct: bool = False) -
     stats = reduce(DataFrame.unionByName, plain)
     if approx_distinct:
         return stats
-    counts = (reduce(DataFrame.unionByName, _distinct_counts(tables)).distinct()
-              .groupBy("t", "i").agg(F.count(F.lit(1)).alias("unique_count")))
+    counts = reduce(DataFrame.unionByName, _distinct_counts(tables))
     return stats.join(F.broadcast(counts), ["t", "i"], "left")  # one row per column
 
 
@@ -158,6 +163,79 @@ def profile_tables(tables: dict[str, DataFrame], sample_size: int = 5,
     return out.sparkSession.createDataFrame(out.collect(), out.schema)
 
 
+# -- profiles that merge -----------------------------------------------------------
+
+#: Precision of the distinct-value sketch: 2^this registers, about 0.8 % relative error.
+SKETCH_PRECISION = 14
+
+
+def _sketchable(c: Column, dt: T.DataType) -> Column:
+    """Equal values, and only they, get equal texts: zeros of both signs are
+    one, instants do not depend on the session's zone."""
+    kind = kind_of(dt)
+    if kind == "float":
+        return F.when(c == 0, F.lit("0")).otherwise(c.cast("string"))
+    if kind == "datetime":
+        return F.unix_micros(c.cast("timestamp")).cast("string")
+    if isinstance(dt, (T.MapType, T.ArrayType, T.StructType)):
+        return F.to_json(F.struct(_groupable(c, dt).alias("v")))
+    return c.cast("string")
+
+
+def profile_state(tables: dict[str, DataFrame], sample_size: int = 5) -> DataFrame:
+    """One row per (dataset, column) whose fields merge: see ``merge_states``."""
+    outs = []
+    for name, df in tables.items():
+        df = with_row_order(df)
+        aggs, structs = [F.count(F.lit(1)).alias("__rows")], []
+        for i, f in enumerate(f for f in df.schema.fields if f.name != ROW_ORDER):
+            value, kind = F.col(f"`{f.name}`"), kind_of(f.dataType)
+            miss = _missing(value, f.dataType)
+            d = F.when(~miss, value.cast("double")) if kind in ("integer", "float") else F.lit(None).cast("double")
+            aggs += [F.count_if(miss).alias(f"m{i}"), F.min(d).alias(f"lo{i}"), F.max(d).alias(f"hi{i}"), F.sum(d).alias(f"s{i}"),
+                     F.hll_sketch_agg(F.when(~miss, _sketchable(value, f.dataType)), SKETCH_PRECISION).alias(f"u{i}")]
+            structs.append(F.struct(
+                F.lit(f.name).alias("column_name"), F.lit(i).alias("ordinal"), F.lit(f.dataType.simpleString()).alias("dtype"),
+                F.lit(kind).alias("kind"), F.col("__rows").alias("rows"), F.col(f"m{i}").alias("null_count"),
+                F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"), F.col(f"s{i}").alias("sum_value"),
+                F.col(f"u{i}").alias("distinct_sketch")))
+        if structs:
+            outs.append(df.agg(*aggs).select(F.lit(name).alias("dataset"), F.inline(F.array(*structs))))
+    state = reduce(DataFrame.unionByName, outs)
+    samples = first_values(tables, sample_size)
+    if samples is None:
+        return state.withColumn("sample_values", F.lit(None).cast("array<string>"))
+    return state.join(F.broadcast(samples), ["dataset", "column_name"], "left")  # one row per column
+
+
+def merge_states(*states: DataFrame, sample_size: int = 5) -> DataFrame:
+    """The state of all rows of several states; earlier ones hold the earlier
+    rows.  A column that a state lacks is missing in all of that state's rows."""
+    numbered = reduce(DataFrame.unionByName, [s.withColumn("__no", F.lit(i)) for i, s in enumerate(states)])
+    rows = numbered.groupBy("dataset", "__no").agg(F.max("rows").alias("rows")).groupBy("dataset").agg(F.sum("rows").alias("__all"))
+    first = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("__no", F.coalesce("sample_values", F.array().cast("array<string>")).alias("v")))),
+                                  lambda x: x["v"]))
+    merged = numbered.groupBy("dataset", "column_name").agg(
+        F.min_by("ordinal", "__no").alias("ordinal"), F.min_by("dtype", "__no").alias("dtype"), F.min_by("kind", "__no").alias("kind"),
+        F.sum(F.col("rows") - F.col("null_count")).alias("__present"), F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"), F.sum("sum_value").alias("sum_value"),
+        F.hll_union_agg("distinct_sketch").alias("distinct_sketch"), F.slice(first, 1, sample_size).alias("sample_values"))
+    return merged.join(F.broadcast(rows), "dataset").select(  # one row per table
+        "dataset", "column_name", "ordinal", "dtype", "kind", F.col("__all").alias("rows"),
+        (F.col("__all") - F.col("__present")).alias("null_count"), "min_value", "max_value", "sum_value", "distinct_sketch",
+        F.when(~F.col("kind").isin("integer", "float"), F.col("sample_values")).alias("sample_values"))
+
+
+def profile_of_state(state: DataFrame) -> DataFrame:
+    """The profile that a state stands for; distinct counts are estimates."""
+    present = F.col("rows") - F.col("null_count")
+    return state.select(
+        "dataset", "column_name", "ordinal", "dtype", "kind", "rows", "null_count",
+        F.when(F.col("rows") > 0, F.round(F.col("null_count") * 100.0 / F.col("rows"), 2)).alias("null_pct"),
+        F.coalesce(F.hll_sketch_estimate("distinct_sketch"), F.lit(0)).alias("unique_count"), "min_value", "max_value",
+        F.when(present > 0, F.col("sum_value") / present).alias("mean_value"), "sample_values")
+
+
 def write_profile(profile: DataFrame, path: str) -> None:
     """Profile sink (S5): one JSON document per column row, one file per run."""
     profile.coalesce(1).write.mode("overwrite").json(path)
@@ -178,7 +256,7 @@ def schema_profile(tables: dict[str, DataFrame]) -> DataFrame:
 def semantic_label(name: Column, kind: Column) -> Column:
     """First matching name pattern, else numeric/text by kind."""
     low = F.lower(name)
-    expr = F.when(kind.isin("integer", "float"), F.lit(NUMERIC_LABEL)).otherwise(F.lit(TEXT_LABEL))
+    expr = F.when(kind.isin("integer", "wide", "float"), F.lit(NUMERIC_LABEL)).otherwise(F.lit(TEXT_LABEL))
     for pattern, label in reversed(SEMANTIC_PATTERNS):
         expr = F.when(low.rlike(pattern), F.lit(label)).otherwise(expr)
     return expr

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesmith.functions.casts import kind_of
+from lakesmith.operators.layers import fields_of
 from lakesmith.operators.profile import DATE_PATTERN, ID_PATTERN
 from lakesmith.sources.tables import ROW_ORDER
 
@@ -27,6 +28,7 @@ RULE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RULE_COLUM
 
 # Rule texts written by the generators.
 BRONZE_INT = "Convert to integer whole number"
+BRONZE_WIDE = "Convert to wide whole number, every digit kept"
 BRONZE_FLOAT = "Convert to float decimal numeric"
 BRONZE_DATE = "Convert to date format"
 BRONZE_TEXT = "Convert to text format"
@@ -35,6 +37,7 @@ SOURCE_FILE_TEXT = "Source file path injected at load time"
 PK_TEXT = "Auto-generated sequential surrogate primary key starting from 1"
 SILVER_ID = "Cast to text/string type; no null handling (identifier column)"
 SILVER_DATE = "Fill null with mode then standardise date format to YYYY-MM-DD"
+SILVER_WIDE = "Cast to wide whole number; no null handling, every digit kept"
 SILVER_NUMERIC = "Fill null values with mean; cast to numeric type"
 SILVER_TEXT = "Fill null values with mode; strip whitespace and standardise text format"
 DEDUP_TEXT = "Deduplicate rows based on {}"
@@ -67,6 +70,8 @@ def bronze_logic(kind: str, column: str) -> str:
     """G1: the Bronze cast rule for one column."""
     if kind == "integer":
         return BRONZE_INT
+    if kind == "wide":
+        return BRONZE_WIDE
     if kind == "float":
         return BRONZE_FLOAT
     return BRONZE_DATE if _DATE_RE.search(column.lower()) else BRONZE_TEXT
@@ -89,16 +94,16 @@ def bronze_rules(profile: DataFrame) -> DataFrame:
     return rule_table(profile.sparkSession, rows)
 
 
-def _schema_of(df: DataFrame) -> list[tuple[str, T.DataType]]:
-    return [(f.name, f.dataType) for f in df.schema.fields if f.name != ROW_ORDER]
+def _schema_of(tables: Mapping[str, DataFrame], name: str) -> list[tuple[str, T.DataType]]:
+    return [(f.name, f.dataType) for f in fields_of(tables, name) if f.name != ROW_ORDER]
 
 
 def silver_rules(spark: SparkSession, bronze: Mapping[str, DataFrame]) -> DataFrame:
     """G3-G5 from Bronze schemas: key rule first, column rules, dedup rule last."""
     rows, n = [], 0
-    for name, df in bronze.items():
+    for name in bronze:
         target = name[: -len("_bronze")] if name.endswith("_bronze") else name
-        schema = _schema_of(df)
+        schema = _schema_of(bronze, name)
         rows.append(_rule(name, "", target, f"pk_{target}_silver_id", logic=PK_TEXT, rule_no=n))
         n += 1
         for col, dt in schema:
@@ -109,6 +114,8 @@ def silver_rules(spark: SparkSession, bronze: Mapping[str, DataFrame]) -> DataFr
                 logic = SILVER_ID
             elif _DATE_RE.search(low):
                 logic = SILVER_DATE
+            elif kind_of(dt) == "wide":
+                logic = SILVER_WIDE
             elif kind_of(dt) in ("integer", "float"):
                 logic = SILVER_NUMERIC
             else:
@@ -125,9 +132,9 @@ def silver_rules(spark: SparkSession, bronze: Mapping[str, DataFrame]) -> DataFr
 def gold_rules(spark: SparkSession, silver: Mapping[str, DataFrame]) -> DataFrame:
     """Key rule plus a passthrough of every Silver column into one table."""
     rows = [_rule("", "", GOLD_TABLE, GOLD_PK, logic=PK_TEXT, rule_no=0)]
-    for name, df in silver.items():
+    for name in silver:
         stem = name[: -len("_silver")] if name.endswith("_silver") else name
-        for col, _ in _schema_of(df):
+        for col, _ in _schema_of(silver, name):
             rows.append(_rule(stem, col, GOLD_TABLE, col, "Direct", "Passthrough", len(rows)))
     return rule_table(spark, rows)
 

@@ -2,24 +2,29 @@
 
 Per rule the order is rename -> dedup (ends the rule) -> null handling ->
 type -> case -> strip.  Statistics are batched by ``Stage``; row removal
-(dedup, drop null) starts a new stage.  Keep-first dedup is a grouped
-minimum of ``_row_order`` over the key columns alone, which Spark combines
-map-side, so one very frequent key never lands whole in one task.
+(dedup, drop null) starts a new stage.  Keep-first dedup takes the first row of
+each key in row order; Spark limits every task to its own first row of a key
+before the one shuffle, so a very frequent key is one row a task by then.
+
+Tables come as a ``Layer``: they are numbered when asked for by name, and not
+at all by consumers that need no key.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesmith.functions import casts, text, vocab
 from lakesmith.functions.casts import kind_of
-from lakesmith.operators.bronze import date_step, float_step, integer_step, rules_for_table, text_step
-from lakesmith.operators.keys import number_rows
+from lakesmith.operators.bronze import date_step, float_step, integer_step, rules_for_table, text_step, wide_step
+from lakesmith.operators.keys import number_in_row_order
+from lakesmith.operators.layers import Layer, Table
 from lakesmith.operators.profile import ID_PATTERN
 from lakesmith.operators.rules import collect_rules
 from lakesmith.operators.staging import Stage
@@ -33,12 +38,9 @@ def keep_first(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """
     df = with_row_order(df)
     types = {f.name: f.dataType for f in df.schema.fields}
-    keys = [_comparable(F.col(f"`{k}`"), types[k]).alias(f"k{i}")
-            for i, k in enumerate(subset or [c for c in df.columns if c != ROW_ORDER])]
-    # only keys and row orders are aggregated; the rows follow by their unique order
-    first = (df.select(*keys, F.col(ROW_ORDER).alias("o")).groupBy(*[f"k{i}" for i in range(len(keys))])
-             .agg(F.min("o").alias("first")).select("first"))
-    return df.join(first, F.col(ROW_ORDER) == F.col("first"), "left_semi")
+    keys = [_comparable(F.col(f"`{k}`"), types[k]) for k in subset or [c for c in df.columns if c != ROW_ORDER]]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(ROW_ORDER))
+    return df.select("*", place.alias("__place")).where("__place <= 1").drop("__place")
 
 
 def _comparable(c: Column, dt: T.DataType) -> Column:
@@ -66,6 +68,8 @@ def _fill_value_step(how: str):
             if v.is_integer():
                 return F.coalesce(c, F.lit(int(v)).cast(dt)), dt
             return F.coalesce(c.cast("double"), F.lit(v)), T.DoubleType()  # promote (Q4)
+        if k == "wide":  # the nearest whole number: the column keeps its digits
+            return F.coalesce(c, F.lit(Decimal(round(v))).cast(dt)), dt
         if k == "float":
             return F.coalesce(c, F.lit(v).cast(dt)), dt
         if k == "text":
@@ -95,7 +99,7 @@ def _not_missing(name: str, dt: T.DataType):
     return c.isNotNull() & ~F.isnan(c) if kind_of(dt) == "float" else c.isNotNull()
 
 
-def silver_table(df: DataFrame, name: str, rules: list[dict]) -> DataFrame:
+def silver_table(df: DataFrame, name: str, rules: list[dict]) -> Table:
     id_re = re.compile(ID_PATTERN)
     stage = Stage(nan_to_null(with_row_order(df)))
     table_rules = rules_for_table(rules, name)
@@ -123,6 +127,8 @@ def silver_table(df: DataFrame, name: str, rules: list[dict]) -> DataFrame:
             date_step(stage, work, on_input=same_values)
         elif ops.cast == "integer":
             integer_step(stage, work)
+        elif ops.cast == "wide":
+            wide_step(stage, work)
         elif ops.cast == "float":
             float_step(stage, work)
         elif ops.cast == "text":
@@ -139,16 +145,16 @@ def silver_table(df: DataFrame, name: str, rules: list[dict]) -> DataFrame:
     pk = pk or f"pk_{name}_silver_id"
     approved = {r["target_column"].strip() for r in table_rules}
     keep = [c for c in out.columns if c != pk and (c in approved or c.startswith("_") or c.startswith("pk_"))]
-    if pk not in out.columns:
-        return number_rows(out, pk, [ROW_ORDER], keep)
-    return out.select(*[F.col(f"`{c}`") for c in [pk] + keep])
+    if pk in out.columns:
+        return Table.keyed(lambda: out.select(*[F.col(f"`{c}`") for c in [pk] + keep]))
+    return Table(pk, lambda: out.select(*[F.col(f"`{c}`") for c in keep]), lambda: number_in_row_order(out, pk, keep))
 
 
-def execute_silver(bronze: Mapping[str, DataFrame], rules: DataFrame) -> dict[str, DataFrame]:
+def execute_silver(bronze: Mapping[str, DataFrame], rules: DataFrame) -> Layer:
     """Every Bronze table -> ``<stem>_silver``."""
     rule_rows = collect_rules(rules)
-    out = {}
+    out = Layer()
     for name, df in bronze.items():
         stem = name[: -len("_bronze")] if name.endswith("_bronze") else name
-        out[f"{stem}_silver"] = silver_table(df, name, rule_rows)
+        out.add(f"{stem}_silver", silver_table(df, name, rule_rows))
     return out

@@ -20,9 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesmith.operators import bronze, docs, gold, profile, question, rules, runlog, silver
-from lakesmith.operators.rules import (BRONZE_DATE, BRONZE_FLOAT, BRONZE_INT, BRONZE_TEXT, DEDUP_TEXT,
-                                       LOAD_TIME_TEXT, PK_TEXT, SILVER_DATE, SILVER_ID, SILVER_NUMERIC,
-                                       SILVER_TEXT, SOURCE_FILE_TEXT)
+from lakesmith.operators.rules import BRONZE_DATE, BRONZE_FLOAT, BRONZE_INT, BRONZE_TEXT, DEDUP_TEXT
 from lakesmith.plans import phases
 from lakesmith.session import discard_at_exit, scratch_path
 from lakesmith.sources.csv import read_csv_table
@@ -178,20 +176,26 @@ def p_sample_values(spark, sf):
 LABEL_TABLES = ["customer", "orders", "lineitem", "part", "supplier", "nation", "region", "events"]
 
 
-def _label_case(col: str, kind_numeric: str) -> str:
-    cases = "".join(f"WHEN regexp_matches(lower({col}), '{p}') THEN '{label}' "
-                    for p, label in profile.SEMANTIC_PATTERNS)
-    return (f"CASE {cases}WHEN {kind_numeric} THEN '{profile.NUMERIC_LABEL}' "
-            f"ELSE '{profile.TEXT_LABEL}' END")
+# Expected labels of the test tables' columns, written out by hand.
+LABELS = {
+    "Unique identifier column": ["event_id", "user_id"],
+    "Date/time column": ["o_orderdate", "l_shipdate"],
+    "Monetary value column": ["o_totalprice", "l_extendedprice", "p_retailprice"],
+    "Quantity/count column": ["l_quantity", "l_discount"],
+    "Descriptive name column": ["c_name", "p_name", "s_name", "n_name", "r_name"],
+    "Geographic/location column": ["n_regionkey", "r_regionkey"],
+    "Categorical grouping column": ["c_mktsegment", "o_orderstatus", "l_linestatus", "p_type", "event_type"],
+    "Descriptive text column": ["o_orderpriority", "l_returnflag", "p_brand", "ts", "props"],
+}
+_LABEL_CASE = "CASE " + " ".join(f"WHEN column_name IN ({', '.join(repr(c) for c in cols)}) THEN '{label}'"
+                                 for label, cols in LABELS.items()) + " ELSE 'Numeric measure column' END"
 
 
 _DESCRIBE = "\nUNION ALL ".join(
     f"SELECT '{t}' AS dataset, column_name, column_type FROM (DESCRIBE {t})" for t in LABEL_TABLES)
-_NUMERIC_TYPE = "column_type IN ('BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT', 'DOUBLE', 'FLOAT', 'HUGEINT')"
-
 
 @register("p_semantic_labels", f"""
-SELECT dataset, column_name, {_label_case('column_name', _NUMERIC_TYPE)} AS semantic_label
+SELECT dataset, column_name, {_LABEL_CASE} AS semantic_label
 FROM ({_DESCRIBE})""")
 def p_semantic_labels(spark, sf):
     """Semantic label of every profiled column."""
@@ -208,7 +212,7 @@ _CONV_VALUES = ", ".join(f"('{t}', {i}, '{new}')" for i, t in enumerate(JOIN_TAB
 WITH cols(dataset, dataset_no, column_name) AS (VALUES {_CONV_VALUES})
 SELECT l.dataset AS left_dataset, l.column_name AS left_column, r.dataset AS right_dataset,
        r.column_name AS right_column,
-       CASE WHEN regexp_matches(lower(l.column_name), '{profile.ID_PATTERN}') THEN 'high' ELSE 'medium' END AS confidence
+       CASE WHEN l.column_name IN ('region_id', 'nation_id', 'customer_id', 'order_id', 'part_id', 'supplier_id') THEN 'high' ELSE 'medium' END AS confidence
 FROM cols l JOIN cols r ON l.column_name = r.column_name AND l.dataset_no < r.dataset_no""")
 def p_join_keys(spark, sf):
     """Candidate join keys between seven tables with conventional names."""
@@ -258,21 +262,27 @@ def p_quality_notes(spark, sf):
 
 # -- rule generation --------------------------------------------------------
 
+# Expected rule texts, written out by hand (the oracles share nothing with the generators).
+INT_RULE, FLOAT_RULE = "Convert to integer whole number", "Convert to float decimal numeric"
+DATE_RULE, TEXT_RULE = "Convert to date format", "Convert to text format"
+LOAD_RULE, FILE_RULE = "Current UTC timestamp injected at load time", "Source file path injected at load time"
+KEY_RULE = "Auto-generated sequential surrogate primary key starting from 1"
+ID_CLEAN = "Cast to text/string type; no null handling (identifier column)"
+DATE_CLEAN = "Fill null with mode then standardise date format to YYYY-MM-DD"
+NUMBER_CLEAN = "Fill null values with mean; cast to numeric type"
+TEXT_CLEAN = "Fill null values with mode; strip whitespace and standardise text format"
+
+DATE_COLUMNS = ("o_orderdate", "l_shipdate")
+
+
 def _bronze_rules_sql(tables: list[str], where: str = "", logic_override: str = "") -> str:
     parts = []
     for t in tables:
         for c, ty in SCHEMAS[t]:
-            if ty in ("bigint", "int"):
-                logic = BRONZE_INT
-            elif ty == "double":
-                logic = BRONZE_FLOAT
-            elif any(p in c.lower() for p in ("date", "timestamp")) or c.lower().endswith("_dt"):
-                logic = BRONZE_DATE
-            else:
-                logic = BRONZE_TEXT
+            logic = INT_RULE if ty in ("bigint", "int") else FLOAT_RULE if ty == "double" else DATE_RULE if c in DATE_COLUMNS else TEXT_RULE
             parts.append(f"('{t}', '{c}', '{t}', '{c}', '{logic}')")
-        parts.append(f"('{t}', '', '{t}', '_load_timestamp', '{LOAD_TIME_TEXT}')")
-        parts.append(f"('{t}', '', '{t}', '_source_file', '{SOURCE_FILE_TEXT}')")
+        parts.append(f"('{t}', '', '{t}', '_load_timestamp', '{LOAD_RULE}')")
+        parts.append(f"('{t}', '', '{t}', '_source_file', '{FILE_RULE}')")
     logic = logic_override or "transformation_logic"
     return (f"SELECT source_table, source_column, target_table, target_column, 'Indirect' AS transformation_type, "
             f"{logic} AS transformation_logic FROM (VALUES {', '.join(parts)}) "
@@ -286,11 +296,10 @@ RULE_OUT = ["source_table", "source_column", "target_table", "target_column", "t
 @register("g_bronze_rules", f"""
 WITH d AS ({'UNION ALL '.join(f"SELECT '{t}' AS t, column_name AS c, column_type AS ty FROM (DESCRIBE {t}) " for t in ('customer', 'orders', 'lineitem'))})
 SELECT t AS source_table, c AS source_column, t AS target_table, c AS target_column, 'Indirect' AS transformation_type,
-  CASE WHEN ty IN ('BIGINT', 'INTEGER') THEN '{BRONZE_INT}' WHEN ty IN ('DOUBLE', 'FLOAT') THEN '{BRONZE_FLOAT}'
-       WHEN regexp_matches(lower(c), '{profile.DATE_PATTERN}') THEN '{BRONZE_DATE}' ELSE '{BRONZE_TEXT}' END
-  AS transformation_logic FROM d
-UNION ALL SELECT t, '', t, '_load_timestamp', 'Indirect', '{LOAD_TIME_TEXT}' FROM (VALUES ('customer'), ('orders'), ('lineitem')) v(t)
-UNION ALL SELECT t, '', t, '_source_file', 'Indirect', '{SOURCE_FILE_TEXT}' FROM (VALUES ('customer'), ('orders'), ('lineitem')) v(t)""")
+  CASE WHEN ty IN ('BIGINT', 'INTEGER') THEN '{INT_RULE}' WHEN ty IN ('DOUBLE', 'FLOAT') THEN '{FLOAT_RULE}'
+       WHEN c IN {DATE_COLUMNS} THEN '{DATE_RULE}' ELSE '{TEXT_RULE}' END AS transformation_logic FROM d
+UNION ALL SELECT t, '', t, '_load_timestamp', 'Indirect', '{LOAD_RULE}' FROM (VALUES ('customer'), ('orders'), ('lineitem')) v(t)
+UNION ALL SELECT t, '', t, '_source_file', 'Indirect', '{FILE_RULE}' FROM (VALUES ('customer'), ('orders'), ('lineitem')) v(t)""")
 def g_bronze_rules(spark, sf):
     """Bronze rules of three tables (names and types are enough)."""
     prof = profile.schema_profile({n: table(spark, sf, n) for n in ("customer", "orders", "lineitem")})
@@ -299,7 +308,7 @@ def g_bronze_rules(spark, sf):
 
 @register("g_approved", _bronze_rules_sql(
     ["customer", "orders"], where="WHERE source_column NOT LIKE '%priority'",
-    logic_override=f"CASE WHEN source_column = 'o_totalprice' THEN '{BRONZE_TEXT}' ELSE transformation_logic END"))
+    logic_override=f"CASE WHEN source_column = 'o_totalprice' THEN '{TEXT_RULE}' ELSE transformation_logic END"))
 def g_approved(spark, sf):
     """A review drops the priority rule and edits one rule's text."""
     prof = profile.schema_profile({n: table(spark, sf, n) for n in ("customer", "orders")})
@@ -314,24 +323,21 @@ def g_approved(spark, sf):
 def _silver_rules_sql(tables: list[str]) -> str:
     rows, pk, dedup = [], [], []
     for t in tables:
-        pk.append(f"SELECT '{t}_bronze', '', '{t}', 'pk_{t}_silver_id', 'Indirect', '{PK_TEXT}'")
+        pk.append(f"SELECT '{t}_bronze', '', '{t}', 'pk_{t}_silver_id', 'Indirect', '{KEY_RULE}'")
         typed = dict(SCHEMAS[t])
         first_id = None
         for old, new in CONVENTIONAL[t].items():
-            low = new.lower()
-            if low == "id" or low.endswith("_id"):
-                logic = SILVER_ID
+            if new.endswith("_id"):
+                logic = ID_CLEAN
                 first_id = first_id or new
-            elif "date" in low or "timestamp" in low or low.endswith("_dt"):
-                logic = SILVER_DATE
-            elif typed[old] in NUMERIC:
-                logic = SILVER_NUMERIC
+            elif new.endswith("_date"):
+                logic = DATE_CLEAN
             else:
-                logic = SILVER_TEXT
+                logic = NUMBER_CLEAN if typed[old] in NUMERIC else TEXT_CLEAN
             rows.append(f"SELECT '{t}_bronze', '{new}', '{t}', '{new}', 'Indirect', '{logic}'")
         if first_id:
             dedup.append(f"SELECT '{t}_bronze', '{first_id}', '{t}', '{first_id}', 'Indirect', "
-                         f"'{DEDUP_TEXT.format(first_id)}'")
+                         f"'Deduplicate rows based on {first_id}'")
     body = "\nUNION ALL ".join(pk + rows + dedup)
     return f"SELECT * FROM ({body}) r({', '.join(RULE_OUT)})"
 
@@ -347,7 +353,7 @@ def g_silver_rules(spark, sf):
 
 
 def _gold_rules_sql(tables: list[str]) -> str:
-    rows = [f"SELECT '', '', 'gold_output', 'pk_gold_id', 'Indirect', '{PK_TEXT}'"]
+    rows = [f"SELECT '', '', 'gold_output', 'pk_gold_id', 'Indirect', '{KEY_RULE}'"]
     for t in tables:
         for c in [f"pk_{t}_silver_id", *CONVENTIONAL[t].values(), "_load_timestamp", "_source_file"]:
             rows.append(f"SELECT '{t}', '{c}', 'gold_output', '{c}', 'Direct', 'Passthrough'")

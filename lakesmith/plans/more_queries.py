@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesmith.operators import question, rules, runlog, silver
+from lakesmith.operators import bronze, docs, gold, profile, question, rules, runlog, silver
 from lakesmith.plans import phases
-from lakesmith.plans.catalog import (ROW_ORDER, conventional, events_as_runlog, passthrough, public,
+from lakesmith.plans.catalog import (ROW_ORDER, SEARCH_TEXT, conventional, events_as_runlog, passthrough, public,
                                      register, run_gold, run_silver, table)
 from lakesmith.session import discard_at_exit, scratch_path
-from lakesmith.sources.runlog import read_runlog, read_traces
+from lakesmith.sources.csv import read_csv_table, read_raw_csv
+from lakesmith.sources.runlog import RunLog, read_runlog, read_traces
 
 
 # -- Silver -------------------------------------------------------------------
@@ -69,10 +70,10 @@ def v_rename_strip(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- Gold ---------------------------------------------------------------------
 
-_CUSTOMERS = """(SELECT CASE WHEN c_custkey <> 11 THEN c_custkey END AS customer_id, c_name AS customer_name,
-                        c_acctbal AS amount FROM customer WHERE c_custkey % 5 <> 0)"""
-_ORDERS = """(SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END::DOUBLE AS customer_id,
-                     o_totalprice AS amount FROM orders WHERE o_custkey % 3 <> 0)"""
+_CUSTOMERS = """(SELECT CASE WHEN c_custkey % 5 = 0 THEN -c_custkey WHEN c_custkey <> 11 THEN c_custkey END AS customer_id,
+                        c_name AS customer_name, c_acctbal AS amount FROM customer)"""
+_ORDERS = """(SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_custkey % 3 = 0 THEN o_custkey + 1000000000
+                     ELSE o_custkey END::DOUBLE AS customer_id, o_totalprice AS amount FROM orders)"""
 
 
 @register("o_unmatched", f"""
@@ -83,11 +84,13 @@ FROM {_CUSTOMERS} c FULL JOIN {_ORDERS} o ON c.customer_id IS NOT DISTINCT FROM
 def o_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     """Unmatched rows on both sides, null keys that match, key types
     that differ, and a clash where the left copy wins even where it is null."""
-    cust = conventional(spark, sf, "customer").where("customer_id % 5 <> 0").select(
-        F.when(F.col("customer_id") != 11, F.col("customer_id")).alias("customer_id"), "customer_name",
+    key = F.col("customer_id")
+    cust = conventional(spark, sf, "customer").select(
+        F.when(key % 5 == 0, -key).when(key != 11, key).alias("customer_id"), "customer_name",
         F.col("account_balance").alias("amount"), ROW_ORDER)
-    orders = conventional(spark, sf, "orders").where("customer_id % 3 <> 0").select(
-        "order_id", F.when(F.col("order_id") % 7 != 0, F.col("customer_id")).cast("double").alias("customer_id"),
+    orders = conventional(spark, sf, "orders").select(
+        "order_id", F.when(F.col("order_id") % 7 == 0, F.lit(None)).when(key % 3 == 0, key + 1_000_000_000).otherwise(key)
+        .cast("double").alias("customer_id"),
         F.col("total_amount").alias("amount"), ROW_ORDER)
     out = run_gold(spark, {"customer": cust, "orders": orders},
                    passthrough("customer", ["customer_id", "customer_name", "amount"]) + passthrough("orders", ["order_id"]))
@@ -190,3 +193,206 @@ def e_written_run(spark: SparkSession, sf: str) -> DataFrame:
                          d["rows_out"].cast("long").alias("rows_out"))
     traces = read_traces(spark, f"{root}/traces").where("status = 'success'").agg(F.count(F.lit(1)).alias("n"))
     return written.unionByName(traces.select(F.lit("trace").alias("table_name"), F.col("n").alias("rows_in"), F.col("n").alias("rows_out")))
+
+
+# -- raw text files and wide numbers ---------------------------------------------
+
+WIDE_BASE = "12345678901234500000"
+
+
+@register("s_wide_ids", f"""
+SELECT customer_id, customer_name, order_id, account_number, total_amount
+FROM (SELECT CAST({WIDE_BASE}::HUGEINT + c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name,
+             CAST({WIDE_BASE}::HUGEINT * 1000 + c_custkey AS VARCHAR) AS account_number FROM customer)
+FULL JOIN (SELECT CAST({WIDE_BASE}::HUGEINT + o_custkey AS VARCHAR) AS customer_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+                  o_totalprice AS total_amount FROM orders) USING (customer_id)""")
+def s_wide_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of 20 digits and a number of 23 go from CSV text to
+    Gold with the generated rules; no digit and no row is lost."""
+    root = scratch_path(spark, "wide")
+    wide = F.lit(WIDE_BASE).cast("decimal(38,0)")
+    customers = table(spark, sf, "customer").select(
+        (wide + F.col("c_custkey")).alias("customer_id"), F.col("c_name").alias("customer_name"),
+        (wide * 1000 + F.col("c_custkey")).cast("decimal(38,0)").alias("account_number"))
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), (wide + F.col("o_custkey")).alias("customer_id"),
+                                               F.col("o_totalprice").alias("total_amount"))
+    for name, df in (("customer", customers), ("orders", orders)):
+        df.write.option("header", True).csv(f"{root}/{name}")
+    discard_at_exit(spark, root)
+    raw = {name: read_csv_table(spark, f"{root}/{name}") for name in ("customer", "orders")}
+    made = bronze.execute_bronze(raw, rules.bronze_rules(profile.schema_profile(raw)))
+    clean = silver.execute_silver(made, rules.silver_rules(spark, made))
+    out = gold.execute_gold(clean, rules.gold_rules(spark, clean)).rows("gold_output")
+    return out.select("customer_id", "customer_name", "order_id", F.col("account_number").cast("string").alias("account_number"), "total_amount")
+
+
+@register("s_csv_multiline", """
+SELECT doc_id, lang, source, sha256(text) AS text_sha256, length(text) AS n_chars,
+       row_number() OVER (ORDER BY doc_id) AS place FROM documents""")
+def s_csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents as CSV, their texts over many lines, read in splits
+    that cut through records; nothing is lost and the order stays."""
+    path = scratch_path(spark, "csv-lines")
+    docs_table = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+    (docs_table.coalesce(1).write.option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    discard_at_exit(spark, path)
+    raw = read_raw_csv(spark, path)
+    rows = raw.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.coalesce("text", F.lit("")).alias("text"), ROW_ORDER)
+    numbered = silver.execute_silver({"d": rows}, rules.rules_from_rows(spark, [
+        {"source_table": "d", "source_column": c, "target_column": c, "transformation_logic": "Keep"} for c in ("doc_id", "lang", "source", "text")]))
+    return numbered["d_silver"].select("doc_id", "lang", "source", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+                                       F.char_length("text").cast("long").alias("n_chars"), F.col("pk_d_silver_id").alias("place"))
+
+
+# -- lineage, rule tables, profiles -----------------------------------------------
+
+_LOADED = "2024-05-06T07:08:09+00:00"
+
+
+@register("b_lineage", f"""
+SELECT 'given' AS spelling, c_custkey AS customer_id, '{_LOADED}' AS loaded, 'customer.parquet' AS file FROM customer
+UNION ALL SELECT 'short', s_suppkey, '{_LOADED}', 'supplier.parquet' FROM supplier
+UNION ALL SELECT 'default', p_partkey, '{_LOADED}', 'part.parquet' FROM part""")
+def b_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """Load time and source file by rule, under either spelling, or by default."""
+    tables = {"customer": ("c_custkey", "given", "_load_timestamp", "_source_file"),
+              "supplier": ("s_suppkey", "short", "load_timestamp", "source_file"), "part": ("p_partkey", "default", None, None)}
+    spec = [{"source_table": name, "source_column": "", "target_column": target, "transformation_logic": "lineage"}
+            for name, (_, _, *targets) in tables.items() for target in targets if target]
+    spec.append({"source_table": "none", "source_column": "x", "target_column": "x", "transformation_logic": "Keep"})
+    made = bronze.execute_bronze({name: table(spark, sf, name) for name in tables}, rules.rules_from_rows(spark, spec), _LOADED)
+    parts = []
+    for name, (key, spelling, time, file) in tables.items():
+        df = made[f"{name}_bronze"]
+        parts.append(df.select(F.lit(spelling).alias("spelling"), F.col(key).alias("customer_id"), F.col(time or "_load_timestamp").alias("loaded"),
+                               F.element_at(F.split(F.col(file or "_source_file"), "/"), -1).alias("file")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("s_rule_table", """
+SELECT 'nation' AS source_table, column_name AS source_column, column_name AS target_column,
+       CASE WHEN column_type IN ('BIGINT', 'INTEGER') THEN 'Convert to integer whole number' ELSE 'Convert to text format' END AS transformation_logic,
+       '' AS source_schema, 'Indirect' AS transformation_type
+FROM (DESCRIBE nation)
+UNION ALL SELECT 'nation', '', '_load_timestamp', 'Current UTC timestamp injected at load time', '', 'Indirect'
+UNION ALL SELECT 'nation', '', '_source_file', 'Source file path injected at load time', '', 'Indirect'
+UNION ALL SELECT '', r_name, lower(r_name), '', '', '' FROM region""")
+def s_rule_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A generated rule table and a shorter one, written as CSV and read back, blanks as ''."""
+    root = scratch_path(spark, "rules")
+    rules.write_rules(rules.bronze_rules(profile.schema_profile({"nation": table(spark, sf, "nation")})), f"{root}/full")
+    short = table(spark, sf, "region").select(F.col("r_name").alias("source_column"), F.lower("r_name").alias("target_column"))
+    short.coalesce(1).write.option("header", True).csv(f"{root}/short")
+    discard_at_exit(spark, root)
+    columns = ["source_table", "source_column", "target_column", "transformation_logic", "source_schema", "transformation_type"]
+    return rules.read_rules(spark, f"{root}/full").select(*columns).unionByName(rules.read_rules(spark, f"{root}/short").select(*columns))
+
+
+@register("s_profile_written", """
+SELECT 'supplier' AS dataset, 's_acctbal' AS column_name, count(*) AS rows, count(DISTINCT s_acctbal) AS unique_count,
+       min(s_acctbal) AS min_value, NULL::VARCHAR AS first_sample FROM supplier
+UNION ALL SELECT 'supplier', 's_name', count(*), count(DISTINCT s_name), NULL, arg_min(s_name, s_suppkey) FROM supplier
+UNION ALL SELECT 'supplier', 's_suppkey', count(*), count(DISTINCT s_suppkey), min(s_suppkey)::DOUBLE, NULL FROM supplier
+UNION ALL SELECT 'supplier', 's_nationkey', count(*), count(DISTINCT s_nationkey), min(s_nationkey)::DOUBLE, NULL FROM supplier""")
+def s_profile_written(spark: SparkSession, sf: str) -> DataFrame:
+    """A profile written as JSON and read back."""
+    path = scratch_path(spark, "profile")
+    profile.write_profile(profile.profile_tables({"supplier": table(spark, sf, "supplier")}), path)
+    discard_at_exit(spark, path)
+    back = spark.read.schema("dataset string, column_name string, rows long, unique_count long, min_value double, "
+                             "sample_values array<string>").json(path)
+    return back.select("dataset", "column_name", "rows", "unique_count", "min_value", F.get("sample_values", F.lit(0)).alias("first_sample"))
+
+
+def _merged_sql() -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS null_count, "
+        + (f"min({c})::DOUBLE AS min_value, max({c})::DOUBLE AS max_value, round(avg({c}::DOUBLE), 4) AS mean_value, " if number else
+           "NULL::DOUBLE AS min_value, NULL::DOUBLE AS max_value, NULL::DOUBLE AS mean_value, ")
+        + (f"NULL::VARCHAR AS first_sample, " if number else f"(SELECT CAST({c} AS VARCHAR) FROM orders ORDER BY o_orderkey LIMIT 1) AS first_sample, ")
+        + f"true AS distinct_near FROM orders"
+        for c, number in (("o_orderkey", True), ("o_custkey", True), ("o_orderstatus", False), ("o_totalprice", True), ("o_orderpriority", False)))
+
+
+@register("p_merged", _merged_sql())
+def p_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """P1-P6 of a table whose two halves were profiled apart and merged; distinct
+    values are estimated from the merged sketches, within 5 %."""
+    orders = table(spark, sf, "orders").drop("o_orderdate")
+    early, late = orders.where("o_orderkey % 2 = 1"), orders.where("o_orderkey % 2 = 0")
+    first = orders.agg(F.min("o_orderkey") % 2).scalar()
+    halves = [profile.profile_state({"orders": half}) for half in (early, late)]
+    both = profile.profile_of_state(profile.merge_states(*halves))
+    other = profile.profile_of_state(profile.merge_states(*reversed(halves)))
+    exact = profile.profile_tables({"orders": orders}, materialize=False).select("column_name", F.col("unique_count").alias("d"))
+    # the half that holds the first row comes first
+    found = both.where(first == 1).unionByName(other.where(first == 0)).join(exact, "column_name")
+    return found.select("column_name", "rows", "null_count", "min_value", "max_value", F.round("mean_value", 4).alias("mean_value"),
+                        F.get("sample_values", F.lit(0)).alias("first_sample"),
+                        (F.abs(F.col("unique_count") - F.col("d")) <= 0.05 * F.col("d")).alias("distinct_near"))
+
+
+@register("v_text_to_float", """
+SELECT row_number() OVER (ORDER BY s_suppkey) AS pk_supplier_silver_id, s_suppkey AS supplier_id,
+       CASE WHEN s_suppkey % 3 <> 0 THEN s_acctbal END AS balance FROM supplier""")
+def v_text_to_float(spark: SparkSession, sf: str) -> DataFrame:
+    """A text column to numbers; text that is none becomes null."""
+    key = F.col("s_suppkey")
+    rows = table(spark, sf, "supplier").select(key.alias("supplier_id"), F.when(key % 3 == 0, F.lit("12 apples")).otherwise(
+        F.concat(F.lit(" "), F.col("s_acctbal").cast("string"))).alias("balance"), ROW_ORDER)
+    return run_silver(spark, rows, "supplier", [("supplier_id", "Keep"), ("balance", "Cast to float")])
+
+
+# -- answers without a result, durations, indexed search --------------------------
+
+@register("r_no_pair", """
+SELECT 'no pair' AS what, count(*) AS tables, false AS answered, 0::BIGINT AS result_rows, 'total sales by region' AS question
+FROM (SELECT 1 FROM region HAVING count(*) > 0)
+UNION ALL SELECT 'no tables', 0, false, 0, 'total sales by region'
+UNION ALL SELECT 'error event', count(*), false, 0, 'total sales by region' FROM (SELECT 1 FROM region HAVING count(*) > 0)""")
+def r_no_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids alone give no measure, no table gives an error event; both an empty answer."""
+    text, root = "total sales by region", scratch_path(spark, "no-answer")
+    log = RunLog(spark, root, "run")
+    discard_at_exit(spark, root)
+    ids = {"region": table(spark, sf, "region").select(F.col("r_regionkey").alias("region_id"), "r_name")}
+    rows = []
+    for what, tables in (("no pair", ids), ("no tables", {})):
+        result, found = question.answer(tables, text, log=log)
+        rows.append((what, len(tables), found["answer"] != question.NO_PAIR_ANSWER, result.count(), found["question"]))
+    log.flush()
+    events = log.read().where("action = 'no_gold_tables' and status = 'failed'").agg(F.count(F.lit(1)).alias("tables")).select(
+        F.lit("error event").alias("what"), "tables", F.lit(False).alias("answered"), F.lit(0).cast("long").alias("result_rows"),
+        F.lit(text).alias("question"))
+    made = spark.createDataFrame(rows, "what string, tables long, answered boolean, result_rows long, question string")
+    return made.unionByName(events)
+
+
+@register("l_durations", """
+SELECT 'events' AS agent, 'run-' || user_id AS run_id, round(sum(value)::DECIMAL(38, 9)::DOUBLE / 7, 3) AS duration_seconds,
+       CASE WHEN bool_or(event_type = 'error') THEN 'failed' ELSE 'success' END AS status
+FROM events GROUP BY user_id""")
+def l_durations(spark: SparkSession, sf: str) -> DataFrame:
+    """L4: step durations and statuses of written traces, one a run."""
+    root = scratch_path(spark, "traces")
+    total = F.sum(F.col("value").cast("decimal(28,9)")).cast("decimal(38,9)").cast("double") / 7
+    runs = table(spark, sf, "events").groupBy("user_id").agg(
+        total.alias("duration_seconds"), F.bool_or(F.col("event_type") == "error").alias("bad"))
+    (runs.select(F.lit("events").alias("agent"), "duration_seconds", F.when(F.col("bad"), "failed").otherwise("success").alias("status"),
+                 F.concat(F.lit("run-"), "user_id").alias("run_id")).write.json(root))
+    discard_at_exit(spark, root)
+    return runlog.step_durations(read_traces(spark, root))
+
+
+@register("k_index_search", r"""
+SELECT CAST(doc_id AS VARCHAR) AS id,
+       len(list_intersect(list_distinct(string_split_regex(lower(text), '[\t\n\x0b\x0c\r\x1c-\x1f\x85\p{Z}]+')),
+           ['the', 'of', 'and', 'to', 'le', 'la', 'de', 'et', 'des', 'der', 'die', 'und', 'el', 'los']))::INTEGER AS score
+FROM documents ORDER BY score DESC, doc_id LIMIT 12""")
+def k_index_search(spark: SparkSession, sf: str) -> DataFrame:
+    """K2: the top documents from a written index, without reading a text."""
+    path = scratch_path(spark, "index")
+    docs.write_index(docs.as_store(table(spark, sf, "documents"), "doc_id", "text", ["lang", "source"]), path)
+    discard_at_exit(spark, path)
+    return docs.search_index(spark, path, SEARCH_TEXT, 12)

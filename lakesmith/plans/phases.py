@@ -38,23 +38,23 @@ class RunState:
     bronze_rules: DataFrame | None = None
     silver_rules: DataFrame | None = None
     gold_rules: DataFrame | None = None
-    bronze: dict[str, DataFrame] = field(default_factory=dict)
-    silver: dict[str, DataFrame] = field(default_factory=dict)
-    gold: dict[str, DataFrame] = field(default_factory=dict)
+    bronze: Mapping[str, DataFrame] = field(default_factory=dict)
+    silver: Mapping[str, DataFrame] = field(default_factory=dict)
+    gold: Mapping[str, DataFrame] = field(default_factory=dict)
     result: DataFrame | None = None
     answer: dict | None = None
     paths: dict[str, dict[str, str]] = field(default_factory=dict)
     shapes: dict[str, dict[str, int]] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
     analysis: dict[str, DataFrame] = field(default_factory=dict)
     traces: list[dict] = field(default_factory=list)
 
 
 @dataclass(frozen=True)
 class CsvSource:
-    """A CSV file or folder; ``multi_line=False`` lets Spark split files that
-    hold one record per line."""
+    """A CSV file or folder; see ``csv.read_raw_csv`` for ``multi_line``."""
     path: str
-    multi_line: bool = True
+    multi_line: bool | str = "auto"
     schema: Mapping[str, str] | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -83,34 +83,39 @@ def load_sources(spark: SparkSession, sources, log: RunLog | None = None) -> dic
     return out
 
 
-def _shape(df: DataFrame) -> tuple[int, int]:
-    return df.count(), len([c for c in df.columns if c != ROW_ORDER])
+def _stem(name: str) -> str:
+    return name.removesuffix("_bronze").removesuffix("_silver")
 
 
-def _materialise(spark, state: RunState, layer: str, tables: dict[str, DataFrame], inputs: Mapping[str, DataFrame],
-                 root: str | None, log: RunLog | None) -> dict[str, DataFrame]:
+def _width(fields) -> int:
+    return len([f for f in fields if f.name != ROW_ORDER])
+
+
+def _materialise(spark, state: RunState, layer: str, tables: Mapping[str, DataFrame], inputs: Mapping[str, DataFrame],
+                 root: str | None, log: RunLog | None) -> Mapping[str, DataFrame]:
     """Write a layer and read it back; log what went in and came out of each table.
 
-    Sizes come from the written files (Parquet footers), not from the plans.
+    No row is counted for the log alone: the writes observe what they write,
+    and what goes in is what the layer before wrote (or the profile counted).
     """
     if root is None:
         return tables
-    paths = write_layer(tables, root, state.run_id, layer)
+    paths, rows_out = write_layer(tables, root, state.run_id, layer)
     state.paths[layer] = paths
-    back = read_layer(spark, paths)
-    before = {name.removesuffix("_bronze").removesuffix("_silver"): _shape(df) for name, df in inputs.items()}
+    back = read_layer(spark, paths, ordered=layer != "gold")
+    before = {_stem(n): (state.rows[n], _width(inputs[n].schema.fields)) for n in inputs}
     for name, df in back.items():
-        rows, columns = _shape(df)
-        stem = name.removesuffix("_bronze").removesuffix("_silver")
         # a Gold table is fed by all Silver tables
-        feeding = [before[stem]] if stem in before else list(before.values())
-        rows_in = sum(r for r, _ in feeding)
-        state.shapes[name] = {"rows_in": rows_in, "rows_out": rows, "columns_in": sum(c for _, c in feeding), "columns_out": columns}
+        feeding = [before[_stem(name)]] if _stem(name) in before else list(before.values())
+        rows, rows_in = rows_out[name], sum(r for r, _ in feeding)
+        state.shapes[name] = {"rows_in": rows_in, "rows_out": rows, "columns_in": sum(c for _, c in feeding),
+                              "columns_out": _width(df.schema.fields)}
         if log is not None:
             change = {"rows_removed": rows_in - rows} if layer == "silver" else {"fan_out": round(rows / rows_in, 4) if rows_in else 0} \
                 if layer == "gold" else {}
             log.log(f"{layer}_agent", "table_written", status="success", phase=layer, table=name, path=paths[name],
                     **state.shapes[name], **change)
+    state.rows.update(rows_out)
     return back
 
 
@@ -148,6 +153,8 @@ def phase_profile(spark: SparkSession, state: RunState, root: str | None = None)
         if root is not None:
             state.profile = profile.profile_tables(state.sources)
             profile.write_profile(state.profile, f"{root}/profiles/{state.run_id}")
+            state.rows = dict.fromkeys(state.sources, 0) | {r["dataset"]: r["rows"] for r in
+                                                            state.profile.select("dataset", "rows").distinct().collect()}
             state.analysis = {"semantic_labels": profile.semantic_labels(state.profile),
                               "join_keys": profile.join_keys(state.profile).drop("ln", "rn"),
                               "quality_notes": profile.quality_notes(state.profile)}

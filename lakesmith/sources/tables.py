@@ -10,13 +10,19 @@ recomputed partition after a lost executor yields the same values.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakesmith.session import ensure_checkpoint_dir
+
 ROW_ORDER = "_row_order"
+# Plan operators that may deal rows out in another order when they run again.
+_SHUFFLED = re.compile(r"\b(Aggregate|Join|Repartition\w*|RebalancePartitions|Sort|Window|Distinct|Intersect|Except|Sample|"
+                       r"MapInPandas|MapInArrow|FlatMapGroups\w*)\b")
 
 
 def row_order_from_metadata(kind: str = "parquet") -> Column:
@@ -28,11 +34,16 @@ def row_order_from_metadata(kind: str = "parquet") -> Column:
 def with_row_order(df: DataFrame) -> DataFrame:
     """Attach ``_row_order`` to a DataFrame that has none.
 
-    The position comes from the partition layout, which is stable for a
-    deterministic parent plan (tables read from files carry their own).
+    The position comes from the partition layout (tables read from files carry
+    their own).  Operators may evaluate their input more than once, so rows that
+    were shuffled on the way, and could come in another order the next time, are
+    checkpointed first.
     """
     if ROW_ORDER in df.columns:
         return df
+    if _SHUFFLED.search(df._jdf.queryExecution().optimizedPlan().toString()):
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint()
     return df.withColumn(ROW_ORDER, F.struct(F.lit("").alias("file"),
                                              F.monotonically_increasing_id().alias("pos")))
 
@@ -66,16 +77,49 @@ def layer_path(root: str, run_id: str, layer: str, table: str) -> str:
     return os.path.join(root, layer, run_id, table)
 
 
-def write_layer(tables: Mapping[str, DataFrame], root: str, run_id: str, layer: str) -> dict[str, str]:
-    """Parquet sink, overwrite, one directory per table (S3).  Returns name -> path."""
-    out = {}
-    for name, df in tables.items():
-        path = layer_path(root, run_id, layer, name)
-        df.write.mode("overwrite").parquet(path)
-        out[name] = path
-    return out
+def in_written_order(df: DataFrame) -> DataFrame:
+    """A table whose written files hold its rows in row order.
+
+    One source file is scanned in order anyway; several are dealt to tasks by
+    size, so their rows are range-partitioned by row order first.
+    """
+    if ROW_ORDER in df.columns and len(df.inputFiles()) > 1:
+        return df.repartitionByRange(ROW_ORDER).sortWithinPartitions(ROW_ORDER)
+    return df
+
 
+def write_layer(tables: Mapping[str, DataFrame], root: str, run_id: str, layer: str) -> tuple[dict[str, str], dict[str, int]]:
+    """Parquet sink, overwrite, one directory per table (S3).  Returns the
+    paths and the row counts, which the writes themselves observe.
 
-def read_layer(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Read back a written layer; ``_row_order`` travels inside the files."""
-    return {name: spark.read.parquet(p) for name, p in paths.items()}
+    ``_row_order`` is not published: numbered tables keep their order in the
+    key, others in their files.
+    """
+    paths, rows = {}, {}
+    for name in tables:
+        df = tables[name]
+        paths[name] = layer_path(root, run_id, layer, name)
+        seen = Observation()
+        (df if _key_of(df.columns) else in_written_order(df)).drop(ROW_ORDER).observe(seen, F.count(F.lit(1)).alias("rows")) \
+            .write.mode("overwrite").parquet(paths[name])
+        rows[name] = seen.get["rows"]
+    return paths, rows
+
+
+def _key_of(columns: list[str]) -> str | None:
+    """The generated key, which comes first."""
+    return columns[0] if columns and columns[0].startswith("pk_") else None
+
+
+def read_layer(spark: SparkSession, paths: Mapping[str, str], ordered: bool = True) -> dict[str, DataFrame]:
+    """Read back a written layer, ``ordered`` by its keys or files."""
+    out = {}
+    for name, path in paths.items():
+        df = spark.read.parquet(path)
+        if not ordered:
+            out[name] = df
+            continue
+        key = _key_of(df.columns)
+        order = F.struct(F.lit("").alias("file"), F.col(f"`{key}`").cast("long").alias("pos")) if key else row_order_from_metadata("parquet")
+        out[name] = df.select("*", order.alias(ROW_ORDER))
+    return out

@@ -60,3 +60,31 @@ def test_traces(spark, tmp_path):
     write_traces(spark, [t], str(tmp_path / "tr"))
     back = runlog.step_durations(read_traces(spark, str(tmp_path / "tr"))).collect()
     assert back[0]["agent"] == "bronze_agent" and back[0]["status"] == "success"
+
+
+def test_index_search_equals_the_scan(spark, tmp_path):
+    import random
+
+    from pyspark.sql import functions as F
+    from lakesmith.operators import docs
+    rng = random.Random(2)
+    words = ["alpha", "Beta", "gamma", "delta", "É", "x"]
+    rows = [(f"d{i}", " \t".join(rng.choices(words, k=rng.randint(0, 5))) if i % 9 else None, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, n long").withColumn(
+        "_row_order", F.struct(F.lit("").alias("file"), F.col("n").alias("pos")))
+    store = docs.as_store(df, "doc_id", "text", ["n"])
+    path = str(tmp_path / "index")
+    docs.write_index(store, path)
+    for text, n in (("alpha beta", 5), ("é gamma delta x alpha", 60), ("nothing here", 7), ("", 3), ("x", 50)):
+        want = [(r["id"], r["score"] or 0) for r in docs.search(store, text, n).collect()]
+        found = docs.search_index(spark, path, text, n)
+        assert [(r["id"], r["score"]) for r in found.collect()] == want, text
+    plan = docs.search_index(spark, path, "alpha", 5)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "document" not in plan
+
+
+def test_index_of_an_empty_store(spark, tmp_path):
+    from lakesmith.operators import docs
+    store = docs.as_store(spark.createDataFrame([], "doc_id string, text string"), "doc_id", "text")
+    docs.write_index(store, str(tmp_path / "i"))
+    assert docs.search_index(spark, str(tmp_path / "i"), "word").count() == 0

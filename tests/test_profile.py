@@ -81,3 +81,41 @@ def test_approximate_distinct_option(spark):
     df = spark.createDataFrame([(i % 7, "x") for i in range(100)], "k long, s string")
     prof = {r["column_name"]: r for r in profile.profile_tables({"t": df}, approx_distinct=True).collect()}
     assert prof["k"]["unique_count"] == 7 and prof["s"]["unique_count"] == 1 and prof["k"]["max_value"] == 6.0
+
+
+def test_signed_zeros_are_one_value(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (1.0,), (float("nan"),), (None,)], "x double")
+    row = profile.profile_tables({"t": df}).first()
+    assert (row["unique_count"], row["null_count"]) == (2, 2)
+    assert profile.profile_of_state(profile.profile_state({"t": df})).first()["unique_count"] == 2
+
+
+def test_maps_and_long_texts_are_counted(spark):
+    df = spark.createDataFrame([({"a": 1, "b": 2}, "x" * 500), ({"b": 2, "a": 1}, "x" * 499 + "y"), (None, None)], "m map<string,int>, s string")
+    assert {r["column_name"]: r["unique_count"] for r in profile.profile_tables({"t": df}).collect()} == {"m": 1, "s": 2}
+
+
+def test_merged_states_equal_the_whole(spark):
+    from pyspark.sql import functions as F
+    rows = [(i, None if i % 5 == 0 else f"v{i % 37}", float(i % 11) if i % 3 else None, i % 2 == 0) for i in range(500)]
+    whole = spark.createDataFrame(rows, "id long, s string, x double, b boolean").coalesce(1)
+    a, b, c = (spark.createDataFrame(part, whole.schema).coalesce(1) for part in (rows[:100], rows[100:101], rows[101:]))
+    states = [profile.profile_state({"t": d}) for d in (a, b, c)]
+    merged = profile.merge_states(profile.merge_states(*states[:2]), states[2])
+    keep = ["column_name", "rows", "null_count", "null_pct", "min_value", "max_value", "unique_count", "sample_values"]
+    mean = F.round("mean_value", 9)
+    got, want = (sorted(map(str, p.select(*keep, mean).collect())) for p in (
+        profile.profile_of_state(merged), profile.profile_of_state(profile.profile_state({"t": whole}))))
+    assert got == want
+    exact = {r["column_name"]: r for r in profile.profile_tables({"t": whole}).collect()}
+    for r in profile.profile_of_state(merged).collect():
+        e = exact[r["column_name"]]
+        assert abs(r["unique_count"] - e["unique_count"]) <= 0.05 * e["unique_count"]
+        assert all(r[c] == e[c] for c in ("rows", "null_count", "null_pct", "min_value", "max_value", "sample_values"))
+
+
+def test_a_new_column_is_missing_in_earlier_states(spark):
+    old = profile.profile_state({"t": spark.createDataFrame([(1,), (2,)], "a long")})
+    new = profile.profile_state({"t": spark.createDataFrame([(3, "x")], "a long, b string")})
+    got = {r["column_name"]: (r["rows"], r["null_count"]) for r in profile.profile_of_state(profile.merge_states(old, new)).collect()}
+    assert got == {"a": (3, 0), "b": (3, 2)}

@@ -39,6 +39,16 @@ def test_exact_median_between_two_long_runs(spark):
         assert stats.exact_medians(df, {"x": F.col("x"), "y": F.col("y")}) == {"x": 1.5, "y": statistics.median(kept)}
 
 
+def test_exact_median_narrows_until_the_driver_may_look(spark, monkeypatch):
+    monkeypatch.setattr(stats, "_ACCURACY", 20)
+    monkeypatch.setattr(stats, "_LOOKED_AT", 50)
+    rng = random.Random(3)
+    values = [rng.random() * 10 ** rng.randint(0, 9) for _ in range(20_001)]
+    df = spark.createDataFrame([(v, float(i % 7), None) for i, v in enumerate(values)], "x double, y double, z double").repartition(5)
+    assert stats.exact_medians(df, {c: F.col(c) for c in "xyz"}) == {
+        "x": statistics.median(values), "y": statistics.median(i % 7 for i in range(20_001)), "z": None}
+
+
 def test_number_text_is_the_doubles_own(spark):
     values = [-0.000123456789012, -994.28, 100.0, 0.0, 1.5e-7, 1e16, 123456789.125, 9007199254740993.0, 0.1 + 0.2, 2e-5]
     df = spark.createDataFrame([(v,) for v in values], "x double")
