@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def finished(df: DataFrame, label: str) -> DataFrame:
+    """``staged``, and the shuffle files of the finished query may go.
+
+    Spark deletes them when nothing refers to the query any more; asking for
+    that now keeps one phase's files from adding to the next one's.
+    """
+    out = staged(df, label)
+    gc.collect()
+    out.sparkSession._jvm.System.gc()
+    return out
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -20,9 +20,11 @@ routing sees to it that equal strings always meet in one shard:
 5. Decisions return to the documents as intervals, which remove the bytes.
 
 Documents with the text of a smaller id repeat as a whole and need no suffixes.
-Texts are shuffled once, by a 32-bit number of id and text (both joins read the
-same exchange); what the joins bring is told apart by id, 64-bit digest and
-size, so documents that share a number get none of each other's results.
+The three phases (shared anchors, decisions, removal) are queries of their own
+whose results are written, so the disk holds the shuffles of one phase at a
+time.  Texts meet their anchors and decisions by a 32-bit number of id and text;
+what the joins bring is told apart by id, 64-bit digest and size, so documents
+that share a number get none of each other's results.
 """
 
 from __future__ import annotations
@@ -35,11 +37,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesmith.llm.common import col, kept_columns, text_of
+from lakesmith.llm.common import col, finished, kept_columns, text_of
 from lakesmith.llm.suffix import common_prefixes, suffix_array
 
 #: Longer grams meet by chance less often, shorter ones make fewer anchors.
-LENGTH, GRAM = 50, 32
+LENGTH, GRAM = 50, 16
 #: Occurrences of an anchor before its windows are routed one by one.
 HOT = 20_000
 #: Bytes of distinct segments sorted at a time.
@@ -334,28 +336,28 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
     # texts that a smaller id has as well
     narrow = docs.select(*who, F.xxhash64(F.lit(1), text).alias("y"))
     least = narrow.groupBy("th", "nb", "y").agg(F.min("no").alias("first"))
-    copies = (narrow.join(least, ["th", "nb", "y"]).where("no > first").select(number, "no", "th", "nb").distinct()
-              .groupBy("d").agg(F.collect_list(F.struct("no", "th", "nb")).alias("copies")))
+    copies = finished(narrow.join(least, ["th", "nb", "y"]).where("no > first").select("no", "th", "nb").distinct(), "repeats-copies")
     rows = docs.select(*who, text.cast("binary").alias("bytes")).select(number, "*")
-    known = F.exists("copies", lambda c: (c["no"] == F.col("no")) & (c["th"] == F.col("th")) & (c["nb"] == F.col("nb")))
-    texts = rows.repartition("d").join(copies, "d", "left").select(
-        "d", "no", "th", "nb", "bytes", F.coalesce(known, F.lit(False)).alias("copy"))
+    # the planner sends the copies to all tasks only if their written size is small
+    own = rows.join(copies, ["no", "th", "nb"], "left_anti")
 
-    own = texts.where("not copy").select("d", "no", "th", "nb", "bytes")
-    keyed = _present(own.mapInArrow(_anchor_rows(length, gram), "h long, d int")).repartition("h")
+    keyed = _present(own.select("d", "bytes").mapInArrow(_anchor_rows(length, gram), "h long, d int")).repartition("h")
     # count("d") keeps this exchange equal to the one below, so it is made once
     shared = keyed.groupBy("h").agg(F.count("d").alias("n")).where("n > 1")
     marked = keyed.join(shared.select("h", (F.col("n") > hot).alias("hot")), "h")
-    lists = marked.groupBy("d").agg(F.collect_set(F.when(~F.col("hot"), F.col("h"))).alias("cold"),
-                                    F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot"))
+    lists = finished(marked.groupBy("d").agg(F.collect_set(F.when(~F.col("hot"), F.col("h"))).alias("cold"),
+                                             F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot")), "repeats-anchors")
 
     segments = own.join(lists, "d").mapInArrow(
         _segment_rows(length, gram), "hot boolean, key long, d int, no long, th long, nb int, start int, seg binary")
     decided = segments.repartition("key").sortWithinPartitions("hot", "key", "seg", "no").mapInArrow(
         _shard_rows(length), "d int, no long, th long, nb int, a int, b int")
-    cut = decided.groupBy("d").agg(F.collect_list(F.struct("no", "th", "nb", "a", "b")).alias("found"))
-    return texts.join(cut, "d", "left").mapInArrow(
-        _finish(length), "no long, th long, n_bytes long, n_removed long, n_spans long, kept binary")
+    cut = finished(decided.groupBy("d").agg(F.collect_list(F.struct("no", "th", "nb", "a", "b")).alias("found")), "repeats-cuts")
+
+    marks = copies.withColumn("copied", F.lit(True))
+    return (rows.join(cut, "d", "left").join(marks, ["no", "th", "nb"], "left")
+            .select("no", "th", "bytes", "found", F.coalesce("copied", F.lit(False)).alias("copy"))
+            .mapInArrow(_finish(length), "no long, th long, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
