@@ -1,8 +1,8 @@
 """Secret scan (operator 4), DataFrame expressions only.
 
 Fixed patterns give the base spans: assignments, access keys, long hex runs.
-The method adds spans by entropy: candidate strings (long runs of key
-characters with a digit) are scanned with a sliding window whose character
+The method adds spans by entropy: candidate strings (runs of key
+characters with a digit or mixed case) are scanned with a sliding window whose character
 counts are kept incrementally: one step adds the entering character, takes off
 the leaving one and corrects the sum of c*log2(c) by the two changed terms.
 Windows whose Shannon entropy reaches the threshold of the candidate's
@@ -27,23 +27,29 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 8, 16, 32
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_alnum", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_alnum", "entropy_base64", "entropy_letters")
 
 #: Entropy windows: length, and least bits a character by class.
 WINDOW = 16
-THRESHOLDS = {"entropy_hex": 2.75, "entropy_alnum": 3.5, "entropy_base64": 3.6}
+THRESHOLDS = {"entropy_hex": 2.75, "entropy_alnum": 3.5, "entropy_base64": 3.6, "entropy_letters": 3.6}
 _KEY = "A-Za-z0-9+/_-"
-#: At least 20 key characters, one of them a digit, not in the middle of a run.
-CANDIDATE = rf"(?<![{_KEY}])(?=[A-Za-z+/_-]*+[0-9])[{_KEY}]{{20,}}+={{0,2}}"
+#: At least a window of key characters, not in the middle of a run, with a digit or changing case twice.
+CANDIDATE = rf"(?<![{_KEY}])(?=[A-Za-z+/_-]*+[0-9]|(?:[a-z+/_-]*+[A-Z]++[A-Z+/_-]*+[a-z]){{2}})[{_KEY}]{{{WINDOW},}}+={{0,2}}"
+#: Window starts scanned in one go: a long candidate is cut into such blocks, so the work grows with its length only.
+BLOCK = 1024
+#: Counts in one number.
+PACKED = 12
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 
 _WORD, _SAMPLE = "(?:[A-Z]?[a-z]{1,14}|[A-Z]{1,15})", "(?:EXAMPLE|example|XXXX|xxxx|0123456789|abcdefghij)"
-#: Candidates that are no secrets (whole candidate).
+#: Candidates that are no secrets (whole candidate).  Groups never give back what they took (they could not
+#: match otherwise anyway), so the engine neither recurses nor tries again on long runs.
 ALLOWED = (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",  # UUID
-    r"[0-9/_+-]+=*",  # numbers, dates, phone numbers
-    r"(?:[A-Za-z]+[/_+-]+)+[0-9]{1,6}",  # words with a number at the end
-    rf"(?:[A-Za-z]*[/_+-]+)*[0-9]{{1,4}}(?:[/_+-]+(?:{_WORD}|[0-9]{{1,4}}))*",  # dated paths and slugs
+    r"[0-9/_+-]++=*",  # numbers, dates, phone numbers
+    r"(?:[A-Za-z]++[/_+-]++)++[0-9]{1,6}",  # words with a number at the end
+    rf"(?:[A-Za-z]*+[/_+-]++)*+[0-9]{{1,4}}(?:[/_+-]++(?:{_WORD}|[0-9]{{1,4}}))*+",  # dated paths and slugs
+    rf"{_WORD}(?:[/_+-]++{_WORD})*+",  # paths and names of plain words
     rf"(?!(?:.*/)?(?![^/]*{_SAMPLE})[^/]{{{WINDOW}}}).*{_SAMPLE}.*",  # samples; no part without a mark holds a window
 )
 ADDED = ["spans"]
@@ -88,24 +94,56 @@ def base_spans(text: Column) -> Column:
 
 
 def _class_of(value: Column) -> Column:
-    return (F.when(value.rlike("^[0-9a-fA-F]+$"), "entropy_hex").when(value.rlike("^[A-Za-z0-9]+$"), "entropy_alnum")
-            .otherwise("entropy_base64"))
+    return (F.when(value.rlike("^[0-9a-fA-F]+$"), "entropy_hex").when(value.rlike("^[A-Za-z]+$"), "entropy_letters")
+            .when(value.rlike("^[A-Za-z0-9]+$"), "entropy_alnum").otherwise("entropy_base64"))
 
 
 def _hot_windows(value: Column, threshold: Column) -> Column:
     """Merged (start, end) of the windows of ``value`` whose entropy reaches ``threshold``."""
+    firsts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.char_length(value) - WINDOW), F.lit(BLOCK))
+    found = F.flatten(F.transform(firsts, lambda at: F.transform(
+        _hot_in_block(F.substr(value, at + 1, F.lit(BLOCK + WINDOW - 1)), threshold),
+        lambda w: F.struct((at + w["start"]).alias("start"), (at + w["end"]).alias("end")))))
+
+    def joined(spans: Column) -> Column:  # blocks may end and begin inside one span; both ends ascend
+        opens = F.filter(spans, lambda w, i: (i == 0) | (w["start"] > F.get(spans, i - 1)["end"]))
+        closes = F.filter(spans, lambda w, i: (i == F.size(spans) - 1) | (F.get(spans, i + 1)["start"] > w["end"]))
+        return F.zip_with(opens, closes, lambda a, b: F.struct(a["start"].alias("start"), b["end"].alias("end")))
+
+    return let(found, joined)
+
+
+def _word(code: Column) -> Column:
+    return F.floor(code / PACKED).cast("int")
+
+
+def _bit(code: Column) -> Column:
+    return (code % PACKED * 5).cast("int")
+
+
+def _hot_in_block(value: Column, threshold: Column) -> Column:
     logs = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
     none = F.array().cast("array<struct<start:int,end:int>>")
-    zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("total"),
+    # the counts of twelve characters share a number, five bits each: a window's counts reach 16
+    zero = F.struct(F.array_repeat(F.lit(0).cast("long"), len(ALPHABET) // PACKED + 1).alias("counts"), F.lit(0.0).alias("total"),
                     none.alias("spans"))
 
+    def count(counts: Column, code: Column) -> Column:
+        return F.call_function("shiftright", F.get(counts, _word(code)), _bit(code)).bitwiseAND(31).cast("int")
+
+    def one(code: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), _bit(code))
+
     def step(codes: Column, acc: Column, i: Column) -> Column:
         enter, leave = codes[i], F.when(i >= WINDOW, codes[i - WINDOW]).otherwise(-1)
-        had = acc["counts"][enter]
-        left = acc["counts"][F.greatest(leave, F.lit(0))] + (enter == leave).cast("int")
+        gone = F.greatest(leave, F.lit(0))
+        had = count(acc["counts"], enter)
+        left = count(acc["counts"], gone) + (enter == leave).cast("int")
         total = (acc["total"] + F.get(logs, had + 1) - F.get(logs, had)
                  + F.when(i >= WINDOW, F.get(logs, left - 1) - F.get(logs, left)).otherwise(0.0))
-        counts = F.transform(acc["counts"], lambda c, k: c + (k == enter).cast("int") - (k == leave).cast("int"))
+        nothing = F.lit(0).cast("long")
+        counts = F.transform(acc["counts"], lambda c, k: c + F.when(k == _word(enter), one(enter)).otherwise(nothing)
+                             - F.when((leave >= 0) & (k == _word(gone)), one(gone)).otherwise(nothing))
         # entropy of the window = log2(W) - total / W
         hot = (i >= WINDOW - 1) & (math.log2(WINDOW) - total / WINDOW >= threshold - 1e-9)
         start, spans = i - (WINDOW - 1), acc["spans"]
@@ -127,13 +165,14 @@ def entropy_spans(text: Column, allowed: tuple[str, ...] = ALLOWED) -> Column:
     candidates = F.filter(matches(text, CANDIDATE), lambda m: ~m["value"].rlike(permitted))
 
     def scan(m: Column) -> Column:
-        kind = _class_of(m["value"])
-        level, rank = F.lit(9.0), F.lit(len(KINDS))
-        for name, bits in THRESHOLDS.items():
-            level, rank = F.when(kind == name, bits).otherwise(level), F.when(kind == name, KINDS.index(name)).otherwise(rank)
-        return F.transform(_hot_windows(m["value"], level), lambda w: F.struct(
-            (m["start"] + w["start"]).alias("start"), rank.alias("rank"), (m["start"] + w["end"]).alias("end"),
-            kind.alias("kind")))
+        def of_kind(kind: Column) -> Column:
+            level, rank = F.lit(9.0), F.lit(len(KINDS))
+            for name, bits in THRESHOLDS.items():
+                level, rank = F.when(kind == name, bits).otherwise(level), F.when(kind == name, KINDS.index(name)).otherwise(rank)
+            return F.transform(_hot_windows(m["value"], level), lambda w: F.struct(
+                (m["start"] + w["start"]).alias("start"), rank.alias("rank"), (m["start"] + w["end"]).alias("end"),
+                kind.alias("kind")))
+        return let(_class_of(m["value"]), of_kind)  # the class of a candidate is found once, not at every step
 
     return F.when(text.rlike(CANDIDATE), F.flatten(F.transform(candidates, scan))).otherwise(F.array().cast(_SPAN))
 

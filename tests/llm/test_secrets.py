@@ -32,14 +32,24 @@ def plain_windows(value, level):
     return out
 
 
+def plain_candidates(text):
+    """Runs of a window of key characters or more with a digit, or with two changes from upper to lower case."""
+    for m in re.finditer(rf"[{s._KEY}]+={{0,2}}", text):
+        run = m[0].rstrip("=")
+        letters = "".join(c for c in run if c.isalpha())
+        if len(run) >= s.WINDOW and (any(c.isdigit() for c in run) or sum(
+                a.isupper() and b.islower() for a, b in zip(letters, letters[1:])) >= 2):
+            yield m
+
+
 def plain_entropy(text):
     out = []
-    for m in re.finditer(rf"(?<![{s._KEY}])(?=[A-Za-z+/_-]*[0-9])[{s._KEY}]{{20,}}={{0,2}}", text):
+    for m in plain_candidates(text):
         v = m[0]
         if re.fullmatch("|".join(f"(?:{p})" for p in s.ALLOWED), v):
             continue
-        kind = ("entropy_hex" if re.fullmatch("[0-9a-fA-F]+", v) else "entropy_alnum" if re.fullmatch("[A-Za-z0-9]+", v)
-                else "entropy_base64")
+        kind = ("entropy_hex" if re.fullmatch("[0-9a-fA-F]+", v) else "entropy_letters" if v.isalpha() else
+                "entropy_alnum" if re.fullmatch("[A-Za-z0-9]+", v) else "entropy_base64")
         out += [(m.start() + a, s.KINDS.index(kind), m.start() + b) for a, b in plain_windows(v, s.THRESHOLDS[kind])]
     return out
 
@@ -111,3 +121,46 @@ def test_long_candidates(make, n):
     text = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n)) + "7"
     rows = s.find_secrets(make([(1, text)])).select(F.col("spans")).first()[0]
     assert [(x["start"], x["rank"], x["end"]) for x in rows] == plain_entropy(text)
+
+
+@pytest.mark.parametrize("length", [16, 17, 19])
+def test_short_keys_and_letters(make, length):
+    rng = random.Random(length)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(rng.sample(letters + "0123456789", length - 1)) + "7", "aB" + "".join(rng.sample(letters, length - 4)) + "qR"]
+    plain = ["internationalisation", "Donaudampfschifffahrt", "INTERNATIONALISATION", "src/main/java/Example"]
+    docs = make([(i, f"k {v} k") for i, v in enumerate(keys + plain)])
+    found = {r["doc_id"]: [x["kind"] for x in r["spans"]] for r in s.find_secrets(docs).collect()}
+    assert found == {0: ["entropy_alnum"], 1: ["entropy_letters"], 2: [], 3: [], 4: [], 5: []}
+
+
+SHAPES = {"words": ("ab-1-", ""), "words and number": ("word/", "12"), "path": ("a/", "1z"), "numbers": ("12-", ""),
+          "slug": ("Some-", "2"), "sample": ("EXAMPLE/", "1"), "plain words": ("Word_", "End")}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_long_runs_of_every_allowed_shape(make, shape):
+    part, end = SHAPES[shape]
+    for n in (1_000, 200_000) if shape != "words" else (1_000,):
+        text = "k " + part * n + end + " k"
+        rows = s.find_secrets(make([(1, text)])).collect()
+        if part.startswith(("word", "12", "Some", "EXAMPLE", "Word")):
+            assert rows[0]["spans"] == [], shape
+
+
+def test_million_random_characters(make):
+    rng = random.Random(5)
+    part = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=20_000)) + "a" * 40
+    text = part * 50
+    row = s.find_secrets(make([(1, text)])).select(F.size("spans"), F.array_max(F.transform("spans", lambda x: x["end"]))).first()
+    first = plain_entropy(part)
+    assert row[0] >= 50 * len(first) // 2 and row[1] <= len(text)
+
+
+def test_blocks_change_nothing(make, monkeypatch):
+    rng = random.Random(7)
+    text = " ".join("".join(rng.choices("abcABC012" if i % 2 else "ABCDEFGHIJabcdefghij0123456789+/", k=rng.randint(16, 300))) + "1"
+                    for i in range(30))
+    monkeypatch.setattr(s, "BLOCK", 8)
+    rows = s.find_secrets(make([(1, text)])).first()["spans"]
+    assert [(x["start"], x["rank"], x["end"]) for x in rows if x["rank"] > 2] == plain_entropy(text)
