@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,8 +40,11 @@ def finished(df: DataFrame, label: str) -> DataFrame:
     that now keeps one phase's files from adding to the next one's.
     """
     out = staged(df, label)
-    gc.collect()
-    out.sparkSession._jvm.System.gc()
+    del df  # callers pass the query on without keeping it
+    for _ in range(2):  # the first round may come before the session has let go of the query
+        gc.collect()
+        out.sparkSession._jvm.System.gc()
+        time.sleep(0.2)
     return out
 
 

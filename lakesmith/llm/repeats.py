@@ -7,24 +7,24 @@ routing sees to it that equal strings always meet in one shard:
 1. Every window of ``length`` bytes has an anchor, the smallest hash among its
    grams.  Equal windows have equal anchors, and neighbouring windows mostly
    share one, so a text is cut into segments of windows with one anchor.
-2. Anchors that occur once cannot repeat; a count per anchor leaves the others
-   (a fraction of the text).
+2. Anchors of a single text cannot repeat; a grouped minimum and maximum of the
+   text digests per anchor leaves the others (a fraction of the text).
 3. The segments of shared anchors are routed by anchor.  An anchor with more
    than ``HOT`` occurrences routes each of its windows by the window's own hash,
    so that a passage in a third of all documents spreads over the shards.
-4. Segments arrive sorted by bytes, then id.  A window routed by itself is
-   decided as it streams by: the first row of equal ones has the least id.  The
-   other segments are gathered in shards of about ``SHARD_BYTES``, sorted by
+4. Segments arrive sorted by bytes, then id.  Windows routed by themselves, and
+   keys that all rows fill with the same bytes, are decided as they stream by:
+   the first row has the least id.  The other segments are gathered in shards of about ``SHARD_BYTES``, sorted by
    induced sorting, and permuted common prefixes of ``length`` bytes delimit
    groups of equal windows; the least id of a group decides for all its windows.
 5. Decisions return to the documents as intervals, which remove the bytes.
 
-Documents with the text of a smaller id repeat as a whole and need no suffixes.
-The three phases (shared anchors, decisions, removal) are queries of their own
-whose results are written, so the disk holds the shuffles of one phase at a
-time.  Texts meet their anchors and decisions by a 32-bit number of id and text;
-what the joins bring is told apart by id, 64-bit digest and size, so documents
-that share a number get none of each other's results.
+Documents with the text of a smaller id repeat as a whole: of equal texts only
+the first one's segments are looked at.  The three phases (shared anchors,
+decisions, removal) are queries of their own whose results are written, so the
+disk holds the shuffles of one phase at a time.  Texts meet their anchors and
+decisions by a 64-bit digest; what the joins bring is told apart by id, size and
+a second digest, so texts that share a digest get none of each other's results.
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ def _anchor_rows(length: int, gram: int):
                 hashes.append(found)
                 owners.append(len(found))
             rows = pa.array(np.repeat(np.arange(batch.num_rows), owners))
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(hashes))), batch.column("d").take(rows)], ["h", "d"])
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(hashes))), batch.column("th").take(rows)], ["h", "th"])
     return run
 
 
@@ -146,8 +146,8 @@ def _segment_rows(length: int, gram: int):
         at = pa.array(rows, pa.int64())
         hot, keys, starts = zip(*found) if found else ((), (), ())
         return pa.RecordBatch.from_arrays(
-            [pa.array(hot, pa.bool_()), pa.array(keys, pa.int64()), *[batch.column(c).take(at) for c in ("d", "no", "th", "nb")],
-             pa.array(starts, pa.int32()), pa.array(parts, pa.binary())], ["hot", "key", "d", "no", "th", "nb", "start", "seg"])
+            [pa.array(hot, pa.bool_()), pa.array(keys, pa.int64()), *[batch.column(c).take(at) for c in ("th", "no", "nb")],
+             pa.array(starts, pa.int32()), pa.array(parts, pa.binary())], ["hot", "key", "th", "no", "nb", "start", "seg"])
     return run
 
 
@@ -199,7 +199,7 @@ class _Shard:
         self.size += sum(map(len, segs))
 
     def decided(self, length: int) -> Iterator[pa.RecordBatch]:
-        """(d, no, th, nb, a, b): bytes a to b of a document stand in one with a smaller id."""
+        """(th, no, nb, a, b): bytes a to b of a document stand in one with a smaller id."""
         groups = shard_groups(self.parts, np.array(self.least, np.int64), length)
         sizes = np.array([len(x) + 1 for x in self.parts])
         first = np.cumsum(sizes) - sizes
@@ -220,13 +220,13 @@ class _Shard:
             yield _cut_rows(rows, at, start + edge[run], start + stop[run] - 1 + length)
 
 
-_ROW = ["d", "no", "th", "nb", "start"]
-_CUT = ["d", "no", "th", "nb", "a", "b"]
+_ROW = ["th", "no", "nb", "start"]
+_CUT = ["th", "no", "nb", "a", "b"]
 
 
 def _cut_rows(rows: pa.RecordBatch, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     where = pa.array(at)
-    return pa.RecordBatch.from_arrays([*[rows.column(c).take(where) for c in _ROW[:4]],
+    return pa.RecordBatch.from_arrays([*[rows.column(c).take(where) for c in _ROW[:3]],
                                        pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], _CUT)
 
 
@@ -237,6 +237,18 @@ def _shard_rows(length: int):
         values = rows.column(column)
         return np.r_[True, pc.not_equal(values.slice(1), values.slice(0, len(values) - 1)).to_numpy(zero_copy_only=False)]
 
+    def whole_keys(key: np.ndarray, seg: np.ndarray, closed: bool) -> np.ndarray:
+        """Rows of keys that begin and end in the batch and hold one segment's bytes only."""
+        if not len(key):
+            return np.zeros(0, bool)
+        group = np.cumsum(key)  # 0: goes on from the batch before
+        n_segs = np.bincount(group, weights=seg, minlength=group[-1] + 1)
+        good = n_segs == 1
+        good[0] = False
+        if not closed:
+            good[-1] = False
+        return good[group]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, last, least = _Shard(), None, LAST
         for batch in batches:
@@ -249,18 +261,27 @@ def _shard_rows(length: int):
             key[0] = last is None or now[:2] != last[:2]
             seg[0] = key[0] or now[2] != last[2]
             n_cold = batch.num_rows - int(np.count_nonzero(batch.column("hot").to_numpy(zero_copy_only=False)))  # these come first
-            sizes = pc.binary_length(batch.column("seg")).to_numpy(zero_copy_only=False)[:n_cold]
-            upto = np.r_[0, np.cumsum(np.where(seg[:n_cold], sizes, 0))]
+            cold, cold_key, cold_seg = batch.slice(0, n_cold), key[:n_cold], seg[:n_cold]
+            sizes = pc.binary_length(cold.column("seg")).to_numpy(zero_copy_only=False)
+            same = whole_keys(cold_key, cold_seg, n_cold < batch.num_rows)
+            if same.any():  # all rows of a key hold the same bytes: the first one has the least id
+                numbers = cold.column("no").to_numpy()
+                mine = numbers[np.maximum.accumulate(np.where(cold_key, np.arange(n_cold), 0))]
+                later = np.flatnonzero(same & (mine < numbers))
+                start = cold.column("start").to_numpy()[later]
+                yield _cut_rows(cold, later, start, start + sizes[later])
+                cold, cold_key, cold_seg, sizes = cold.filter(pa.array(~same)), cold_key[~same], cold_seg[~same], sizes[~same]
+            upto = np.r_[0, np.cumsum(np.where(cold_seg, sizes, 0))]
             low = 0
-            while low < n_cold:  # whole keys up to a full shard; the last key of the batch may go on
-                if key[low] and shard.size > SHARD_BYTES:
+            while low < cold.num_rows:  # whole keys up to a full shard; the last key of the batch may go on
+                if cold_key[low] and shard.size > SHARD_BYTES:
                     yield from shard.decided(length)
                     shard = _Shard()
-                ends = low + 1 + np.flatnonzero(key[low + 1:n_cold])
+                ends = low + 1 + np.flatnonzero(cold_key[low + 1:])
                 full = ends[shard.size + upto[ends] - upto[low] > SHARD_BYTES]
-                high = int(full[0]) if len(full) else n_cold
-                runs, fresh = np.flatnonzero(seg[low:high]), bool(seg[low])
-                shard.add(batch.slice(low, high - low), runs if fresh else np.r_[0, runs], fresh)
+                high = int(full[0]) if len(full) else cold.num_rows
+                runs, fresh = np.flatnonzero(cold_seg[low:high]), bool(cold_seg[low])
+                shard.add(cold.slice(low, high - low), runs if fresh else np.r_[0, runs], fresh)
                 low = high
             if n_cold < batch.num_rows:  # windows routed by themselves: ids ascend in a run
                 numbers = batch.column("no").to_numpy()[n_cold:]
@@ -295,10 +316,11 @@ def _finish(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, gone, spans, kept = [], [], [], []
-            for text, no, th, copy, found in zip(*(batch.column(c) for c in ("bytes", "no", "th", "copy", "found"))):
-                text, me = text.as_py(), (no.as_py(), th.as_py())
-                mine = [(x["a"], x["b"]) for x in found.as_py() or () if (x["no"], x["th"], x["nb"]) == (*me, len(text))]
-                cut = removed_spans(len(text), mine, copy.as_py(), length)
+            for text, no, y, firsts, found in zip(*(batch.column(c) for c in ("bytes", "no", "y", "firsts", "found"))):
+                text, me, y = text.as_py(), no.as_py(), y.as_py()
+                copy = any(f["first"] < me for f in firsts.as_py() or () if (f["nb"], f["y"]) == (len(text), y))
+                mine = [(x["a"], x["b"]) for x in found.as_py() or () if (x["no"], x["nb"]) == (me, len(text))]
+                cut = removed_spans(len(text), mine, copy, length)
                 sizes.append(len(text))
                 gone.append(sum(b - a for a, b in cut))
                 spans.append(len(cut))
@@ -320,6 +342,24 @@ def order_number(id_col: str) -> Column:
     return F.coalesce(col(id_col).cast("long"), F.lit(LAST))
 
 
+def _anchor_lists(texts: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
+    """(th, cold, hot): the anchors that each text shares with another one."""
+    keyed = _present(texts.select("th", "bytes").mapInArrow(_anchor_rows(length, gram), "h long, th long")).repartition("h")
+    # all uses of the exchange read the same columns, so it is made once
+    shared = keyed.groupBy("h").agg(F.min("th").alias("a"), F.max("th").alias("b"), F.count("th").alias("n")).where("a < b")
+    marked = keyed.join(shared.select("h", (F.col("n") > hot).alias("hot")), "h")
+    return marked.groupBy("th").agg(F.collect_set(F.when(~F.col("hot"), F.col("h"))).alias("cold"),
+                                    F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot"))
+
+
+def _decided_cuts(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """(th, found): the intervals that go, by text."""
+    segments = texts.mapInArrow(_segment_rows(length, gram), "hot boolean, key long, th long, no long, nb int, start int, seg binary")
+    decided = segments.repartition("key").sortWithinPartitions("hot", "key", "seg", "no").mapInArrow(
+        _shard_rows(length), "th long, no long, nb int, a int, b int")
+    return decided.groupBy("th").agg(F.collect_list(F.struct("no", "nb", "a", "b")).alias("found"))
+
+
 def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id",
                 text_col: str = "text", hot: int = HOT) -> DataFrame:
     """(no, th, n_bytes, n_removed, n_spans, kept), one row per input row: id
@@ -331,33 +371,22 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
     all others.  An empty table gives an empty result.
     """
     text = text_of(text_col)
-    who = [order_number(id_col).alias("no"), F.xxhash64(text).alias("th"), F.octet_length(text).alias("nb")]
-    number = F.hash("no", "th").alias("d")
-    # texts that a smaller id has as well
-    narrow = docs.select(*who, F.xxhash64(F.lit(1), text).alias("y"))
-    least = narrow.groupBy("th", "nb", "y").agg(F.min("no").alias("first"))
-    copies = finished(narrow.join(least, ["th", "nb", "y"]).where("no > first").select("no", "th", "nb").distinct(), "repeats-copies")
-    rows = docs.select(*who, text.cast("binary").alias("bytes")).select(number, "*")
-    # the planner sends the copies to all tasks only if their written size is small
-    own = rows.join(copies, ["no", "th", "nb"], "left_anti")
-
-    keyed = _present(own.select("d", "bytes").mapInArrow(_anchor_rows(length, gram), "h long, d int")).repartition("h")
-    # count("d") keeps this exchange equal to the one below, so it is made once
-    shared = keyed.groupBy("h").agg(F.count("d").alias("n")).where("n > 1")
-    marked = keyed.join(shared.select("h", (F.col("n") > hot).alias("hot")), "h")
-    lists = finished(marked.groupBy("d").agg(F.collect_set(F.when(~F.col("hot"), F.col("h"))).alias("cold"),
-                                             F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot")), "repeats-anchors")
-
-    segments = own.join(lists, "d").mapInArrow(
-        _segment_rows(length, gram), "hot boolean, key long, d int, no long, th long, nb int, start int, seg binary")
-    decided = segments.repartition("key").sortWithinPartitions("hot", "key", "seg", "no").mapInArrow(
-        _shard_rows(length), "d int, no long, th long, nb int, a int, b int")
-    cut = finished(decided.groupBy("d").agg(F.collect_list(F.struct("no", "th", "nb", "a", "b")).alias("found")), "repeats-cuts")
-
-    marks = copies.withColumn("copied", F.lit(True))
-    return (rows.join(cut, "d", "left").join(marks, ["no", "th", "nb"], "left")
-            .select("no", "th", "bytes", "found", F.coalesce("copied", F.lit(False)).alias("copy"))
-            .mapInArrow(_finish(length), "no long, th long, n_bytes long, n_removed long, n_spans long, kept binary"))
+    who = [F.xxhash64(text).alias("th"), order_number(id_col).alias("no"), F.octet_length(text).alias("nb"),
+           F.xxhash64(F.lit(1), text).alias("y")]
+    rows = docs.select(*who, text.cast("binary").alias("bytes"))
+    # the first document of every text: narrow rows, counted map-side
+    texts = docs.select(*who).groupBy("th", "nb", "y").agg(F.min("no").alias("first"), F.max("no").alias("last"))
+    firsts = finished(texts.groupBy("th").agg(F.collect_list(F.struct("nb", "y", "first")).alias("firsts"),
+                                              F.bool_or(F.col("first") < F.col("last")).alias("copied")), "repeats-texts")
+    lists = finished(_anchor_lists(rows, length, gram, hot), "repeats-anchors")
+
+    own = F.exists("firsts", lambda f: (f["nb"] == F.col("nb")) & (f["y"] == F.col("y")) & (f["first"] == F.col("no")))
+    marked = rows.join(lists.join(firsts.drop("copied"), "th"), "th").where(own)
+    cut = finished(_decided_cuts(marked.select("th", "no", "nb", "bytes", "cold", "hot"), length, gram), "repeats-cuts")
+
+    known = firsts.where("copied").drop("copied").join(cut, "th", "full")
+    return rows.join(known, "th", "left").select("no", "th", "y", "bytes", "firsts", "found").mapInArrow(
+        _finish(length), "no long, th long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
