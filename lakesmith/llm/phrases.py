@@ -199,9 +199,13 @@ def mine_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, top:
         _scored(levels[m], m, parts, _strongest(levels.get(m + 1), m), subsumed_percent) for m in levels])
     n = totals.groupBy("lang").agg(F.sum("f").alias("n"))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    if top is not None:  # a frequent language is limited in parts first, so at most PIECES * top of its phrases meet
+        part = F.pmod(F.xxhash64("phrase"), F.lit(PIECES))
+        place = F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))
+        scored = scored.withColumn("place", place).where(F.col("place") <= top).drop("place")
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if top is not None:
-        ranked = ranked.where(F.col("rank") <= top)  # tasks limit each language before the shuffle
+        ranked = ranked.where(F.col("rank") <= top)
     return ranked.join(n, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
