@@ -198,11 +198,11 @@ URL_RULES = [
     url_filter.host_path_rule("net/fr/", "block"),
     # gambling and adult hosts: the word stands as a whole token of the host
     *[url_filter.pattern_rule(f"host:{w}", "block", rf"^[^/?#]*(?<![0-9a-z]){w}(?![0-9a-z])", w)
-      for w in ("bets", "casino", "gambling", "jackpot", "poker", "porn", "slots", "viagra", "xxx")],
+      for w in ("adult", "bets", "casino", "gambling", "jackpot", "poker", "porn", "slots", "viagra", "xxx")],
     url_filter.pattern_rule("path:adult", "block", r"/adult(?:/|$)", "adult"),
 ]
 
-_SPAM = "bets|casino|gambling|jackpot|poker|porn|slots|viagra|xxx"
+_SPAM = "adult|bets|casino|gambling|jackpot|poker|porn|slots|viagra|xxx"
 OP10_SQL = rf"""
 WITH parts AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
