@@ -61,3 +61,14 @@ def test_without_usable_labels(spark, edge, empty):
     one_class = spark.createDataFrame([(i, 1) for i in range(1, 7)] * 2, "doc_id long, toxic int")
     assert {r["score"] for r in t.fit(edge, one_class).score(edge).collect()} == {1.0}
     assert t.fit(empty, none).score(empty).count() == 0
+
+
+def test_features_counted_by_hand():
+    import math
+    text = "You IDIOT!! y0u are a m0ron... sooo b.a.d.s"
+    n, size = 11, len(text)  # you idiot y0u are a m0ron sooo b a d s
+    got = dict(zip(t.FEATURES, t.text_features(text, {"idiot": 2.0, "moron": 1.5})))
+    want = {"density": 2 / n, "weight": 3.5 / n, "densest": 2 / t.WINDOW, "near_you": 2 / n, "second_person": 1 / n,
+            "capitals": 6 / size, "capital_words": 1 / n, "exclaims": 2 / n, "punctuation": 8 / size, "disguised": 2 / n,
+            "disguised_hits": 1 / n, "spaced": 1 / n, "repeats": 1 / n, "log_words": math.log1p(n)}
+    assert {k: round(v, 12) for k, v in got.items()} == {k: round(v, 12) for k, v in want.items()}
