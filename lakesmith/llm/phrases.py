@@ -121,6 +121,8 @@ def _stripe_rows(size: int, marks):
             bits = marks.value
             keep = bits[_marks(hashes, words[:-1])]
             words = [w[keep] for w in words]
+            if not len(words[0]):
+                return
             follows = words[-1] >= 0
             phrase = [w[follows] for w in words[1:]]
             words[-1] = words[-1].copy()
