@@ -45,7 +45,7 @@ LENGTH, GRAM = 50, 16
 #: Occurrences of an anchor before its windows are routed one by one.
 HOT = 20_000
 #: Bytes of distinct segments sorted at a time.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 #: Most windows of one segment.
 SEGMENT_WINDOWS = 256
 #: Windows of a long text hashed at a time.
