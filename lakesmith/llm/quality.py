@@ -107,7 +107,8 @@ class QualityModel:
     constant: float
 
     def raw(self, statistics: np.ndarray) -> np.ndarray:
-        return np.clip(self.kernel.features(statistics) @ self.weights, 0.0, 1.0)
+        # rounded, so that the rows of a batch cannot show in the last digits of a score
+        return np.round(np.clip(self.kernel.features(statistics) @ self.weights, 0.0, 1.0), 10)
 
     def probability(self, statistics: np.ndarray) -> np.ndarray:
         if self.kernel is None:
