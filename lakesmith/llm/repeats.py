@@ -74,11 +74,19 @@ def window_anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) ->
 
 
 def window_hashes(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """A hash of every whole window."""
-    total = np.zeros(len(data) - length + 1, np.uint64)
-    for i in range(length):
-        total = (total ^ data[i:i + len(total)].astype(np.uint64)) * _MULTIPLY
-        total ^= total >> np.uint64(31)
+    """A hash of every whole window, put together from hashes of 1, 2, 4, ... bytes."""
+    n = len(data) - length + 1
+    value, k = (data.astype(np.uint64) + np.uint64(1)) * _MULTIPLY, 1
+    total, done = np.zeros(max(n, 0), np.uint64), 0
+    while n > 0 and k <= length:
+        if length & k:
+            total = total * _MIX + value[done:done + n]
+            total ^= total >> np.uint64(29)
+            done += k
+        value = value[:-k] * _MIX + value[k:]
+        value ^= value >> np.uint64(32)
+        value *= _MULTIPLY
+        k *= 2
     return total
 
 
@@ -151,6 +159,20 @@ def _segment_rows(length: int, gram: int):
     return run
 
 
+def with_shared_windows(data: np.ndarray, owner: np.ndarray, whole: np.ndarray, length: int) -> np.ndarray:
+    """Which owners may share a window with another one: equal windows have equal hashes."""
+    at = np.flatnonzero(whole)
+    out = np.zeros(int(owner[-1]) + 1, bool)
+    if len(at):
+        hashes, mine = window_hashes(data, length)[at], owner[at]
+        order = np.argsort(hashes, kind="stable")
+        hashes, mine = hashes[order], mine[order]
+        starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+        several = np.minimum.reduceat(mine, starts) < np.maximum.reduceat(mine, starts)
+        out[mine[np.repeat(several, np.diff(np.r_[starts, len(mine)]))]] = True
+    return out
+
+
 def shard_groups(segments: list[bytes], least: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """For every position of the joined segments (one byte apart), the least id
     that has the window starting there; ``LAST`` where no whole window starts."""
@@ -200,15 +222,19 @@ class _Shard:
 
     def decided(self, length: int) -> Iterator[pa.RecordBatch]:
         """(th, no, nb, a, b): bytes a to b of a document stand in one with a smaller id."""
-        groups = shard_groups(self.parts, np.array(self.least, np.int64), length)
-        sizes = np.array([len(x) + 1 for x in self.parts])
-        first = np.cumsum(sizes) - sizes
+        least, sizes = np.array(self.least, np.int64), np.array([len(x) + 1 for x in self.parts])
+        first, owner = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
+        whole = np.arange(int(sizes.sum())) + length < (first + sizes)[owner]
+        groups = np.where(whole, least[owner], LAST)
+        # only segments that may share a window with another one are sorted
+        mixed = with_shared_windows(np.frombuffer(b"\0".join(self.parts) + b"\0", np.uint8), owner, whole, length)
+        if mixed.any():
+            groups[mixed[owner]] = shard_groups([x for x, m in zip(self.parts, mixed) if m], least[mixed], length)
         # runs of positions of a segment whose windows have one least id
-        owner = np.repeat(np.arange(len(sizes)), sizes)
         edge = np.flatnonzero(np.r_[True, (groups[1:] != groups[:-1]) | (owner[1:] != owner[:-1])])
         stop = np.r_[edge[1:], len(groups)]
-        whole = groups[edge] != LAST
-        edge, stop = edge[whole], stop[whole]
+        real = groups[edge] != LAST
+        edge, stop = edge[real], stop[real]
         runs_of = np.searchsorted(owner[edge], np.arange(len(sizes) + 1))  # runs of each segment
         for rows, owners in zip(self.rows, self.owners):
             many = np.diff(runs_of)[owners]
