@@ -115,6 +115,14 @@ def _anchor_rows(length: int, gram: int):
     return run
 
 
+def _member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which values occur in ``of``: ``np.isin`` for the short arrays of one text."""
+    if not len(of):
+        return np.zeros(len(values), bool)
+    known = np.sort(of)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def cut_segments(data: np.ndarray, shared: np.ndarray, hot: np.ndarray, length: int = LENGTH,
                  gram: int = GRAM) -> Iterator[tuple[bool, int, int, int]]:
     """(hot, key, start, end) of the text's segments whose anchors are shared;
@@ -123,10 +131,10 @@ def cut_segments(data: np.ndarray, shared: np.ndarray, hot: np.ndarray, length:
         anchors = _signed(window_anchors(part, length, gram))
         starts = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
         ends = np.r_[starts[1:], len(anchors)]
-        for k in np.flatnonzero(np.isin(anchors[starts], shared)):
+        for k in np.flatnonzero(_member(anchors[starts], shared)):
             for a in range(starts[k], ends[k], SEGMENT_WINDOWS):
                 yield False, int(anchors[a]), low + a, low + min(a + SEGMENT_WINDOWS, ends[k]) - 1 + length
-        for k in np.flatnonzero(np.isin(anchors[starts], hot)) if len(hot) else ():
+        for k in np.flatnonzero(_member(anchors[starts], hot)):
             keys = _signed(window_hashes(part[starts[k]:ends[k] - 1 + length], length))
             for i, key in enumerate(keys.tolist(), low + int(starts[k])):
                 yield True, key, i, i + length
@@ -138,9 +146,8 @@ def _segment_rows(length: int, gram: int):
             found, rows, parts, size = [], [], [], 0
             columns = [batch.column(c) for c in ("bytes", "cold", "hot")]
             for i in range(batch.num_rows):
-                text, cold, hot = (c[i].as_py() for c in columns)
-                for segment in cut_segments(np.frombuffer(text, np.uint8), np.array(cold, np.int64),
-                                            np.array(hot, np.int64), length, gram):
+                text, cold, hot = columns[0][i].as_py(), *(c[i].values.to_numpy() for c in columns[1:])
+                for segment in cut_segments(np.frombuffer(text, np.uint8), cold, hot, length, gram):
                     found.append(segment[:3])
                     rows.append(i)
                     parts.append(text[segment[2]:segment[3]])
@@ -345,7 +352,11 @@ def _finish(length: int):
             for text, no, y, firsts, found in zip(*(batch.column(c) for c in ("bytes", "no", "y", "firsts", "found"))):
                 text, me, y = text.as_py(), no.as_py(), y.as_py()
                 copy = any(f["first"] < me for f in firsts.as_py() or () if (f["nb"], f["y"]) == (len(text), y))
-                mine = [(x["a"], x["b"]) for x in found.as_py() or () if (x["no"], x["nb"]) == (me, len(text))]
+                mine = []
+                if found.is_valid:
+                    owner, size, a, b = (x.to_numpy() for x in found.values.flatten())
+                    own = (owner == me) & (size == len(text))
+                    mine = list(zip(a[own].tolist(), b[own].tolist()))
                 cut = removed_spans(len(text), mine, copy, length)
                 sizes.append(len(text))
                 gone.append(sum(b - a for a, b in cut))
